@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,12 @@ class RowRule:
 
 
 def flag_rows(df: DataFrame, table: str, rules: Sequence[RowRule], order_id: Column) -> DataFrame:
-    """Evaluate all rules in one projection and unfold the hits."""
+    """Evaluate all rules in one pass over the rows.
+
+    Each rule yields a struct or NULL and the structs are unfolded.  Everything stays in generated code (an array
+    filter with a lambda would not), and the casts below are done once per row (a filter on the rules would be
+    pushed under them and repeat them for every rule).
+    """
     hits = F.array(
         *[
             F.when(
@@ -47,84 +53,119 @@ def flag_rows(df: DataFrame, table: str, rules: Sequence[RowRule], order_id: Col
             for r in rules
         ]
     )
-    found = df.select(
-        F.col("_row_id").alias("record_id"),
-        order_id.cast("string").alias("order_id"),
-        F.filter(hits, lambda h: h.isNotNull()).alias("hits"),
-    )
     return (
-        found.where(F.size("hits") > 0)
-        .select("record_id", "order_id", F.inline("hits"))
-        .withColumn("table_name", F.lit(table))
-        .select(*CARRIED)
+        df.select(F.col("_row_id").alias("record_id"), order_id.cast("string").alias("order_id"), F.explode(hits).alias("hit"))
+        .where(F.col("hit").isNotNull())
+        .select(
+            F.lit(table).alias("table_name"),
+            "record_id",
+            *[F.col(f"hit.{c}").alias(c) for c in ("record_key", "check_name", "reason", "severity")],
+            "order_id",
+        )
     )
 
 
-def _exception(df: DataFrame, table: str, key: Column, check: str, reason: Column, severity: str, order_id: Column) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.col("_row_id").alias("record_id"),
-        key.alias("record_key"),
-        F.lit(check).alias("check_name"),
-        reason.alias("reason"),
-        F.lit(severity).alias("severity"),
-        order_id.cast("string").alias("order_id"),
-    )
+def _choose(code: Column, texts: Sequence[str]) -> Column:
+    """The text that belongs to a small code 0, 1, 2, ..."""
+    return F.element_at(F.array(*[F.lit(t) for t in texts]), code + 1)
+
+
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _order_id(df: DataFrame) -> Column:
-    return F.col("order_id") if "order_id" in df.columns else F.lit(None)
+@dataclass(frozen=True)
+class UniqueKey:
+    """Columns of one table that must be unique together."""
+
+    rows: DataFrame
+    table: str
+    columns: tuple[str, ...]
+    severity: str
 
 
-def duplicate_keys(df: DataFrame, table: str, key: Sequence[str], severity: str) -> DataFrame:
+def duplicate_keys(keys: Sequence[UniqueKey]) -> DataFrame:
     """Flag copies 2..n of a key.  Rows with an incomplete key are left to ``required_null``.
 
-    Keys are counted first (combined before the shuffle), so only repeated keys are numbered, and a hot key is
-    numbered in stretches of row ids.
+    The keys of all tables go through one pipeline.  They are counted first (combined before the shuffle), so
+    only repeated keys are numbered, and a hot key is numbered in stretches of row ids.
     """
-    complete = df.select("_row_id", *key)
-    for k in key:
-        complete = complete.where(F.col(k).isNotNull())
-    repeated = complete.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    rows = complete.join(repeated, list(key))
-    numbered = running_total(rows, key, id_band(F.col("_row_id")), [F.col("_row_id")], F.lit(1), "copy")
-    reason = sentence(
-        f"key ({', '.join(key)}) appears ", F.col("copies"), " times; this is copy ", F.col("copy")
-    )
-    return _exception(
-        numbered.where("copy > 1"), table, record_key([F.col(k) for k in key]), "duplicate_key", reason, severity,
-        _order_id(numbered),
+    parts = []
+    for code, k in enumerate(keys):
+        filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k.columns])
+        parts.append(
+            k.rows.where(filled).select(F.lit(code).alias("code"), F.array(*k.columns).alias("key"), "_row_id")
+        )
+    complete = _stack(parts)
+    repeated = complete.groupBy("code", "key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    rows = complete.join(repeated, ["code", "key"])
+    numbered = running_total(rows, ["code", "key"], id_band(F.col("_row_id")), [F.col("_row_id")], F.lit(1), "copy")
+    code, key = F.col("code"), F.col("key")
+    starts_with_order = [i for i, k in enumerate(keys) if k.columns[0] == "order_id"]
+    return numbered.where("copy > 1").select(
+        _choose(code, [k.table for k in keys]).alias("table_name"),
+        F.col("_row_id").alias("record_id"),
+        F.array_join(key, "|").alias("record_key"),
+        F.lit("duplicate_key").alias("check_name"),
+        sentence(
+            "key (", _choose(code, [", ".join(k.columns) for k in keys]), ") appears ", F.col("copies"),
+            " times; this is copy ", F.col("copy"),
+        ).alias("reason"),
+        _choose(code, [k.severity for k in keys]).alias("severity"),
+        F.when(code.isin(starts_with_order), F.get(key, F.lit(0))).alias("order_id"),
     )
 
 
-def rows_without_parent(child: DataFrame, column: str, parent: DataFrame, parent_column: str, keep: Sequence[str]) -> DataFrame:
-    """Child rows whose non-null ``column`` has no parent.
+@dataclass(frozen=True)
+class Reference:
+    """A column whose values must exist in a parent column."""
+
+    child: DataFrame
+    table: str
+    key: tuple[str, ...]
+    column: str
+    parent: DataFrame
+    parent_column: str
+    check: str
+    severity: str
+    before: str
+    after: str
 
-    The distinct values go through the anti join (a value used by a third of the rows is one value), then the
-    few orphan values pick their rows.
-    """
-    needed = list(dict.fromkeys([*keep, column]))
-    values = child.where(F.col(column).isNotNull()).select(F.col(column).alias("_value")).distinct()
-    orphans = values.join(parent.select(F.col(parent_column).alias("_value")), "_value", "left_anti")
-    return child.select(*needed, F.col(column).alias("_value")).join(orphans, "_value", "left_semi").drop("_value")
-
-
-def orphan_keys(
-    child: DataFrame, table: str, key: Sequence[str], column: str, parent: DataFrame, ref: tuple[str, str], severity: str
-) -> DataFrame:
-    keep = ["_row_id", *key] + (["order_id"] if "order_id" in child.columns else [])
-    rows = rows_without_parent(child, column, parent, ref[1], keep)
-    reason = sentence(f"{column} = '", F.col(column), f"' not found in {ref[0]}.{ref[1]}")
-    return _exception(
-        rows, table, record_key([F.col(k) for k in key]), "orphan_foreign_key", reason, severity, _order_id(rows)
-    )
 
+def orphans(references: Sequence[Reference]) -> DataFrame:
+    """Rows whose non-null reference has no parent.
 
-def review_orphans(reviews: DataFrame, orders: DataFrame) -> DataFrame:
-    rows = rows_without_parent(reviews, "order_id", orders, "order_id", ["_row_id", "review_id"])
-    reason = sentence("order_id ", F.col("order_id"), " not found in orders")
-    return _exception(
-        rows, "order_reviews", record_key([F.col("review_id")]), "review_unknown_order", reason, "high", F.col("order_id")
+    All references go through one pipeline.  Their distinct values (combined before the shuffle, so a value used
+    by a third of the rows is one value) meet the parents in an anti join; the orphan values that remain then
+    pick their rows.
+    """
+    used, known, rows = [], [], []
+    for n, r in enumerate(references):
+        code, value = F.lit(n).alias("code"), F.col(r.column)
+        order_id = F.col("order_id") if "order_id" in r.child.columns else F.lit(None)
+        used.append(r.child.where(value.isNotNull()).select(code, value.alias("value")))
+        known.append(r.parent.select(code, F.col(r.parent_column).alias("value")))
+        rows.append(
+            r.child.where(value.isNotNull()).select(
+                code,
+                value.alias("value"),
+                F.col("_row_id").alias("record_id"),
+                record_key([F.col(k) for k in r.key]).alias("record_key"),
+                order_id.cast("string").alias("order_id"),
+            )
+        )
+    lost = _stack(used).distinct().join(_stack(known), ["code", "value"], "left_anti")
+    code = F.col("code")
+    return _stack(rows).join(lost, ["code", "value"], "left_semi").select(
+        _choose(code, [r.table for r in references]).alias("table_name"),
+        "record_id",
+        "record_key",
+        _choose(code, [r.check for r in references]).alias("check_name"),
+        F.concat(
+            _choose(code, [r.before for r in references]), F.col("value"), _choose(code, [r.after for r in references])
+        ).alias("reason"),
+        _choose(code, [r.severity for r in references]).alias("severity"),
+        "order_id",
     )
 
 
@@ -142,12 +183,12 @@ def sequence_gaps(payments: DataFrame) -> DataFrame:
     )
     stepped = previous_value(steps, ["_order"], id_band(F.col(seq)), seq, "previous", 0)
     reason = sentence("payment_sequential jumps from ", F.col("previous"), " to ", F.col(seq))
-    return _exception(
-        stepped.where(F.col(seq).cast("long") > F.col("previous") + F.lit(1).cast("long")),
-        "order_payments",
-        record_key([F.col("order_id"), F.col(seq)]),
-        "payment_sequence_gap",
-        reason,
-        "low",
-        F.col("order_id"),
+    return stepped.where(F.col(seq).cast("long") > F.col("previous") + F.lit(1).cast("long")).select(
+        F.lit("order_payments").alias("table_name"),
+        F.col("_row_id").alias("record_id"),
+        record_key([F.col("order_id"), F.col(seq)]).alias("record_key"),
+        F.lit("payment_sequence_gap").alias("check_name"),
+        reason.alias("reason"),
+        F.lit("low").alias("severity"),
+        "order_id",
     )

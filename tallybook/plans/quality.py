@@ -14,11 +14,12 @@ from ..functions.numeric import pct
 from ..functions.text import record_key, sentence
 from ..operators.checks import (
     CARRIED,
+    Reference,
     RowRule,
+    UniqueKey,
     duplicate_keys,
     flag_rows,
-    orphan_keys,
-    review_orphans,
+    orphans,
     sequence_gaps,
 )
 
@@ -135,10 +136,36 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def unique_keys(raw: Tables, contracts: Contracts) -> list[UniqueKey]:
+    return [UniqueKey(raw[t], t, spec.primary_key, spec.key_severity) for t, spec in contracts.items()]
+
+
+def all_references(raw: Tables, contracts: Contracts) -> list[Reference]:
+    """Foreign keys of the contract, and the business rule that a review belongs to a known order."""
+    out = []
+    for table, spec in contracts.items():
+        for fk in spec.foreign_keys:
+            out.append(
+                Reference(
+                    raw[table], table, spec.primary_key, fk.column, raw[fk.ref_table], fk.ref_column,
+                    "orphan_foreign_key", fk.severity, f"{fk.column} = '", f"' not found in {fk.ref_table}.{fk.ref_column}",
+                )
+            )
+    reviews = contracts["order_reviews"].primary_key
+    out.append(
+        Reference(
+            raw["order_reviews"], "order_reviews", reviews, "order_id", raw["orders"], "order_id",
+            "review_unknown_order", "high", "order_id ", " not found in orders",
+        )
+    )
+    return out
+
+
 def dq_exceptions(raw: Tables, contracts: Contracts, checks: Collection[str] | None = None) -> DataFrame:
     """All exceptions of the input tables (or only of the named ``checks``), each with the order it touches.
 
-    One scan per table for all row rules, one shuffle per key check; nothing else is read.
+    One scan per table for all row rules; one pipeline each for all unique keys, all references and the payment
+    sequence.
     """
 
     def wanted(check: str) -> bool:
@@ -146,26 +173,18 @@ def dq_exceptions(raw: Tables, contracts: Contracts, checks: Collection[str] | N
 
     parts: list[DataFrame] = []
     for table, spec in contracts.items():
-        if table not in raw:
-            continue
-        df = raw[table]
         rules = contract_rules(spec) + (BUSINESS_RULES[table]() if table in BUSINESS_RULES else [])
         rules = [r for r in rules if wanted(r.check)]
         if rules:
             order_id = F.col("order_id") if "order_id" in spec.columns else F.lit(None)
-            parts.append(flag_rows(_beside(df, spec), table, rules, order_id))
-        if wanted("duplicate_key"):
-            parts.append(duplicate_keys(df, table, spec.primary_key, spec.key_severity))
-        if wanted("orphan_foreign_key"):
-            for fk in spec.foreign_keys:
-                parts.append(
-                    orphan_keys(df, table, spec.primary_key, fk.column, raw[fk.ref_table],
-                                (fk.ref_table, fk.ref_column), fk.severity)
-                )
+            parts.append(flag_rows(_beside(raw[table], spec), table, rules, order_id))
+    if wanted("duplicate_key"):
+        parts.append(duplicate_keys(unique_keys(raw, contracts)))
+    references = [r for r in all_references(raw, contracts) if wanted(r.check)]
+    if references:
+        parts.append(orphans(references))
     if wanted("payment_sequence_gap"):
         parts.append(sequence_gaps(typed(raw["order_payments"], contracts["order_payments"])))
-    if wanted("review_unknown_order"):
-        parts.append(review_orphans(raw["order_reviews"], raw["orders"]))
     return _stack([p.select(*CARRIED) for p in parts])
 
 

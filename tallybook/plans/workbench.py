@@ -34,12 +34,16 @@ class Workbench:
         self.states = states
         self.stages = stages or Stages(spark)
         self.tolerance = tolerance
+        self.folder: str | None = None
 
     @classmethod
     def from_analytics(cls, spark: SparkSession, folder: str) -> Workbench:
         """Shop-shaped views over the analytics tables."""
         stages = Stages(spark)
-        return cls(spark, shop.raw_tables(spark, folder, stages.freeze), shop.shop_contracts(), shop.states(spark, folder), stages)
+        raw = shop.raw_tables(spark, folder, stages.freeze)
+        bench = cls(spark, raw, shop.shop_contracts(), shop.states(spark, folder), stages)
+        bench.folder = folder
+        return bench
 
     @classmethod
     def from_csv(

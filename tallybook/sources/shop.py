@@ -173,8 +173,9 @@ def order_payments(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "orders")
         .select("o_orderkey")
         .join(sold, "o_orderkey", "left")
-        .select(F.filter(rows, lambda r: r.isNotNull()).alias("rows"))
-        .select(F.inline("rows"))
+        .select(F.explode(rows).alias("payment"))
+        .where(F.col("payment").isNotNull())
+        .select("payment.*")
     )
 
 
