@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 # Default severities, status values, payment types and the 27 state codes of the contract.
 DEFAULT_SEVERITY = {
@@ -50,6 +51,7 @@ class TableSpec:
     columns: dict[str, ColumnSpec]
     foreign_keys: tuple[ForeignKey, ...] = ()
     key_severity: str = DEFAULT_SEVERITY["duplicate_key"]
+    severity: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_SEVERITY))
 
 
 def _need(type_: str = TEXT, **kw) -> ColumnSpec:
@@ -163,6 +165,37 @@ def default_contracts() -> dict[str, TableSpec]:
     }
 
 
+def contracts_from(document: Mapping) -> dict[str, TableSpec]:
+    """Contracts from a parsed YAML or JSON document.
+
+    ``defaults.severity`` maps check names to severities.  Each entry of ``tables`` has ``primary_key``,
+    ``columns`` (name -> ``type``, ``nullable``, ``allowed``, ``severity``), and optionally
+    ``primary_key_severity`` and ``foreign_keys`` (``column``, ``references: table.column``, ``severity``).
+    """
+    severity = {**DEFAULT_SEVERITY, **document.get("defaults", {}).get("severity", {})}
+    out = {}
+    for table, spec in document["tables"].items():
+        references = []
+        for fk in spec.get("foreign_keys", ()):
+            ref_table, ref_column = fk["references"].split(".")
+            references.append(
+                ForeignKey(fk["column"], ref_table, ref_column, fk.get("severity", severity["orphan_foreign_key"]))
+            )
+        out[table] = TableSpec(
+            tuple(spec["primary_key"]),
+            {
+                name: ColumnSpec(
+                    c.get("type", TEXT), not c.get("nullable", True), tuple(c.get("allowed", ())), c.get("severity")
+                )
+                for name, c in spec["columns"].items()
+            },
+            tuple(references),
+            spec.get("primary_key_severity", severity["duplicate_key"]),
+            severity,
+        )
+    return out
+
+
 def with_allowed(contracts: dict[str, TableSpec], table: str, column: str, allowed: tuple) -> dict[str, TableSpec]:
     """Copy of the contracts with another value list for one column."""
     spec = contracts[table]

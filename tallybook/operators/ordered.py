@@ -50,15 +50,17 @@ def running_total(
     inside = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     band_order = F.col("_band").desc() if descending else F.col("_band").asc()
     earlier = Window.partitionBy(*group).orderBy(band_order).rowsBetween(Window.unboundedPreceding, -1)
+    # a group that fits one band needs no offset, so this side is nearly always tiny
     before = (
         cut.groupBy(*piece)
         .agg(F.sum("_amount").alias("_total"))
-        .select(*piece, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+        .select(*piece, F.sum("_total").over(earlier).alias("_before"))
+        .where(F.col("_before").isNotNull())
     )
     return (
         cut.withColumn("_inside", F.sum("_amount").over(inside))
-        .join(before, piece)
-        .withColumn(name, F.col("_inside") + F.col("_before"))
+        .join(before, piece, "left")
+        .withColumn(name, F.col("_inside") + F.coalesce("_before", F.lit(0)))
         .drop("_band", "_amount", "_inside", "_before")
     )
 
@@ -76,10 +78,11 @@ def previous_value(df: DataFrame, group: Sequence[str], band: Column, value: str
         cut.groupBy(*piece)
         .agg(F.max(value).alias("_last"))
         .select(*piece, F.lag("_last", 1).over(earlier).alias("_carried"))
+        .where(F.col("_carried").isNotNull())
     )
     return (
         cut.withColumn("_near", F.lag(value, 1).over(inside))
-        .join(last_before, piece)
+        .join(last_before, piece, "left")
         .withColumn(name, F.coalesce("_near", "_carried", F.lit(default)))
         .drop("_band", "_near", "_carried")
     )

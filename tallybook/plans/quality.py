@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import DEFAULT_SEVERITY, SEVERITIES, TEXT, TableSpec
+from ..contracts import SEVERITIES, TEXT, TableSpec
 from ..functions.casts import to_contract_type
 from ..functions.numeric import pct
 from ..functions.text import record_key, sentence
@@ -53,17 +53,17 @@ def contract_rules(spec: TableSpec) -> list[RowRule]:
         raw, value = F.col(name), F.col(f"t_{name}")
         if col.required:
             rules.append(
-                RowRule("required_null", DEFAULT_SEVERITY["required_null"], raw.isNull(),
+                RowRule("required_null", spec.severity["required_null"], raw.isNull(),
                         F.lit(f"{name} is required but empty"), key)
             )
         if col.type != TEXT:
             rules.append(
-                RowRule("type_mismatch", DEFAULT_SEVERITY["type_mismatch"], raw.isNotNull() & value.isNull(),
+                RowRule("type_mismatch", spec.severity["type_mismatch"], raw.isNotNull() & value.isNull(),
                         sentence(f"{name} = '", raw, f"' is not a valid {col.type}"), key)
             )
         if col.allowed:
             rules.append(
-                RowRule("allowed_values", col.severity or DEFAULT_SEVERITY["allowed_values"],
+                RowRule("allowed_values", col.severity or spec.severity["allowed_values"],
                         value.isNotNull() & ~value.isin(list(col.allowed)),
                         sentence(f"{name} = '", raw, "' is not an allowed value"), key)
             )
