@@ -90,29 +90,35 @@ def duplicate_keys(keys: Sequence[UniqueKey]) -> DataFrame:
     The keys of all tables go through one pipeline.  They are counted first (combined before the shuffle), so
     only repeated keys are numbered, and a hot key is numbered in stretches of row ids.
     """
+    widest = max(len(k.columns) for k in keys)
+    names = [f"key_{i}" for i in range(widest)]
     parts = []
     for code, k in enumerate(keys):
         filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k.columns])
+        # shorter keys are padded; the code keeps the keys of different tables apart
+        padded = [F.col(c) for c in k.columns] + [F.lit("")] * (widest - len(k.columns))
         parts.append(
-            k.rows.where(filled).select(F.lit(code).alias("code"), F.array(*k.columns).alias("key"), "_row_id")
+            k.rows.where(filled).select(F.lit(code).alias("code"), *[p.alias(n) for p, n in zip(padded, names)], "_row_id")
         )
     complete = _stack(parts)
-    repeated = complete.groupBy("code", "key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    rows = complete.join(repeated, ["code", "key"])
-    numbered = running_total(rows, ["code", "key"], id_band(F.col("_row_id")), [F.col("_row_id")], F.lit(1), "copy")
-    code, key = F.col("code"), F.col("key")
+    group = ["code", *names]
+    repeated = complete.groupBy(*group).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    rows = complete.join(repeated, group)
+    numbered = running_total(rows, group, id_band(F.col("_row_id")), [F.col("_row_id")], F.lit(1), "copy")
+    code = F.col("code")
+    width = F.element_at(F.array(*[F.lit(len(k.columns)) for k in keys]), code + 1)
     starts_with_order = [i for i, k in enumerate(keys) if k.columns[0] == "order_id"]
     return numbered.where("copy > 1").select(
         _choose(code, [k.table for k in keys]).alias("table_name"),
         F.col("_row_id").alias("record_id"),
-        F.array_join(key, "|").alias("record_key"),
+        F.array_join(F.slice(F.array(*names), 1, width), "|").alias("record_key"),
         F.lit("duplicate_key").alias("check_name"),
         sentence(
             "key (", _choose(code, [", ".join(k.columns) for k in keys]), ") appears ", F.col("copies"),
             " times; this is copy ", F.col("copy"),
         ).alias("reason"),
         _choose(code, [k.severity for k in keys]).alias("severity"),
-        F.when(code.isin(starts_with_order), F.get(key, F.lit(0))).alias("order_id"),
+        F.when(code.isin(starts_with_order), F.col("key_0")).alias("order_id"),
     )
 
 
