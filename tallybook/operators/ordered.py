@@ -103,16 +103,37 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, width: int, na
     Counting first keeps equal values together; ``width`` bounds how many distinct values share a band.
     """
     keys = list(group) or ["_all"]
+    rows = df.where(F.col(value).isNotNull())
     if not group:
-        df = df.withColumn("_all", F.lit(0))
-    hist = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    up_to = running_total(hist, keys, value_band(F.col(value), width), [F.col(value)], F.col("_n"), "_up_to")
-    size = hist.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    low = F.floor((F.col("_size") - 1) / 2)
-    high = F.floor(F.col("_size") / 2)
-    first = F.col("_up_to") - F.col("_n")
-    middle = up_to.join(size, keys).where(
-        ((first <= low) & (low < F.col("_up_to"))) | ((first <= high) & (high < F.col("_up_to")))
+        rows = rows.withColumn("_all", F.lit(0))
+    hist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    hist = hist.withColumn("_band", value_band(F.col(value), width))
+
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    low, high = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
+
+    def holds(first: Column, n: Column) -> Column:
+        """Do ranks first .. first + n - 1 (from 0) contain a middle rank?"""
+        return ((first <= low) & (low < first + n)) | ((first <= high) & (high < first + n))
+
+    bands = (
+        hist.groupBy(*keys, "_band")
+        .agg(F.sum("_n").alias("_in_band"))
+        .select(
+            *keys, "_band", "_in_band",
+            F.sum("_in_band").over(whole).alias("_size"),
+            F.coalesce(F.sum("_in_band").over(earlier), F.lit(0)).alias("_before"),
+        )
+        .where(holds(F.col("_before"), F.col("_in_band")))
+        .drop("_in_band")
+    )
+    # only the one or two bands around the middle are put in order
+    inside = Window.partitionBy(*keys, "_band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    middle = (
+        hist.join(bands, [*keys, "_band"])
+        .withColumn("_first", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
+        .where(holds(F.col("_first"), F.col("_n")))
     )
     v = F.col(value).cast("double")
     out = middle.groupBy(*keys).agg((F.min(v) + (F.max(v) - F.min(v)) * 0.5).alias(name))
