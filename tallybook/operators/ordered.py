@@ -45,8 +45,10 @@ def running_total(
 
     ``band`` must follow ``order`` (fall with it when ``descending``), and group columns must not be NULL.
     """
-    cut = df.withColumn("_band", band).withColumn("_amount", amount)
     piece = [*group, "_band"]
+    # Spread by (group, band) explicitly: after a join on the group keys alone Spark would count the rows as
+    # clustered and leave every band of a hot group in one task.
+    cut = df.withColumn("_band", band).withColumn("_amount", amount).repartition(*piece)
     inside = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     band_order = F.col("_band").desc() if descending else F.col("_band").asc()
     earlier = Window.partitionBy(*group).orderBy(band_order).rowsBetween(Window.unboundedPreceding, -1)

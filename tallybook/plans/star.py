@@ -163,10 +163,15 @@ def fact_orders(judged: DataFrame) -> DataFrame:
     )
 
 
+RANKS = ("gap_rank_in_month", "gap_rank_in_state", "cumulative_gap_share")
+
+
 def fact_reconciliation(judged: DataFrame, ranked: DataFrame) -> DataFrame:
-    """One row per order id of any system; only unmatched orders carry ranks."""
-    ranks = ranked.select("order_id", "gap_rank_in_month", "gap_rank_in_state", "cumulative_gap_share")
-    return judged.join(ranks, "order_id", "left").select(
+    """One row per order id of any system.
+
+    Only unmatched orders carry ranks, so only they meet the rank table; matched orders are never shuffled.
+    """
+    rows = judged.select(
         "order_id",
         F.coalesce("customer_state", F.lit("UNKNOWN")).alias("state_code"),
         date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
@@ -191,10 +196,9 @@ def fact_reconciliation(judged: DataFrame, ranked: DataFrame) -> DataFrame:
         "gap_category",
         "severity",
         "has_dq_exception",
-        "gap_rank_in_month",
-        "gap_rank_in_state",
-        "cumulative_gap_share",
     )
+    unmatched = rows.where(~F.col("is_matched")).join(ranked.select("order_id", *RANKS), "order_id")
+    return rows.where("is_matched").unionByName(unmatched, allowMissingColumns=True)
 
 
 def numbered_exceptions(exceptions: DataFrame, freeze: Freeze, label: str) -> DataFrame:

@@ -56,7 +56,7 @@ class Workbench:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return row_counts(self.raw)
+        return self.stages.freeze("raw_counts", row_counts(self.raw))
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
@@ -108,15 +108,16 @@ class Workbench:
 
     @cached_property
     def dim_customer_state(self) -> DataFrame:
-        return star.dim_customer_state(self.states)
+        return self.stages.freeze("dim_customer_state", star.dim_customer_state(self.states))
 
     @cached_property
     def dim_payment_type(self) -> DataFrame:
-        return star.dim_payment_type(self.staged["order_payments"])
+        return self.stages.freeze("dim_payment_type", star.dim_payment_type(self.staged["order_payments"]))
 
     @cached_property
     def dim_product_category(self) -> DataFrame:
-        return star.dim_product_category(self.staged["products"], self.staged["category_translation"])
+        dim = star.dim_product_category(self.staged["products"], self.staged["category_translation"])
+        return self.stages.freeze("dim_product_category", dim)
 
     @cached_property
     def fact_orders(self) -> DataFrame:

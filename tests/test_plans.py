@@ -69,3 +69,14 @@ def test_no_query_crosses_tables(wb):
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
         assert "Cross" not in text, name
+
+
+def test_hot_groups_are_spread_even_after_a_join_on_the_group(spark, wb):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(quality.dq_exceptions(wb.raw, wb.contracts, ["duplicate_key"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text
+    assert re.search(r"Exchange hashpartitioning\(code#\d+, key_0#\d+, key_1#\d+, _band#\d+L", text)
