@@ -19,7 +19,10 @@ from tallybook.catalog import QUERIES  # noqa: E402
 from tallybook.plans.workbench import Workbench  # noqa: E402
 from tallybook.session import local_session  # noqa: E402
 
-STAGES = ("counts", "dq", "judged", "ranked", "dim_date", "dim_customer_state", "dim_payment_type", "dim_product_category", "fact_reconciliation", "fact_exceptions", "orders_per_month")
+STAGES = (
+    "counts", "dq", "judged", "ranked", "dim_date", "dim_customer_state", "dim_payment_type", "dim_product_category",
+    "fact_reconciliation", "fact_exceptions", "orders_per_month", "series_per_month",
+)
 HEADLINE = (
     "scan_row_ids", "staged_order_items", "dq_duplicate_key", "dq_type_mismatch", "dq_orphan_foreign_key",
     "dq_payment_sequence_gap", "dq_row_status", "dq_clean_order_items", "dq_exceptions_summary", "dq_totals",

@@ -79,11 +79,13 @@ def complete_window(months: DataFrame) -> DataFrame:
 
 def usable(window: DataFrame) -> DataFrame:
     """Used months of the series that can be scored: long enough, and no zero in the holdout."""
-    used = window.where("used")
-    zero = F.bool_or((F.col("idx") > F.col("n") - HORIZON) & (F.col("orders") == 0))
-    fit = used.groupBy("series").agg(F.max("n").alias("_n"), zero.alias("_zero"))
-    fit = fit.where((F.col("_n") >= MIN_TRAIN_MONTHS + HORIZON) & ~F.col("_zero")).select("series")
-    return used.join(fit, "series", "left_semi")
+    zero = F.bool_or((F.col("idx") > F.col("n") - HORIZON) & (F.col("orders") == 0)).over(Window.partitionBy("series"))
+    return (
+        window.where("used")
+        .withColumn("_zero", zero)
+        .where((F.col("n") >= MIN_TRAIN_MONTHS + HORIZON) & ~F.col("_zero"))
+        .drop("_zero")
+    )
 
 
 def simple_forecasts(used: DataFrame, holdout: int) -> DataFrame:

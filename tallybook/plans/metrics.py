@@ -20,7 +20,7 @@ TOP = 10
 
 def sections(wb: Workbench, models=forecast.SIMPLE) -> dict[str, DataFrame]:
     rec, orders, exc = wb.fact_reconciliation, wb.fact_orders, wb.fact_exceptions
-    window = forecast.complete_window(wb.orders_per_month)
+    window = wb.orders_per_month
     return {
         "raw_rows": wb.counts,
         "purchase_range": kpis.purchase_range(wb.staged["orders"]),

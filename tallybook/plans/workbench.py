@@ -137,10 +137,13 @@ class Workbench:
 
     @cached_property
     def orders_per_month(self) -> DataFrame:
-        return self.stages.freeze("orders_per_month", forecast.monthly_orders(self.fact_orders, self.dim_date).coalesce(1))
+        """One series of all orders, its complete months marked."""
+        months = forecast.monthly_orders(self.fact_orders, self.dim_date)
+        return self.stages.freeze("orders_per_month", forecast.complete_window(months))
 
     @cached_property
     def series_per_month(self) -> DataFrame:
-        """One series per state and product category."""
+        """One series per state and product category, complete months marked."""
         name = F.concat_ws("/", "state_code", "category_key")
-        return self.stages.freeze("series_per_month", forecast.monthly_orders(self.fact_orders, self.dim_date, name))
+        months = forecast.monthly_orders(self.fact_orders, self.dim_date, name)
+        return self.stages.freeze("series_per_month", forecast.complete_window(months))
