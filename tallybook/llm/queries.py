@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import find_leaks
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .neighbours import search
+from .quality import classify
 from .secrets import Ledger, digest
 from .tokens import token_report
 from .url_filter import judge_urls
@@ -18,12 +21,21 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document is one version at the path doc_id; the ledger starts empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest(Ledger(spark).scan(docs))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels of the page with the same id are its outcome: good if of quality and not toxic."""
     labels = table(spark, sf_dir, "labels")
@@ -41,10 +53,19 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "whole", "extra")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps, with their grades."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classify(docs, table(spark, sf_dir, "labels")).where("keep").select("doc_id", "expected_grade", "tail")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_url_filter": op7_url_filter,
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mix": op9_source_mix,
+    "op10_quality": op10_quality,
 }
