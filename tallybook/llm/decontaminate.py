@@ -15,7 +15,8 @@ Words are coded once (32 bits each, without case and outer punctuation); all pas
 Windows cover whole texts, all candidates are checked.  Items are a stated query set; they are taken in blocks of at most ``BLOCK``
 items, one search per block, so what a search broadcasts is bounded whatever the size of the benchmark.
 
-Cases: NULL and empty texts or items match nothing; items shorter than a window are searched with the smallest one; repeated
+Cases: NULL and empty texts or items match nothing; items of fewer than eight words are looked up by their most telling
+word instead of a window; repeated
 documents are found each, repeated items count as one each; empty tables give no rows; further columns are ignored.
 """
 
@@ -213,8 +214,12 @@ class Searcher:
     def __init__(self, space: np.ndarray, items: list[tuple]):
         self.space = space
         self.scales: dict[int, list[Item]] = {}
+        self.short: list[tuple[Item, int]] = []  # with the term that tells most
         for item in (Item(*x) for x in items):
-            if item.words:
+            if 0 < len(item.words) < 2 * STEP:
+                ids = term_ids(np.array(item.words, dtype=np.uint32))
+                self.short.append((item, int(ids[np.linalg.norm(space[ids], axis=1).argmax()])))
+            elif item.words:
                 self.scales.setdefault(self._scale(len(item.codes)), []).append(item)
         self.query, self.known = {}, {}
         for w, group in self.scales.items():
@@ -224,7 +229,7 @@ class Searcher:
             for k, item in enumerate(group):
                 self.known[w][k, term_ids(item.codes)] = 1
             self.known[w][:, 0] = 0
-        self.widest = max(self.scales, default=0)
+        self.widest = max(self.scales, default=2 * STEP)
 
     @staticmethod
     def _scale(n: int) -> int:
@@ -267,20 +272,26 @@ class Searcher:
             norm = np.maximum(np.sqrt(np.einsum("ij,ij->j", z, z)), 1e-9)
             near = self.query[w] @ z >= (COSINE * norm)[None, :]
             for j, k in zip(*(x.tolist() for x in np.nonzero(near))):
-                pos = k * step * STEP
-                piece = int(np.searchsorted(starts_of, pos, "right")) - 1
-                text, at, codes = held[piece]
-                item = group[j]
-                if (text, item.id) in found:
-                    continue
-                low, high = max(begins[piece], pos - w // 2), min(pos + w + w // 2, begins[piece + 1])
-                if self.known[w][j][flat[low:high]].sum() < ORDER * len(item.words):
-                    continue
-                pos += at - begins[piece]
-                share = item.leaked(codes[max(0, pos - w // 2) : pos + w + w // 2])
-                if share:
-                    found.add((text, item.id))
-                    yield text, item.id, share, pos
+                yield from self._check(group[j], w, self.known[w][j], k * step * STEP, flat, held, begins, starts_of, found)
+        for item, term in self.short:
+            for pos in np.flatnonzero(flat == term).tolist():
+                yield from self._check(item, 2 * STEP, None, max(0, pos - STEP), flat, held, begins, starts_of, found)
+
+    @staticmethod
+    def _check(item, w, known, pos, flat, held, begins, starts_of, found) -> Iterator[tuple]:
+        """Verify a candidate window of ``w`` words at ``pos`` of the joined pieces."""
+        piece = int(np.searchsorted(starts_of, pos, "right")) - 1
+        text, at, codes = held[piece]
+        if (text, item.id) in found:
+            return
+        low, high = max(begins[piece], pos - w // 2), min(pos + w + w // 2, begins[piece + 1])
+        if known is not None and known[flat[low:high]].sum() < ORDER * len(item.words):
+            return
+        pos += at - begins[piece]
+        share = item.leaked(codes[max(0, pos - w // 2) : pos + w + w // 2])
+        if share:
+            found.add((text, item.id))
+            yield text, item.id, share, pos
 
 
 def find_leaks(
@@ -306,7 +317,7 @@ def find_leaks(
             finder = Searcher(space.value, held.value)
             for part in batches:
                 ids = list(part["id"])
-                hits = finder.search([np.frombuffer(c, dtype=np.uint32) for c in part["codes"]]) if finder.scales else ()
+                hits = finder.search([np.frombuffer(c, dtype=np.uint32) for c in part["codes"]]) if finder.scales or finder.short else ()
                 rows = [(ids[t], item, float(share), pos) for t, item, share, pos in hits]
                 yield pd.DataFrame(rows, columns=[id_col, item_col, "lcs_share", "word_position"])
 

@@ -159,6 +159,8 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_i
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tobytes()]})
 
     row = both.repartition(1).mapInPandas(run, "weights binary, thresholds binary").first()
+    if row is None:
+        return fit_arrays([], np.zeros(0, dtype=np.int64), n_grades)
     return Model(np.frombuffer(row.weights, dtype=np.float32), np.frombuffer(row.thresholds))
 
 

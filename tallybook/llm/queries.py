@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import find_leaks
+from .html_wrappers import extract
+from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .neighbours import search
@@ -21,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item found in it."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -32,6 +39,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(Ledger(spark).scan(docs))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
@@ -61,8 +72,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_html_text": op2_html_text,
     "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_url_filter": op7_url_filter,
     "op8_line_dedup": op8_line_dedup,
