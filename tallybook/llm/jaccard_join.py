@@ -85,22 +85,27 @@ def prefix_length(n):
     return n - -(-PERCENT * n // 100) + 1
 
 
-_PACKED = "block string, range int, idx int, id long, n int, s1 long, s2 long, tokens binary, docs binary"
+_META = "idx int, id long, has_id boolean, n int, s1 long, s2 long"
+_PACKED = f"block string, range int, {_META}, tokens binary, docs binary"
 
 
 def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
-    """``docs`` (id, text) as two kinds of rows: range NULL: one per document; else the tokens of a block in one range."""
+    """``docs`` (id, text) as two kinds of rows: a negative range: one per document; else the tokens of a block in one range.
+
+    A block is named by its place in the input, so that a task that runs again makes the same ones.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = WordCodes()
         from pyspark import TaskContext
 
-        task = TaskContext.get()
-        name, block = f"{task.partitionId()}-{task.taskAttemptId()}", 0
+        task = TaskContext.get().partitionId()
+        block = 0
         meta, sets, seen, size = [], [], set(), 0
 
         def flush():
-            yield pd.DataFrame(meta, columns=["idx", "id", "n", "s1", "s2"]).assign(block=f"{name}-{block}", range=None, tokens=None, docs=None)
+            own = pd.DataFrame(meta, columns=["idx", "id", "has_id", "n", "s1", "s2"])
+            yield own.assign(block=f"{task}-{block}", range=-1 - (task + block) % (1 << bits), tokens=None, docs=None)
             if sets:
                 tokens = np.concatenate([t for _, t in sets])
                 owner = np.repeat(np.array([i for i, _ in sets], dtype=np.uint16), [len(t) for _, t in sets])
@@ -111,15 +116,15 @@ def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
                 ends = [*first[1:], len(tokens)]
                 short = tokens.view(np.uint8).reshape(-1, 8)[:, :6] if bits >= 16 else (tokens >> _U(16)).view(np.uint8).reshape(-1, 8)[:, :6]
                 yield pd.DataFrame({
-                    "block": f"{name}-{block}", "range": part[first], "idx": 0, "id": None, "n": 0, "s1": 0, "s2": 0,
+                    "block": f"{task}-{block}", "range": part[first], "idx": 0, "id": 0, "has_id": False, "n": 0, "s1": 0, "s2": 0,
                     "tokens": [short[a:b].tobytes() for a, b in zip(first, ends)], "docs": [owner[a:b].tobytes() for a, b in zip(first, ends)],
                 })
 
         for batch in batches:
-            for i, text in zip(batch["id"], batch["text"]):
+            for i, text in zip(ids_of(batch["id"], batch["has_id"]), batch["text"]):
                 tokens = codes.shingles(text)
                 sig = (len(tokens), *signature(tokens))
-                meta.append((len(meta), None if pd.isna(i) else int(i), *sig))
+                meta.append((len(meta), 0 if i is None else int(i), i is not None, *sig))
                 if len(tokens) and sig not in seen:
                     seen.add(sig)
                     sets.append((len(meta) - 1, tokens))
@@ -132,11 +137,16 @@ def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
             for out in flush():
                 yield out[_COLUMNS]
 
-    return freeze(docs.mapInPandas(run, _PACKED), "jaccard-sets")
+    held = docs.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("has_id"), "text")
+    return held.mapInPandas(run, _PACKED)
+
+
+def ids_of(ids: pd.Series, known: pd.Series) -> Iterator[int | None]:
+    return (i if k else None for i, k in zip(ids.tolist(), known.tolist()))
 
 
 _COLUMNS = [c.split()[0] for c in _PACKED.split(", ")]
-_SHARED = "block string, tokens binary, docs binary, df binary"
+_SHARED = f"block string, {_META}, tokens binary, docs binary, df binary"
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -146,7 +156,9 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
-    """Tokens of one range that are in two documents or more, back to their blocks."""
+    """Tokens of one range that are in two documents or more, back to their blocks; rows of documents pass through."""
+    if part["range"].iloc[0] < 0:
+        return part.drop(columns="range").assign(df=None)
     pieces = [_unpack(t) for t in part["tokens"]]
     tokens, place, count = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
     top = _U(int(part["range"].iloc[0])) << _U(48)  # tells equal rests of other ranges apart
@@ -158,14 +170,16 @@ def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
         if keep.any():
             owner = np.frombuffer(docs, dtype=np.uint16)[keep]
             out.append((block, (piece[keep] | top).tobytes(), owner.tobytes(), df[keep].astype(np.uint32).tobytes()))
-    return pd.DataFrame(out, columns=["block", "tokens", "docs", "df"])
+    named = pd.DataFrame(out, columns=["block", "tokens", "docs", "df"])
+    return named.assign(idx=0, id=0, has_id=False, n=0, s1=0, s2=0)[[c.split()[0] for c in _SHARED.split(", ")]]
 
 
 _SETS = "id long, n int, s1 long, s2 long, tokens binary, df binary, lead double"
 
 
-def _gather_block(meta: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+def _gather_block(block: pd.DataFrame) -> pd.DataFrame:
     """Sets of one block with at least 75 of 100 tokens shared: tokens and their counts, rare ones first."""
+    meta, parts = block[block["tokens"].isna()], block[block["tokens"].notna()]
     if not len(parts) or not len(meta):
         return pd.DataFrame([], columns=[c.split()[0] for c in _SETS.split(", ")])
     tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in parts["tokens"]])
@@ -253,7 +267,7 @@ def links(sets: DataFrame) -> DataFrame:
     marked = marked.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
-    keep = ["token", "sid", "n", "bits", "others"]
+    keep = ["token", "sid", "n", "bits", "others", "firsts"]
     a = marked.where("open").withColumn("row", spot(rows, 1)).withColumn("col", F.explode(F.sequence(F.lit(0), cols - 1)))
     b = marked.withColumn("col", spot(cols, 2)).withColumn("row", F.explode(F.sequence(F.lit(0), rows - 1)))
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
@@ -263,30 +277,37 @@ def links(sets: DataFrame) -> DataFrame:
 
 
 def _filters(sets: DataFrame) -> DataFrame:
-    """Bitmap of each set's tokens and bitmaps of its prefixes under the second and third order."""
+    """Bitmap of each set's tokens, bitmaps of its second and third prefix, and the tokens of the first one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            bits, others = [], []
+            bits, others, firsts = [], [], []
             for n, t, d in zip(part["n"], part["tokens"], part["df"]):
                 tokens = np.frombuffer(t, dtype=_U)
-                _, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
+                first, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
+                firsts.append(np.sort(first).tobytes())
                 bits.append(_bitmap(tokens).tobytes())
                 others.append(_bitmap(second, 512).tobytes() + _bitmap(third, 512).tobytes())
-            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others, "m": [len(t) // 8 for t in part["tokens"]]})
+            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others, "firsts": firsts})
 
-    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary, m int")
+    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary, firsts binary")
 
 
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one cell of a bucket that pass length, both other orders and the bitmap bound."""
+    """Pairs of one cell of a bucket that pass length, both other orders and the bitmap bound.
+
+    A pair belongs to the bucket of the smallest prefix token that its two sets share: there one of them is open, or both
+    link with the leader and are connected already.
+    """
     ours, theirs, out = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
         grid = lambda f, c: np.stack([np.frombuffer(x, dtype=_U) for x in f[c]])
         ids, n, bits, others = theirs["sid"].to_numpy(), theirs["n"].to_numpy(), grid(theirs, "bits"), grid(theirs, "others")
-        half = others.shape[1] // 2
+        half, token = others.shape[1] // 2, np.int64(cell["token"].iloc[0]).view(_U)
+        prefixes = [np.frombuffer(x, dtype=_U) for x in theirs["firsts"]]
         weight = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        for sid, size, own, mine in zip(ours["sid"], ours["n"], grid(ours, "bits"), grid(ours, "others")):
+        for sid, size, own, mine, prefix in zip(ours["sid"], ours["n"], grid(ours, "bits"), grid(ours, "others"), ours["firsts"]):
+            smaller = set(np.frombuffer(prefix, dtype=_U)[: np.searchsorted(np.frombuffer(prefix, dtype=_U), token)].tolist())
             need = least_overlap(size, n)
             ok = (ids != sid) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
             meet = others & mine
@@ -294,7 +315,7 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
             # tokens of theirs that can't be in ours: bits set there only, one token each at least
             ok &= n - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64) >= need
             ok &= size - (int(np.bitwise_count(own).sum()) - (weight - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64))) >= need
-            found = ids[ok]
+            found = np.array([ids[k] for k in np.flatnonzero(ok) if smaller.isdisjoint(prefixes[k].tolist())], dtype=np.int64)
             out.append(pd.DataFrame({"a": np.minimum(found, sid), "b": np.maximum(found, sid)}))
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
@@ -320,10 +341,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(16, max(0, int(np.ceil(np.log2(max(1, total / 6 / RANGE_TOKENS))))))
-    packed = packed_sets(texts, bits)
-    meta = packed.where("range is null").select("block", "idx", "id", "n", "s1", "s2")
-    shared = packed.where("range is not null").select("block", "range", "tokens", "docs").groupBy("range").applyInPandas(_shared_in_range, _SHARED)
-    sets = meta.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(_gather_block, _SETS)
+    ranges = packed_sets(texts, bits).groupBy("range").applyInPandas(_shared_in_range, _SHARED)
+    ranges = freeze(ranges, "jaccard-ranges")
+    meta = ranges.where("tokens is null").select(F.when(F.col("has_id"), F.col("id")).alias("id"), "n", "s1", "s2")
+    sets = ranges.groupBy("block").applyInPandas(_gather_block, _SETS)
     sets = freeze(sets, "jaccard-shared")
     key = ["n", "s1", "s2"]
     classes = meta.where("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("sid"))
