@@ -279,7 +279,9 @@ def host_places(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
                     new = page_wrapper(page)
                     held[host] = align(held[host], new) if host in held else new
         task = TaskContext.get().partitionId()
-        yield pd.DataFrame({"host": list(held), "task": task, "wrapper": [json.dumps(w) for w in held.values()]})
+        # a task without pages has nothing to say; an empty column of no type couldn't be sent either
+        if held:
+            yield pd.DataFrame({"host": list(held), "task": task, "wrapper": [json.dumps(w) for w in held.values()]})
 
     def level(group: pd.DataFrame) -> pd.DataFrame:
         merged = _merge(map(json.loads, sorted(group["wrapper"])))
@@ -288,7 +290,8 @@ def host_places(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             trees = [json.loads(w) for w in part["wrapper"]]
-            yield pd.DataFrame({"host": part["host"], "place": [json.dumps(main_place(w)) for w in trees], "wrapper": [expression(w) for w in trees]})
+            if trees:
+                yield pd.DataFrame({"host": part["host"], "place": [json.dumps(main_place(w)) for w in trees], "wrapper": [expression(w) for w in trees]})
 
     kind = "host string, task int, wrapper string"
     rows = pages.select(F.col(host_col).alias("host"), F.col(html_col).alias("html"))

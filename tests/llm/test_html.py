@@ -41,6 +41,8 @@ def test_main_text(spark):
         assert got[i] == f"T{i}\none {i}\ntwo {i} b", got[i]  # the template line goes
     assert got[8] == "only text here" and got[9] == "" and got[10] == ""
     assert hw.extract(df.limit(0)).count() == 0
+    assert {r.page_id: r.text for r in hw.extract(df.repartition(40, "page_id")).collect()} == got  # tasks without rows
+    assert [r.text for r in hw.extract(df.where("html is null")).collect()] == [""]
 
 
 def test_corpus_pages(spark, sf):
@@ -51,3 +53,13 @@ def test_corpus_pages(spark, sf):
         want = [" ".join(html.unescape(re.sub(r"<[^>]*>?", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert got[r.page_id].text == "\n".join(b for b in want if b)
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
+
+
+def test_copies_on_a_host_keep_their_text(spark):
+    """A part that only some pages have is no template, though it reads the same on all of those."""
+    own = [(i, page(f"T{i}", [f"one {i}", f"two {i}"])) for i in range(12)]
+    copies = [(i, page("Same", ["one", "two"], "<blockquote>a quote of the copied article</blockquote>")) for i in range(20, 28)]
+    df = spark.createDataFrame([(i, "http://h.x/a", p) for i, p in own + copies], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hw.extract(df).collect()}
+    assert got[20].split("\n")[:4] == ["Same", "one", "two", "a quote of the copied article"]
+    assert got[3].split("\n")[:3] == ["T3", "one 3", "two 3"]
