@@ -31,6 +31,7 @@ from .common import freeze
 
 _FAN = 64
 MIN_PAGES = 5  # fewer pages of a host don't show what is template
+TEMPLATE_SHARE = 0.9  # of a host's pages have a template text at its place; copies of one page alone are none
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>?|<[!?][^>]*>?""", re.S)
 NAME = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -239,7 +240,7 @@ def main_place(wrapper: list) -> dict:
     own = [(p, s) for p, s in slots if p[: len(root)] == root and not bad(p, len(root))]
     fixed = []
     if wrapper[3] >= MIN_PAGES and any(s[4] is None for _, s in own):
-        fixed = [[list(p), s[4]] for p, s in own if s[4] is not None and s[3] >= MIN_PAGES and not s[2]]
+        fixed = [[list(p), s[4]] for p, s in own if s[4] is not None and s[3] >= TEMPLATE_SHARE * wrapper[3] and not s[2]]
     # a path whose text is mostly links on the whole site is a list of links
     chars: dict[tuple, list[int]] = {}
     for p, s in own:
