@@ -332,7 +332,7 @@ def derived_ratios(rec: DataFrame) -> DataFrame:
     )
 
 
-def interest_medians(by_installments: DataFrame, counts: tuple[int, ...] = (2, 3, 12)) -> DataFrame:
+def interest_medians(by_installments: DataFrame, counts: tuple[int, ...] = (2, 12)) -> DataFrame:
     """Median overpayment at chosen installment counts."""
     return by_installments.where(F.col("max_installments").isin(*counts)).select("max_installments", "median_gap_pct")
 

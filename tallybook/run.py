@@ -1,6 +1,8 @@
 """One full run: load, check, reconcile, build the star, export everything.
 
-    python -m tallybook.run <folder with the eight CSV tables> <output folder>
+    python -m tallybook.run <folder with the eight CSV tables> <output folder> [--single-line]
+
+``--single-line`` is for files without line breaks in fields: Spark then splits large files.
 """
 
 from __future__ import annotations
@@ -36,4 +38,5 @@ def run_csv(spark: SparkSession, raw: str, out: str, files: Mapping[str, str] |
 
 
 if __name__ == "__main__":
-    run_csv(SparkSession.builder.appName("tallybook").getOrCreate(), sys.argv[1], sys.argv[2])
+    paths = [a for a in sys.argv[1:] if a != "--single-line"]
+    run_csv(SparkSession.builder.appName("tallybook").getOrCreate(), *paths, multi_line=len(paths) == len(sys.argv) - 1)

@@ -12,21 +12,41 @@ from ..contracts import TableSpec
 from ..operators.ordered import Freeze
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
-    """CSV with a header, every column as text, quote and escape ``"``.
+def read_cells(spark: SparkSession, path: str, cells: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The rows of CSV files, headers among them, every cell as text, quote and escape ``"``.
 
     ``multi_line=False`` lets Spark split large files when no field holds a line break.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    options = {"header": False, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    return spark.read.schema(schema).options(**options).csv(path)
+
+
+def _headers(landed: DataFrame, firsts: DataFrame, cells: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per file: its path, its column names and the place of each contract column among them."""
+    names = F.transform(F.array(*cells), lambda c: F.trim(F.regexp_replace(c, "^\\uFEFF", "")))
+    heads = landed.join(firsts.select("_file", F.col("_first").alias("_seq")), ["_file", "_seq"]).select(
+        "_file", names.alias("_names")
     )
+    places = F.array(*[F.array_position("_names", F.lit(c)).cast("int") for c in columns])
+    return heads.select("_file", "_names", places.alias("_places"))
+
+
+def _check_headers(headers: DataFrame, columns: Sequence[str]) -> None:
+    """Raise when a file lacks a column, has one that the contract doesn't know, or has one twice."""
+    wanted, named = F.array(*[F.lit(c) for c in columns]), F.filter("_names", lambda c: c.isNotNull())
+    twice = F.filter(F.array_distinct(named), lambda c: F.size(F.filter(named, lambda d: d == c)) > 1)
+    faults = headers.select(
+        "_file",
+        F.concat(
+            F.transform(F.array_except(wanted, named), lambda c: F.concat(F.lit("missing column "), c)),
+            F.transform(F.array_except(named, wanted), lambda c: F.concat(F.lit("extra column "), c)),
+            F.transform(twice, lambda c: F.concat(F.lit("column "), c, F.lit(" twice"))),
+        ).alias("_faults"),
+    ).where(F.size("_faults") > 0)
+    found = faults.orderBy("_file").limit(10).collect()
+    if found:
+        raise ValueError("; ".join(f"{r._file}: {', '.join(r._faults)}" for r in found))
 
 
 def land_csv(
@@ -34,43 +54,52 @@ def land_csv(
 ) -> DataFrame:
     """Load a CSV table once into columnar form, with ``_row_id`` = 1, 2, 3, ... in file order.
 
-    Spark packs file splits by size, so the order of its partitions is not the order of the file.  Rows are
-    numbered inside their split and the sizes of the earlier splits of the same file (and of earlier files, by
-    path) are added.  The numbers are frozen before they are used, so a rerun cannot shift them.
+    Columns are bound by the header of each file, whatever its order; a missing, unknown or repeated column is an
+    error that names file and column.  Spark packs file splits by size, so the order of its partitions is not the
+    order of the file.  Rows are numbered inside their split and the sizes of the earlier splits of the same file
+    (and of earlier files, by path) are added.  The numbers are frozen before they are used, so a rerun cannot
+    shift them.
     """
-    text = read_text_csv(spark, path, columns, multi_line)
-    numbered = text.select(
-        *columns,
+    # one cell more than the contract has columns shows a surplus one
+    cells = [f"_cell{i}" for i in range(len(columns) + 1)]
+    numbered = read_cells(spark, path, cells, multi_line).select(
+        *cells,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
     )
     landed = freeze(f"{label}_landed", numbered)
-    splits = landed.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = landed.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    splits = freeze(f"{label}_splits", counted.withColumn("_place", F.row_number().over(in_file)))
+    headers = freeze(f"{label}_headers", _headers(landed, splits.where("_place = 1"), cells, columns))
+    _check_headers(headers, columns)
+    # the first split of a file starts with the header, which is no row of the table
+    head = (F.col("_place") == 1).cast("int")
+    splits = splits.select("_file", "_block", (F.col("_first") + head).alias("_first"), (F.col("_rows") - head).alias("_rows"))
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     by_path = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = splits.groupBy("_file").agg(F.sum("_rows").alias("_file_rows")).select(
         "_file", F.coalesce(F.sum("_file_rows").over(by_path), F.lit(0)).alias("_file_before")
     )
+    shift = F.col("_file_before") + F.col("_split_before") - F.col("_first") + 1
     starts = (
-        splits.withColumn("_split_before", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
+        splits.withColumn("_split_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .join(files, "_file")
-        .select("_file", "_block", (F.col("_file_before") + F.col("_split_before") - F.col("_first") + 1).alias("_shift"))
-    )
-    return landed.join(starts, ["_file", "_block"]).select(
-        (F.col("_seq") + F.col("_shift")).cast("long").alias("_row_id"), *columns
+        .join(headers, "_file")
+        .select("_file", "_block", "_first", "_places", shift.alias("_shift"))
     )
+    rows = landed.join(starts, ["_file", "_block"]).where("_seq >= _first")
+    own = [F.get(F.array(*cells), F.get("_places", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)]
+    return rows.select((F.col("_seq") + F.col("_shift")).cast("long").alias("_row_id"), *own)
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:
     """Add ``_row_id`` (1 = first row) to a Parquet scan: position in the file plus the rows of earlier files.
 
-    A one-file table needs no second look; otherwise one row per file is aggregated from the row positions
-    alone (no data column is read).
+    One row per file is aggregated from the row positions alone (no data column is read).
     """
     place = F.col("_metadata.row_index") + 1
-    if len(df.inputFiles()) <= 1:
-        return df.select(place.cast("long").alias("_row_id"), "*")
     by_path = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"))

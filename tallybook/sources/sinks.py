@@ -22,10 +22,9 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read an exported CSV back with inferred types."""
-    return (
-        spark.read.option("header", True).option("inferSchema", True).option("quote", '"').option("escape", '"').csv(path)
-    )
+    """Read an exported CSV back with inferred types; values may hold line breaks, so a part file is read as one."""
+    options = {"header": True, "inferSchema": True, "multiLine": True, "quote": '"', "escape": '"'}
+    return spark.read.options(**options).csv(path)
 
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str) -> None:

@@ -28,6 +28,27 @@ def test_csv_is_text_in_file_order(spark, freeze, tmp_path, multi_line):
     assert rows[2].a == "007" and rows[2].b == ("line one\nline two" if multi_line else "one line")
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_columns_are_bound_by_name(spark, freeze, tmp_path, multi_line):
+    """Each file of a folder has its own header; its order may differ."""
+    write(tmp_path, "a.csv", "a,b\n1,2\n3,\n")
+    write(tmp_path, "b.csv", "b,a\n5,4\n,6\n", "utf-8-sig")
+    write(tmp_path, "c.csv", "b,a\n")
+    rows = readers.land_csv(spark, str(tmp_path), ["a", "b"], freeze, f"named{multi_line}", multi_line).orderBy("_row_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "1", "2"), (2, "3", None), (3, "4", "5"), (4, "6", None)]
+
+
+@pytest.mark.parametrize(
+    ("header", "message"),
+    [("a,b,c", "extra column c"), ("c,a,b", "extra column c"), ("a", "missing column b"), ("a,c", "missing column b"), ("a,a,b", "column a twice")],
+)
+def test_csv_with_other_columns_is_refused(spark, freeze, tmp_path, header, message):
+    write(tmp_path, "good.csv", "b,a\n1,2\n")
+    write(tmp_path, "odd.csv", f"{header}\n1,2,3\n")
+    with pytest.raises(ValueError, match=f"odd.csv.*{message}"):
+        readers.land_csv(spark, str(tmp_path), ["a", "b"], freeze, f"odd{header}".replace(",", ""))
+
+
 def test_split_csv_files_keep_their_order(spark, freeze, tmp_path):
     """Two files of different size, read in many splits: ids follow path, then position in the file."""
     for name, start, n in (("a.csv", 0, 3000), ("b.csv", 3000, 20000)):
@@ -73,8 +94,9 @@ def test_exports_agree(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/t.parquet")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert any(p.name.endswith(".zstd.parquet") for p in (tmp_path / "t.parquet").iterdir())
-    text = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{tmp_path}/t.csv")
-    assert {r.t for r in text.collect()} == {'a "b", c', "line\nbreak"}
+    assert {r.t for r in sinks.read_csv(spark, f"{tmp_path}/t.csv").collect()} == {'a "b", c', "line\nbreak"}
+    row = sinks.copy_parity(spark, str(tmp_path), ["t"]).first()
+    assert (row.parquet_rows, row.csv_rows) == (2, 2)
 
 
 def test_copy_parity_and_inferred_types(spark, tmp_path):
