@@ -10,9 +10,10 @@ first but with other ties: candidates must share a prefix token under each.
 2. All tokens that two documents share are among the returned ones, so sets go on as lists of those.  A document of which
    under 75 of 100 tokens came back can't link with anything and leaves here.  Equal sets become one class.
 3. Every prefix token of the first order is a bucket.  The member with the most common tokens leads; the others are
-   checked against it.  Those that link are in its component; what is left is compared with the whole bucket,
-   in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a bitmap bound on the intersection, and verified
-   exactly.  So every link between different components is found, but a group of near copies is not paired out.
+   checked against it, and the links of all leaders give first components.  Members outside the leader's component are compared
+   with those of other components in the bucket, in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a
+   bitmap bound on the intersection, and verified exactly.  So every link between different components is found, but a group
+   of near copies is not paired out.
 4. Components of the links by label propagation with pointer jumping; equal sets share the label of their class.
 
 Cases: NULL and empty texts have no shingles and link with nothing; equal texts are one class; rows that share an id
@@ -258,16 +259,17 @@ def links(sets: DataFrame) -> DataFrame:
     posts = freeze(posts.join(sizes, "token").select("token", "sid", "n", "size", F.col("top.sid").alias("top"), F.col("top.n").alias("top_n")), "jaccard-buckets")
     led = posts.where((F.col("sid") != F.col("top")) & _lengths_fit(F.col("n"), F.col("top_n")))
     first = freeze(verified(led.select(F.col("top").alias("a"), F.col("sid").alias("b")).distinct(), sets), "jaccard-led")
-    known = first.select(F.col("a").alias("top"), F.col("b").alias("sid"), F.lit(True).alias("linked"))
-    marked = posts.join(known, ["top", "sid"], "left")
-    marked = marked.withColumn("open", F.col("linked").isNull() & (F.col("sid") != F.col("top"))).drop("linked", "top", "top_n")
     # buckets with two sets have no more pairs than the one that was checked
-    marked = freeze(marked.where("size > 2"), "jaccard-open")
+    marked = posts.where("size > 2").drop("top_n").join(components(first), "sid", "left")
+    marked = freeze(marked.withColumn("label", F.coalesce("label", "sid")), "jaccard-labelled")
+    heads = marked.where("sid = top").select("token", F.col("label").alias("top_label"))
+    marked = marked.join(heads, "token").withColumn("open", F.col("label") != F.col("top_label")).drop("top", "top_label")
+    marked = freeze(marked, "jaccard-open")
     left = marked.groupBy("token").agg(F.sum(F.col("open").cast("int")).alias("open_size")).where("open_size > 0")
     marked = marked.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
-    keep = ["token", "sid", "n", "bits", "others", "firsts"]
+    keep = ["token", "sid", "n", "label", "bits", "others", "firsts"]
     a = marked.where("open").withColumn("row", spot(rows, 1)).withColumn("col", F.explode(F.sequence(F.lit(0), cols - 1)))
     b = marked.withColumn("col", spot(cols, 2)).withColumn("row", F.explode(F.sequence(F.lit(0), rows - 1)))
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
@@ -294,10 +296,10 @@ def _filters(sets: DataFrame) -> DataFrame:
 
 
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one cell of a bucket that pass length, both other orders and the bitmap bound.
+    """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bitmap bound.
 
-    A pair belongs to the bucket of the smallest prefix token that its two sets share: there one of them is open, or both
-    link with the leader and are connected already.
+    A pair belongs to the bucket of the smallest prefix token that its two sets share: one of them at least is open there,
+    since the leader can be connected with one side only.
     """
     ours, theirs, out = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
@@ -306,10 +308,12 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
         half, token = others.shape[1] // 2, np.int64(cell["token"].iloc[0]).view(_U)
         prefixes = [np.frombuffer(x, dtype=_U) for x in theirs["firsts"]]
         weight = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        for sid, size, own, mine, prefix in zip(ours["sid"], ours["n"], grid(ours, "bits"), grid(ours, "others"), ours["firsts"]):
+        labels = theirs["label"].to_numpy()
+        rows = zip(ours["sid"], ours["n"], ours["label"], grid(ours, "bits"), grid(ours, "others"), ours["firsts"])
+        for sid, size, label, own, mine, prefix in rows:
             smaller = set(np.frombuffer(prefix, dtype=_U)[: np.searchsorted(np.frombuffer(prefix, dtype=_U), token)].tolist())
             need = least_overlap(size, n)
-            ok = (ids != sid) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
+            ok = (labels != label) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
             meet = others & mine
             ok &= meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)
             # tokens of theirs that can't be in ours: bits set there only, one token each at least
