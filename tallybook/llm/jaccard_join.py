@@ -12,7 +12,7 @@ first but with other ties: candidates must share a prefix token under each.
 3. Every prefix token of the first order is a bucket.  The member with the most common tokens leads; the others are
    checked against it, and the links of all leaders give first components.  Members outside the leader's component are compared
    with those of other components in the bucket, in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a
-   bitmap bound on the intersection, and verified exactly.  So every link between different components is found, but a group
+   bound on the intersection (bitmaps, then 16-bit prints of all tokens), and verified exactly.  So every link between different components is found, but a group
    of near copies is not paired out.
 4. Components of the links by label propagation with pointer jumping; equal sets share the label of their class.
 
@@ -207,7 +207,7 @@ def _prefixes(tokens: np.ndarray, df: np.ndarray, n: int) -> list[np.ndarray]:
     return [tokens[np.lexsort((t, r))[:size]] for t, r in zip(ties, ranks)]
 
 
-def _bitmap(tokens: np.ndarray, bits: int = BITS) -> np.ndarray:
+def _bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
     out = np.zeros(bits, dtype=bool)
     out[(_mix(tokens) % _U(bits)).astype(np.int64)] = True
     return np.packbits(out)
@@ -269,7 +269,7 @@ def links(sets: DataFrame) -> DataFrame:
     marked = marked.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
-    keep = ["token", "sid", "n", "label", "bits", "others", "firsts"]
+    keep = ["token", "sid", "n", "label", "prints", "others", "firsts"]
     a = marked.where("open").withColumn("row", spot(rows, 1)).withColumn("col", F.explode(F.sequence(F.lit(0), cols - 1)))
     b = marked.withColumn("col", spot(cols, 2)).withColumn("row", F.explode(F.sequence(F.lit(0), rows - 1)))
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
@@ -278,52 +278,67 @@ def links(sets: DataFrame) -> DataFrame:
     return first.unionAll(second)
 
 
+def _prints(tokens: np.ndarray) -> np.ndarray:
+    """16 bits of each token."""
+    return (_mix(tokens) >> _U(48)).astype(np.uint16)
+
+
 def _filters(sets: DataFrame) -> DataFrame:
-    """Bitmap of each set's tokens, bitmaps of its second and third prefix, and the tokens of the first one."""
+    """Prints of each set's tokens, bitmaps of its second and third prefix, and the tokens of the first one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            bits, others, firsts = [], [], []
+            prints, others, firsts = [], [], []
             for n, t, d in zip(part["n"], part["tokens"], part["df"]):
                 tokens = np.frombuffer(t, dtype=_U)
                 first, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
                 firsts.append(np.sort(first).tobytes())
-                bits.append(_bitmap(tokens).tobytes())
+                prints.append(_prints(tokens).tobytes())
                 others.append(_bitmap(second, 512).tobytes() + _bitmap(third, 512).tobytes())
-            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others, "firsts": firsts})
+            yield pd.DataFrame({"sid": part["sid"], "prints": prints, "others": others, "firsts": firsts})
 
-    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary, firsts binary")
+    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, prints binary, others binary, firsts binary")
 
 
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bitmap bound.
+    """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bounds on the intersection.
 
     A pair belongs to the bucket of the smallest prefix token that its two sets share: one of them at least is open there,
     since the leader can be connected with one side only.
     """
     ours, theirs, out = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
-        grid = lambda f, c: np.stack([np.frombuffer(x, dtype=_U) for x in f[c]])
-        ids, n, bits, others = theirs["sid"].to_numpy(), theirs["n"].to_numpy(), grid(theirs, "bits"), grid(theirs, "others")
-        half, token = others.shape[1] // 2, np.int64(cell["token"].iloc[0]).view(_U)
-        prefixes = [np.frombuffer(x, dtype=_U) for x in theirs["firsts"]]
-        weight = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        labels = theirs["label"].to_numpy()
-        rows = zip(ours["sid"], ours["n"], ours["label"], grid(ours, "bits"), grid(ours, "others"), ours["firsts"])
+        token = np.int64(cell["token"].iloc[0]).view(_U)
+        view = lambda f, c, kind: [np.frombuffer(x, dtype=kind) for x in f[c]]
+        ids, n, labels = (theirs[c].to_numpy() for c in ("sid", "n", "label"))
+        prints, prefixes, others = view(theirs, "prints", np.uint16), view(theirs, "firsts", _U), np.stack(view(theirs, "others", _U))
+        half = others.shape[1] // 2
+        bits = np.stack([_print_bitmap(p) for p in prints])
+        rows = zip(ours["sid"], ours["n"], ours["label"], view(ours, "prints", np.uint16), view(ours, "others", _U), view(ours, "firsts", _U))
         for sid, size, label, own, mine, prefix in rows:
-            smaller = set(np.frombuffer(prefix, dtype=_U)[: np.searchsorted(np.frombuffer(prefix, dtype=_U), token)].tolist())
+            smaller = set(prefix[: np.searchsorted(prefix, token)].tolist())
             need = least_overlap(size, n)
             ok = (labels != label) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
             meet = others & mine
             ok &= meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)
-            # tokens of theirs that can't be in ours: bits set there only, one token each at least
-            ok &= n - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64) >= need
-            ok &= size - (int(np.bitwise_count(own).sum()) - (weight - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64))) >= need
-            found = np.array([ids[k] for k in np.flatnonzero(ok) if smaller.isdisjoint(prefixes[k].tolist())], dtype=np.int64)
+            # tokens of one set that can't be in the other: bits set there only, one token each at least
+            bitmap = _print_bitmap(own)
+            ok &= n - np.bitwise_count(bits & ~bitmap).sum(axis=1, dtype=np.int64) >= need
+            ok &= size - np.bitwise_count(bitmap & ~bits).sum(axis=1, dtype=np.int64) >= need
+            there = np.zeros(1 << 16, dtype=bool)
+            there[own] = True
+            near = [k for k in np.flatnonzero(ok) if np.count_nonzero(there[prints[k]]) >= need[k] and smaller.isdisjoint(prefixes[k].tolist())]
+            found = ids[near].astype(np.int64)
             out.append(pd.DataFrame({"a": np.minimum(found, sid), "b": np.maximum(found, sid)}))
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
 
+def _print_bitmap(prints: np.ndarray) -> np.ndarray:
+    out = np.zeros(BITS, dtype=bool)
+    out[prints // ((1 << 16) // BITS)] = True
+    return np.packbits(out).view(_U)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(sid, label) of every node of an edge: the smallest node it is connected with."""
     both = freeze(edges.select("a", "b").unionAll(edges.select(F.col("b"), F.col("a"))).distinct().toDF("sid", "other"), "cc-edges")
