@@ -306,7 +306,7 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
     A pair belongs to the bucket of the smallest prefix token that its two sets share: one of them at least is open there,
     since the leader can be connected with one side only.
     """
-    ours, theirs, out = cell[cell["ours"]], cell[~cell["ours"]], []
+    ours, theirs, found = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
         token = np.int64(cell["token"].iloc[0]).view(_U)
         view = lambda f, c, kind: [np.frombuffer(x, dtype=kind) for x in f[c]]
@@ -317,8 +317,10 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
         rows = zip(ours["sid"], ours["n"], ours["label"], view(ours, "prints", np.uint16), view(ours, "others", _U), view(ours, "firsts", _U))
         for sid, size, label, own, mine, prefix in rows:
             smaller = set(prefix[: np.searchsorted(prefix, token)].tolist())
-            need = least_overlap(size, n)
             ok = (labels != label) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
+            if not ok.any():
+                continue
+            need = least_overlap(size, n)
             meet = others & mine
             ok &= meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)
             # tokens of one set that can't be in the other: bits set there only, one token each at least
@@ -328,9 +330,8 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
             there = np.zeros(1 << 16, dtype=bool)
             there[own] = True
             near = [k for k in np.flatnonzero(ok) if np.count_nonzero(there[prints[k]]) >= need[k] and smaller.isdisjoint(prefixes[k].tolist())]
-            found = ids[near].astype(np.int64)
-            out.append(pd.DataFrame({"a": np.minimum(found, sid), "b": np.maximum(found, sid)}))
-    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            found += [(min(sid, x), max(sid, x)) for x in ids[near].tolist()]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _print_bitmap(prints: np.ndarray) -> np.ndarray:
