@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import date_key, month_start
+from ..functions.text import NULL_TEXT, date_key, month_start
 from ..operators.ordered import Freeze, ranged_positions
 from ..operators.checks import EXCEPTION
 from .reconcile import first_rows
@@ -215,18 +215,20 @@ def all_exceptions(dq: DataFrame, recon: DataFrame) -> DataFrame:
 
 
 def fact_exceptions(numbered: DataFrame, orders: DataFrame) -> DataFrame:
-    """Every exception with the order, purchase day and state it belongs to."""
+    """Every exception with the order, purchase day and state it belongs to.
+
+    Rows that belong to no order (no key, or its part reads ``<null>``) may be a large share; they stay out of the join.
+    """
     order_id = F.when(
         F.col("table_name").isin(*ORDER_KEYED), F.split_part("record_key", F.lit("|"), F.lit(1))
     )
     where = orders.select("order_id", "purchase_date_key", "state_code")
-    return (
-        numbered.withColumn("order_id", order_id)
-        .join(where, "order_id", "left")
-        .select(
-            "exception_id", "source", "table_name", "record_id", "record_key", "order_id", "check_name", "reason",
-            "severity", "purchase_date_key", "state_code",
-        )
+    rows = numbered.withColumn("order_id", order_id)
+    keyed = F.coalesce(F.col("order_id") != NULL_TEXT, F.lit(False))
+    known = rows.where(keyed).join(where, "order_id", "left")
+    return known.unionByName(rows.where(~keyed), allowMissingColumns=True).select(
+        "exception_id", "source", "table_name", "record_id", "record_key", "order_id", "check_name", "reason",
+        "severity", "purchase_date_key", "state_code",
     )
 
 

@@ -47,12 +47,18 @@ class Workbench:
 
     @classmethod
     def from_csv(
-        cls, spark: SparkSession, folder: str, files: Mapping[str, str] | None = None, multi_line: bool = True
+        cls,
+        spark: SparkSession,
+        folder: str,
+        files: Mapping[str, str] | None = None,
+        multi_line: bool = True,
+        contracts: Mapping[str, TableSpec] | None = None,
+        tolerance: str = reconcile.TOLERANCE,
     ) -> Workbench:
-        """The eight CSV tables of the default contract."""
-        stages, contracts = Stages(spark), default_contracts()
+        """The CSV tables of a contract, by default the built-in one of eight tables."""
+        stages, contracts = Stages(spark), contracts or default_contracts()
         raw = load_csv_tables(spark, folder, contracts, stages.freeze, files, multi_line)
-        return cls(spark, raw, contracts, star.federative_units(spark), stages)
+        return cls(spark, raw, contracts, star.federative_units(spark), stages, tolerance)
 
     @cached_property
     def counts(self) -> DataFrame:

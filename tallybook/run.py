@@ -12,7 +12,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+from .contracts import TableSpec
 from .plans import forecast, metrics, quality, reconcile
+from .plans.results import in_order
 from .plans.workbench import Workbench
 from .sources.sinks import export_tables, write_csv
 
@@ -25,14 +27,27 @@ def export_all(wb: Workbench, out: str) -> dict:
     write_csv(forecast.forecast_table(wb.orders_per_month, ALL_MODELS), f"{out}/processed/forecast_monthly.csv")
     for name, query in reconcile.EVIDENCE.items():
         args = (wb.reconciliation, wb.dq) if name == "sequence_gap_orders_reconcile" else (wb.reconciliation,)
-        write_csv(query(*args), f"{out}/reports/evidence/{name}.csv")
-    write_csv(reconcile.reconciliation_summary(wb.reconciliation), f"{out}/reports/reconciliation_summary.csv")
-    write_csv(quality.exceptions_summary(wb.all_exceptions), f"{out}/reports/exceptions_summary.csv")
+        write_csv(in_order(name, query(*args)), f"{out}/reports/evidence/{name}.csv")
+    summaries = {
+        "reconciliation_summary": reconcile.reconciliation_summary(wb.reconciliation),
+        "exceptions_summary": quality.exceptions_summary(wb.all_exceptions),
+    }
+    for name, df in summaries.items():
+        write_csv(in_order(name, df), f"{out}/reports/{name}.csv")
     return metrics.write_document(wb, f"{out}/reports/metrics.json", ALL_MODELS)
 
 
-def run_csv(spark: SparkSession, raw: str, out: str, files: Mapping[str, str] | None = None, multi_line: bool = True) -> Workbench:
-    wb = Workbench.from_csv(spark, raw, files, multi_line)
+def run_csv(
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    files: Mapping[str, str] | None = None,
+    multi_line: bool = True,
+    contracts: Mapping[str, TableSpec] | None = None,
+    tolerance: str = reconcile.TOLERANCE,
+) -> Workbench:
+    """``contracts`` (see ``contracts_from``) and ``tolerance`` replace the built-in ones."""
+    wb = Workbench.from_csv(spark, raw, files, multi_line, contracts, tolerance)
     export_all(wb, out)
     return wb
 

@@ -8,6 +8,9 @@ import json
 import pytest
 
 import __spark_entry__ as entry
+from tallybook.plans import reconcile, star
+from tallybook.plans.results import ORDERS, in_order
+from tallybook.plans.workbench import Workbench
 from tallybook.run import run_csv
 from tests.compare import difference, oracle
 from tests.shopdata import CONTRACTS, clean, item, order, payment
@@ -61,3 +64,40 @@ def test_full_run_from_csv(spark, tmp_path):
         assert spark.read.parquet(f"{out}/processed/{table}.parquet").count() > 0
     assert spark.read.parquet(f"{out}/processed/dim_customer_state.parquet").count() == 28
     assert (out / "reports" / "evidence" / "voucher_orders.csv").exists()
+
+
+def test_own_contract_and_tolerance(spark, tmp_path):
+    """A contract without reviews, with a shorter value list of another severity; a cent more is no gap any longer."""
+    t = clean()
+    t["orders"].append(order("x"))
+    t["order_items"].append(item("x"))
+    t["order_payments"].append(payment("x", "10.05"))
+    own = {n: s for n, s in CONTRACTS.items() if n != "order_reviews"}
+    for name, spec in own.items():
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            w = csv.DictWriter(f, list(spec.columns))
+            w.writeheader()
+            w.writerows(t[name])
+    wb = Workbench.from_csv(spark, str(tmp_path), contracts=own, tolerance="1000000.00")
+    assert "order_reviews" not in wb.raw and wb.tolerance == "1000000.00"
+    assert wb.dq.where("table_name = 'order_reviews'").count() == 0
+
+
+def test_declared_orders(spark):
+    rows = [("high", 1, "b"), ("low", 9, "a"), ("high", 3, "c"), ("medium", 5, "d"), ("high", 3, "a")]
+    df = spark.createDataFrame(rows, "severity string, exceptions int, source string").selectExpr("*", "source table_name", "source check_name")
+    got = [tuple(r)[:3] for r in in_order("exceptions_summary", df).collect()]
+    assert got == [("high", 3, "a"), ("high", 3, "c"), ("high", 1, "b"), ("medium", 5, "d"), ("low", 9, "a")]
+    gaps = spark.createDataFrame([("a", -5.0), ("b", 1.0), ("c", None), ("d", 5.0)], "order_id string, gap double")
+    assert [r.order_id for r in in_order("voucher_orders", gaps).collect()] == ["a", "d", "b", "c"]
+    assert set(reconcile.EVIDENCE) <= set(ORDERS)
+
+
+def test_exceptions_without_order_stay_out_of_the_join(spark):
+    kinds = "exception_id long, source string, table_name string, record_id long, record_key string, check_name string, reason string, severity string"
+    keys = [("orders", "a"), ("orders", "<null>"), ("order_items", "b|1"), ("order_items", "<null>|2"), ("products", "a"), ("orders", None)]
+    rows = [(i, "s", t, i, k, "c", "r", "high") for i, (t, k) in enumerate(keys)]
+    orders = spark.createDataFrame([("a", 1, "SP"), ("b", 2, "RJ")], "order_id string, purchase_date_key int, state_code string")
+    got = star.fact_exceptions(spark.createDataFrame(rows, kinds), orders).orderBy("exception_id").collect()
+    assert [r.state_code for r in got] == ["SP", None, "RJ", None, None, None]
+    assert [r.order_id for r in got] == ["a", "<null>", "b", "<null>", None, None]

@@ -81,6 +81,8 @@ def test_manifest(spark, tmp_path):
     good = {"a.csv": (digest, 2)}
     assert [r.status for r in manifest_report(spark, str(tmp_path), good).collect()] == ["ok"]
     verify_manifest(spark, str(tmp_path), good)
+    plan = manifest_report(spark, str(tmp_path), good)
+    assert "b.csv" not in "".join(plan.inputFiles())
     bad = {"a.csv": (digest, 3), "b.csv": ("0" * 64, 1), "c.csv": (digest, 1)}
     got = {r.file: r.status for r in manifest_report(spark, str(tmp_path), bad).collect()}
     assert got == {"a.csv": "row count differs", "b.csv": "checksum differs", "c.csv": "missing"}
