@@ -61,7 +61,12 @@ def _sources(staged: Tables, flagged: DataFrame) -> DataFrame:
             F.struct(value.isNull(), -value, *_last_if_null(seq), F.col("_row_id")).alias("pick"),
         ).alias("p"),
     )
-    reviews = staged["order_reviews"].select("order_id", F.struct("review_score").alias("r"))
+    # a contract may have no reviews: the scores are then unknown
+    reviews = (
+        staged["order_reviews"].select("order_id", F.struct("review_score").alias("r"))
+        if "order_reviews" in staged
+        else staged["orders"].select("order_id", F.struct(F.lit(None).cast("int").alias("review_score")).alias("r")).where(F.lit(False))
+    )
     flags = flagged.select("order_id", F.lit(True).alias("dq"))
     parts = [headers, items, payments, reviews, flags]
     return reduce(

@@ -67,20 +67,21 @@ def test_full_run_from_csv(spark, tmp_path):
 
 
 def test_own_contract_and_tolerance(spark, tmp_path):
-    """A contract without reviews, with a shorter value list of another severity; a cent more is no gap any longer."""
+    """A contract without reviews; whoever tolerates a gap of 5 cents has one unmatched order less."""
     t = clean()
     t["orders"].append(order("x"))
     t["order_items"].append(item("x"))
-    t["order_payments"].append(payment("x", "10.05"))
+    t["order_payments"].append(payment("x", "110.05"))
     own = {n: s for n, s in CONTRACTS.items() if n != "order_reviews"}
     for name, spec in own.items():
         with open(tmp_path / f"{name}.csv", "w", newline="") as f:
             w = csv.DictWriter(f, list(spec.columns))
             w.writeheader()
             w.writerows(t[name])
-    wb = Workbench.from_csv(spark, str(tmp_path), contracts=own, tolerance="1000000.00")
-    assert "order_reviews" not in wb.raw and wb.tolerance == "1000000.00"
-    assert wb.dq.where("table_name = 'order_reviews'").count() == 0
+    for tolerance, unmatched in (("0.01", 1), ("0.10", 0)):
+        wb = Workbench.from_csv(spark, str(tmp_path), contracts=own, tolerance=tolerance)
+        assert "order_reviews" not in wb.raw and wb.dq.where("table_name = 'order_reviews'").count() == 0
+        assert wb.reconciliation.where("not is_matched").count() == unmatched
 
 
 def test_declared_orders(spark):
