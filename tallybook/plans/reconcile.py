@@ -29,6 +29,13 @@ def first_rows(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
+def left_join_spread(rows: DataFrame, known: DataFrame, key: str, by: str) -> DataFrame:
+    """Left join on ``key`` in which rows without a key, which match nothing, are dealt over all partitions by ``by``."""
+    none = F.pmod(F.xxhash64(key), F.lit(1))  # 0, but no constant: Spark would take that out of the join keys
+    spread = F.when(F.col(key).isNull(), F.xxhash64(by)).otherwise(none)
+    return rows.withColumn("_spread", spread).join(known.withColumn("_spread", none), [key, "_spread"], "left").drop("_spread")
+
+
 def _last_if_null(c: Column) -> list[Column]:
     """Order keys for a struct comparison: NULLs after all values."""
     return [c.isNull(), c]
@@ -37,7 +44,7 @@ def _last_if_null(c: Column) -> list[Column]:
 def _sources(staged: Tables, flagged: DataFrame) -> DataFrame:
     """Headers, items, payments, reviews and quality flags stacked into one narrow table keyed by order."""
     people = first_rows(staged["customers"], "customer_id").select("customer_id", "customer_state")
-    headers = staged["orders"].join(people, "customer_id", "left").select(
+    headers = left_join_spread(staged["orders"], people, "customer_id", "_row_id").select(
         "order_id", F.struct("_row_id", *HEADER, "customer_state").alias("o")
     )
     price, item = F.col("price"), F.col("order_item_id")
@@ -110,7 +117,7 @@ def order_ledger(staged: Tables, dq: DataFrame) -> DataFrame:
         F.col("product_id").alias("main_product_id"), "product_category_name"
     )
     none = F.lit(0)
-    return known.join(category, "main_product_id", "left").select(
+    return left_join_spread(known, category, "main_product_id", "order_id").select(
         "order_id",
         F.col("o").isNotNull().alias("in_orders"),
         F.col("o._row_id").alias("header_row_id"),
