@@ -102,18 +102,3 @@ def test_exceptions_without_order_stay_out_of_the_join(spark):
     got = star.fact_exceptions(spark.createDataFrame(rows, kinds), orders).orderBy("exception_id").collect()
     assert [r.state_code for r in got] == ["SP", None, "RJ", None, None, None]
     assert [r.order_id for r in got] == ["a", "<null>", "b", "<null>", None, None]
-
-
-def test_rows_without_key_are_spread(spark):
-    rows = spark.range(400).selectExpr("id", "if(id % 2 = 0, null, id % 5) k")
-    known = spark.range(4).selectExpr("id k", "id * 10 v")
-    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        got = reconcile.left_join_spread(rows, known, "k", "id").selectExpr("*", "spark_partition_id() p").collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert len(got) == 400 and all(r.v == (None if r.k in (None, 4) else r.k * 10) for r in got)
-    assert len({r.p for r in got if r.k is None}) > 1
