@@ -9,8 +9,8 @@ Words are coded once (32 bits each, without case and outer punctuation); all pas
 3. Every document is searched with overlapping windows of an item's length.  A window's latent vector is a difference of running
    sums of term vectors; those with a cosine of ``COSINE`` or more to an item are candidates.
 4. A candidate is a leak if the longest common subsequence of the item's words and the words around the window has at least
-   ``ORDER`` of the item's words, and at least ``ANSWER`` of the answer's words come there in order.  Without an answer column the
-   last ``ANSWER_WORDS`` words of an item stand for its answer.
+   ``ORDER`` of the item's words, and where it has an answer, at least ``ANSWER`` of the answer's words come there in order.  Items
+   without an answer (no answer column, or NULL) are judged by their words alone.
 
 Windows cover whole texts, all candidates are checked.  Items are a stated query set; they are taken in blocks of at most ``BLOCK``
 items, one search per block, so what a search broadcasts is bounded whatever the size of the benchmark.
@@ -40,7 +40,6 @@ PASSAGE = 32
 COSINE = 0.72
 ORDER = 0.6
 ANSWER = 0.6
-ANSWER_WORDS = 4
 BLOCK = 20_000
 CHUNK = 1 << 15  # words taken at once
 STEP = 4  # windows start at every so many words
@@ -199,7 +198,7 @@ class Item:
         self.id = item_id
         self.codes = Codes().of(text)
         self.words = self.codes[self.codes > 0].tolist()
-        self.answer = [c for c in Codes().of(answer).tolist() if c] or self.words[-ANSWER_WORDS:]
+        self.answer = [c for c in Codes().of(answer).tolist() if c]
 
     def leaked(self, around: np.ndarray) -> float:
         """Share of the item's words found in order, or 0 if it is no leak."""

@@ -68,6 +68,19 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_only_a_given_answer_is_asked_for(spark):
+    """Without an answer, an item cut off or changed at its end is a leak; a given answer must be there."""
+    item = [f"w{k}" for k in range(40)]
+    texts = {0: item, 1: item[:36], 2: [*item[:36], "a", "b", "c", "d"], 3: item[:20]}
+    filler = [f"z{k}" for k in range(30)]
+    docs = spark.createDataFrame([(i, " ".join([*filler, *ws, *filler])) for i, ws in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item), None), (2, " ".join(item), " ".join(item[-4:]))], "item_id long, text string, answer string")
+    plain = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench.where("item_id = 1").drop("answer")).collect()}
+    assert plain == {(0, 1), (1, 1), (2, 1)}
+    asked = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench, answer_col="answer").collect()}
+    assert asked == {(0, 1), (1, 1), (2, 1), (0, 2)}
+
+
 def test_planted_items_are_found(spark, sf):
     sf = sf.replace("0.001", "0.01")
     docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
