@@ -1,23 +1,22 @@
-"""Benchmark decontamination: latent semantic retrieval, then word order and answer checks.
+"""Benchmark decontamination: an exact bound on shared words, then word order and answer checks.
 
 Words are coded once (32 bits each, without case and outer punctuation); all passes work on the codes.
 
-1. Document frequencies of hashed terms over all documents give the IDF weights.
-2. Randomised SVD of the TF-IDF matrix of all passages (32 words, unit length): every task adds up its part of
-   B = A'(A Omega) for a seeded random Omega; the parts are added in a tree of bounded groups.  One small factorisation
-   of B (Nystrom) gives right singular vectors and values; terms x RANK numbers are all that is ever broadcast.
-3. Every document is searched with overlapping windows of an item's length.  A window's latent vector is a difference of running
-   sums of term vectors; those with a cosine of ``COSINE`` or more to an item are candidates.
-4. A candidate is a leak if the longest common subsequence of the item's words and the words around the window has at least
-   ``ORDER`` of the item's words, and where it has an answer, at least ``ANSWER`` of the answer's words come there in order.  Items
-   without an answer (no answer column, or NULL) are judged by their words alone.
+1. How often each hashed term comes in all documents is counted in one pass; only the speed depends on it.
+2. Every document is searched with windows of twice an item's length and ``STEP`` words more, one from every ``STEP`` words, so
+   that each stretch of twice an item's length lies in one.  A common subsequence has no more words than the window has in
+   common with the item.  Each item's terms are split into frequent and rare ones, where the split tells most: at most
+   all its frequent words can be matched, so ``ORDER`` of its words need a known number of rare ones.  Windows with so many, by
+   differences of running sums, are candidates.  No window that step 3 accepts is lost here.
+3. A candidate is a leak if the longest common subsequence of the item's words and the window has at least ``ORDER`` of the
+   item's words, and, where the item has an answer, at least ``ANSWER`` of the answer's words come there in order.  Items without an
+   answer (no answer column, or NULL) are judged by their words alone.
 
 Windows cover whole texts, all candidates are checked.  Items are a stated query set; they are taken in blocks of at most ``BLOCK``
 items, one search per block, so what a search broadcasts is bounded whatever the size of the benchmark.
 
-Cases: NULL and empty texts or items match nothing; items of fewer than eight words are looked up by their most telling
-word instead of a window; repeated
-documents are found each, repeated items count as one each; empty tables give no rows; further columns are ignored.
+Cases: NULL and empty texts or items match nothing; repeated documents are found each, repeated items count as one each; empty
+tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,15 +34,12 @@ from pyspark.sql import functions as F
 from .common import freeze, words
 
 TERMS = 4096
-RANK = 64
-PASSAGE = 32
-COSINE = 0.72
 ORDER = 0.6
 ANSWER = 0.6
 BLOCK = 20_000
 CHUNK = 1 << 15  # words taken at once
 STEP = 4  # windows start at every so many words
-SEED = 17
+_TOGETHER = 256  # items counted at once
 _FAN = 64
 _SLICE = 256  # terms in one part of a sum
 CACHE_SIZE = 400_000
@@ -109,7 +105,7 @@ def _gather(docs: DataFrame, work, width: int) -> np.ndarray:
             for k in range(0, TERMS, _SLICE):
                 yield pd.DataFrame({"task": [task], "slice": [k // _SLICE], "data": [total[k : k + _SLICE].tobytes()]})
 
-    parts = freeze(docs.select(F.spark_partition_id().cast("long").alias("task"), "codes").mapInPandas(run, _PART), "lsa-parts")
+    parts = freeze(docs.select(F.spark_partition_id().cast("long").alias("task"), "codes").mapInPandas(run, _PART), "term-parts")
     n = (parts.agg(F.max("task")).first()[0] or 0) + 1
     out = np.zeros((TERMS, width))
     for row in tree_sum(parts, max(2, n)).collect():  # TERMS x width numbers
@@ -117,67 +113,15 @@ def _gather(docs: DataFrame, work, width: int) -> np.ndarray:
     return out
 
 
-def idf_weights(docs: DataFrame) -> np.ndarray:
-    """IDF of the hashed terms; ``docs``: codes."""
+def term_rates(docs: DataFrame) -> np.ndarray:
+    """Share of each hashed term in the words of all documents; ``docs``: codes."""
 
     def count(texts, total):
-        seen = np.zeros(TERMS)
         for codes in texts:
-            if len(codes):
-                seen[:] = 0
-                seen[term_ids(codes)] = 1
-                seen[0] = 1  # counts the documents
-                total[:, 0] += seen
-
-    df = _gather(docs, count, 1)[:, 0]
-    idf = np.log((1 + df[0]) / (1 + df)) + 0.1
-    idf[0] = 0.0
-    return idf
-
-
-def sketch(ids: np.ndarray, idf: np.ndarray, omega: np.ndarray, total: np.ndarray) -> None:
-    """Adds A'(A omega) of passages; ``ids`` fills whole passages, ``omega`` is weighted by ``idf``."""
-    rank = omega.shape[1]
-    rows = np.take(omega, ids, axis=0, mode="clip").reshape(-1, PASSAGE, rank)
-    y = np.matmul(np.ones((1, PASSAGE), np.float32), rows)[:, 0]
-    y /= np.maximum((idf[ids] ** 2).reshape(-1, PASSAGE).sum(axis=1), 1e-9)[:, None]
-    order = np.argsort(ids, kind="stable")
-    by_term = ids[order]
-    first = np.flatnonzero(np.concatenate([[True], by_term[1:] != by_term[:-1]]))
-    terms = by_term[first]
-    sums = np.add.reduceat(np.take(np.ascontiguousarray(y.T), order // PASSAGE, axis=1), first, axis=1)
-    total[terms] += idf[terms][:, None] * sums.T
-
-
-def latent_space(docs: DataFrame, rank: int = RANK, seed: int = SEED) -> np.ndarray:
-    """TERMS x rank: IDF times right singular vectors, scaled by the singular values so that no topic drowns the others."""
-    idf = idf_weights(docs)
-    omega = np.random.default_rng(seed).standard_normal((TERMS, rank))
-    idf32, weighted = idf.astype(np.float32), (idf[:, None] * omega).astype(np.float32)
-
-    def add(texts, total):
-        held: list[np.ndarray] = []
-        size = 0
-        for codes in texts:
-            ids = term_ids(codes)
-            # passages must not reach into the next document: fill up with the empty term
-            held.append(np.pad(ids, (0, -len(ids) % PASSAGE)))
-            size += len(held[-1])
-            if size >= CHUNK:
-                whole = np.concatenate(held)
-                for k in range(0, size, CHUNK):
-                    sketch(whole[k : k + CHUNK], idf32, weighted, total)
-                held, size = [], 0
-        if size:
-            sketch(np.concatenate(held), idf32, weighted, total)
-
-    b = _gather(docs, add, rank)
-    core = omega.T @ b
-    core = (core + core.T) / 2
-    lift = max(1e-9, 1e-7 * np.trace(core))
-    f = np.linalg.solve(np.linalg.cholesky(core + lift * np.eye(rank)), b.T).T
-    u, s, _ = np.linalg.svd(f, full_matrices=False)
-    return (idf[:, None] * u / np.maximum(s, 1e-3 * max(1e-9, s[0]))[None, :]).astype(np.float32)
+            total[:, 0] += np.bincount(term_ids(codes), minlength=TERMS)
+
+    n = _gather(docs, count, 1)[:, 0]
+    return (n + 1) / (n.sum() + TERMS)
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -198,42 +142,55 @@ class Item:
         self.id = item_id
         self.codes = Codes().of(text)
         self.words = self.codes[self.codes > 0].tolist()
+        self.known = set(self.words)
         self.answer = [c for c in Codes().of(answer).tolist() if c]
-
-    def leaked(self, around: np.ndarray) -> float:
-        """Share of the item's words found in order, or 0 if it is no leak."""
-        ws = around[around > 0].tolist()
+        self.wide = 2 * STEP * math.ceil(len(self.codes) / STEP) + STEP  # of a window
+        self.least = max(1, math.ceil(ORDER * len(self.words) - 1e-9))
+
+    def rare(self, rates: np.ndarray) -> tuple[np.ndarray, int]:
+        """Terms of the rare words, and how many of them any window with ``least`` of the words has."""
+        terms, n = np.unique(term_ids(np.array(self.words, dtype=np.uint32)), return_counts=True)
+        order = np.argsort(-rates[terms], kind="stable")
+        terms, n = terms[order], n[order]
+        need = self.least - np.concatenate([[0], np.cumsum(n)[:-1]])  # without the first so many terms
+        chance = self.wide * np.cumsum(rates[terms][::-1])[::-1]
+        tells = np.where(need > chance, need * np.log(np.maximum(need, 1) / chance) - need + chance, 0.0)
+        k = int(tells.argmax())
+        return terms[k:], int(need[k])
+
+    def leaked(self, codes: np.ndarray, pos: int) -> tuple[float, int]:
+        """Share of the item's words found in order in the window at ``pos``, or 0 if it is no leak, and where they begin."""
+        ws = codes[pos : pos + self.wide].tolist()
+        if sum(map(self.known.__contains__, ws)) < self.least:
+            return 0.0, pos
         n = lcs_length(self.words, ws)
-        if n < ORDER * len(self.words) or lcs_length(self.answer, ws) < ANSWER * len(self.answer):
-            return 0.0
-        return n / len(self.words)
+        if n < self.least:
+            return 0.0, pos
+        # the last start that keeps all of it is where the copy begins; the window from there has the rest of the copy
+        low, high = 0, len(ws) - n
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if lcs_length(self.words, ws[mid:]) == n else (low, mid - 1)
+        pos += low
+        ws = codes[pos : pos + self.wide].tolist()
+        if lcs_length(self.answer, ws) < ANSWER * len(self.answer):
+            return 0.0, pos
+        return lcs_length(self.words, ws) / len(self.words), pos
 
 
 class Searcher:
-    def __init__(self, space: np.ndarray, items: list[tuple]):
-        self.space = space
-        self.scales: dict[int, list[Item]] = {}
-        self.short: list[tuple[Item, int]] = []  # with the term that tells most
-        for item in (Item(*x) for x in items):
-            if 0 < len(item.words) < 2 * STEP:
-                ids = term_ids(np.array(item.words, dtype=np.uint32))
-                self.short.append((item, int(ids[np.linalg.norm(space[ids], axis=1).argmax()])))
-            elif item.words:
-                self.scales.setdefault(self._scale(len(item.codes)), []).append(item)
-        self.query, self.known = {}, {}
-        for w, group in self.scales.items():
-            q = np.stack([space[term_ids(i.codes)].sum(axis=0) for i in group])
-            self.query[w] = (q / np.maximum(np.linalg.norm(q, axis=1), 1e-9)[:, None]).astype(np.float32)
-            self.known[w] = np.zeros((len(group), TERMS), dtype=np.int8)
-            for k, item in enumerate(group):
-                self.known[w][k, term_ids(item.codes)] = 1
-            self.known[w][:, 0] = 0
-        self.widest = max(self.scales, default=2 * STEP)
-
-    @staticmethod
-    def _scale(n: int) -> int:
-        """Lengths in steps of 1.25, as multiples of STEP."""
-        return STEP * max(2, round(1.25 ** round(math.log(max(n, 1), 1.25)) / STEP))
+    def __init__(self, rates: np.ndarray, items: list[tuple]):
+        self.items = sorted((i for i in (Item(*x) for x in items) if i.words), key=lambda i: i.wide)
+        self.widest = max((i.wide for i in self.items), default=STEP)
+        rare = [i.rare(rates) for i in self.items]
+        self.need = np.array([n for _, n in rare], dtype=np.int64)
+        self.known = []  # TERMS x items, for every ``_TOGETHER`` items
+        for at in range(0, len(rare), _TOGETHER):
+            part = rare[at : at + _TOGETHER]
+            known = np.zeros((TERMS, len(part)), dtype=np.uint8)
+            for k, (terms, _) in enumerate(part):
+                known[terms, k] = 1
+            self.known.append(known)
 
     def search(self, texts: list[np.ndarray]) -> Iterator[tuple[int, object, float, int]]:
         """(text, item id, share in order, word position) of every leak; texts are taken together, ``CHUNK`` words at once."""
@@ -250,44 +207,52 @@ class Searcher:
             yield from self._together(held, found)
 
     def _together(self, held, found: set) -> Iterator[tuple]:
-        """One pass over pieces of texts; empty terms behind each keep windows from reaching into the next."""
+        """One pass over pieces of texts; each begins at a multiple of ``STEP``.  A window may reach into the next piece: the check
+        of a candidate sees its own text only."""
         parts, begins = [], [0]
         for _, at, codes in held:
-            own = codes[at : at + CHUNK + 2 * self.widest]
-            gap = self.widest + (-len(own) - self.widest) % STEP
+            own = codes[at : at + CHUNK + self.widest]
+            gap = -len(own) % STEP
             parts += [own, np.zeros(gap, dtype=np.uint32)]
             begins.append(begins[-1] + len(own) + gap)
         flat, starts_of = term_ids(np.concatenate(parts)), np.array(begins[:-1])
-        rank = self.space.shape[1]
-        rows = np.take(self.space, flat, axis=0, mode="clip").reshape(-1, STEP, rank)
-        blocks = np.matmul(np.ones((1, STEP), np.float32), rows)[:, 0]
-        sums = np.zeros((rank, len(blocks) + 1 + self.widest // STEP))
-        np.cumsum(blocks.T, axis=1, out=sums[:, 1 : len(blocks) + 1])
-        sums[:, len(blocks) + 1 :] = sums[:, len(blocks)][:, None]
-        sums = sums.astype(np.float32)
-        for w, group in self.scales.items():
-            step, wide = max(1, w // (5 * STEP)), w // STEP
-            z = sums[:, wide : wide + len(blocks) : step] - sums[:, : len(blocks) : step]
-            norm = np.maximum(np.sqrt(np.einsum("ij,ij->j", z, z)), 1e-9)
-            near = self.query[w] @ z >= (COSINE * norm)[None, :]
-            for j, k in zip(*(x.tolist() for x in np.nonzero(near))):
-                yield from self._check(group[j], w, self.known[w][j], k * step * STEP, flat, held, begins, starts_of, found)
-        for item, term in self.short:
-            for pos in np.flatnonzero(flat == term).tolist():
-                yield from self._check(item, 2 * STEP, None, max(0, pos - STEP), flat, held, begins, starts_of, found)
+        n = len(flat) // STEP
+        for g, known in enumerate(self.known):
+            hits = np.take(known, flat, axis=0).reshape(n, STEP, -1)
+            blocks = hits[:, 0].copy()
+            for k in range(1, STEP):
+                blocks += hits[:, k]
+            items = self.items[g * _TOGETHER : (g + 1) * _TOGETHER]
+            need = self.need[g * _TOGETHER : (g + 1) * _TOGETHER]
+            # differences of unsigned sums are right however often the sums run over
+            kind = np.uint16 if items[-1].wide < 1 << 16 else np.uint64
+            sums = np.zeros((len(items), n + 1), dtype=kind)
+            np.cumsum(np.ascontiguousarray(blocks.T), axis=1, dtype=kind, out=sums[:, 1:])
+            first = 0
+            while first < len(items):
+                wide = items[first].wide // STEP
+                last = first
+                while last < len(items) and items[last].wide == items[first].wide:
+                    last += 1
+                whole = max(0, n + 1 - wide)  # windows that don't reach over the end
+                own = sums[first:last]
+                near = np.empty((last - first, n), dtype=bool)
+                least = need[first:last, None].astype(kind)
+                np.greater_equal(own[:, wide:] - own[:, :whole], least, out=near[:, :whole])
+                np.greater_equal(own[:, -1:] - own[:, whole:n], least, out=near[:, whole:])
+                for at in np.flatnonzero(near).tolist():
+                    j, k = divmod(at, n)
+                    yield from self._check(items[first + j], k * STEP, held, begins, starts_of, found)
+                first = last
 
     @staticmethod
-    def _check(item, w, known, pos, flat, held, begins, starts_of, found) -> Iterator[tuple]:
-        """Verify a candidate window of ``w`` words at ``pos`` of the joined pieces."""
+    def _check(item, pos, held, begins, starts_of, found) -> Iterator[tuple]:
+        """Verify a candidate window at ``pos`` of the joined pieces."""
         piece = int(np.searchsorted(starts_of, pos, "right")) - 1
         text, at, codes = held[piece]
         if (text, item.id) in found:
             return
-        low, high = max(begins[piece], pos - w // 2), min(pos + w + w // 2, begins[piece + 1])
-        if known is not None and known[flat[low:high]].sum() < ORDER * len(item.words):
-            return
-        pos += at - begins[piece]
-        share = item.leaked(codes[max(0, pos - w // 2) : pos + w + w // 2])
+        share, pos = item.leaked(codes, pos + at - begins[piece])
         if share:
             found.add((text, item.id))
             yield text, item.id, share, pos
@@ -300,7 +265,7 @@ def find_leaks(
     """Rows (id, item_id, lcs_share, word_position): one per document and leaked item."""
     texts = coded(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     spark = docs.sparkSession
-    space = spark.sparkContext.broadcast(latent_space(texts))
+    rates = spark.sparkContext.broadcast(term_rates(texts))
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"), answer.alias("answer"))
     items = items.where(F.col("text").isNotNull() & F.col("item").isNotNull()).distinct()
@@ -313,10 +278,10 @@ def find_leaks(
         held = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # at most about ``block`` items
 
         def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            finder = Searcher(space.value, held.value)
+            finder = Searcher(rates.value, held.value)
             for part in batches:
                 ids = list(part["id"])
-                hits = finder.search([np.frombuffer(c, dtype=np.uint32) for c in part["codes"]]) if finder.scales or finder.short else ()
+                hits = finder.search([np.frombuffer(c, dtype=np.uint32) for c in part["codes"]]) if finder.items else ()
                 rows = [(ids[t], item, float(share), pos) for t, item, share, pos in hits]
                 yield pd.DataFrame(rows, columns=[id_col, item_col, "lcs_share", "word_position"])
 

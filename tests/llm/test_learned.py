@@ -81,6 +81,70 @@ def test_only_a_given_answer_is_asked_for(spark):
     assert asked == {(0, 1), (1, 1), (2, 1), (0, 2)}
 
 
+def leak_trials(texts, items, edit, trials, seed):
+    """(leak by brute force over every window, leak found) of documents with one edited item each."""
+    rng = random.Random(seed)
+    own = [decontaminate.Codes().of(t) for t in texts]
+    vocabulary = np.concatenate(own)
+    n = np.bincount(decontaminate.term_ids(vocabulary), minlength=decontaminate.TERMS)
+    finder = decontaminate.Searcher((n + 1) / (n.sum() + decontaminate.TERMS), [(j, t, None) for j, t in enumerate(items)])
+    by_id = {item.id: item for item in finder.items}
+    docs, planted = [], []
+    for _ in range(trials):
+        j = rng.randrange(len(items))
+        copy = edit(rng, by_id[j].codes.tolist(), lambda: int(vocabulary[rng.randrange(len(vocabulary))]))
+        doc = own[rng.randrange(len(own))].tolist()[:300]
+        at = rng.randrange(len(doc) + 1)
+        docs.append(np.array(doc[:at] + copy + doc[at:], dtype=np.uint32))
+        planted.append(j)
+    found = {(t, j) for t, j, *_ in finder.search(docs)}
+    out = []
+    for t, j in enumerate(planted):
+        item, codes = by_id[j], docs[t].tolist()
+        true = any(decontaminate.lcs_length(item.words, codes[k : k + 2 * len(item.codes)]) >= decontaminate.ORDER * len(item.words) for k in range(len(codes)))
+        out.append((true, (t, j) in found))
+    return out
+
+
+def substituted(share):
+    def edit(rng, codes, word):
+        codes = list(codes)
+        for k in rng.sample(range(len(codes)), round(share * len(codes))):
+            codes[k] = word()
+        return codes
+
+    return edit
+
+
+def widened(rng, codes, word):
+    codes = list(codes)
+    for _ in range(len(codes) // 2):
+        codes.insert(rng.randrange(len(codes) + 1), word())
+    return codes
+
+
+def cut(rng, codes, word):
+    return codes[: round(0.7 * len(codes))]
+
+
+@pytest.mark.parametrize("edit", [substituted(0.1), substituted(0.25), substituted(0.4), widened, cut])
+def test_leaks_are_those_of_brute_force(spark, sf, edit):
+    sf = sf.replace("0.001", "0.01")
+    texts = [r.text or "" for r in table(spark, sf, "documents").collect()]
+    items = [r.text for r in table(spark, sf, "benchmark").collect()]
+    trials = leak_trials(texts, items, edit, 60, 5)
+    assert sum(true for true, _ in trials) >= 40
+    assert all(found for true, found in trials if true)
+
+
+def test_frequent_words_and_short_items(spark):
+    """Items of few or only frequent words, with changed ends, are found; half of an item is not."""
+    rng = random.Random(3)
+    docs = [" ".join(rng.choice(["the", "of", "and", f"x{rng.randrange(900)}"]) for _ in range(200)) for _ in range(20)]
+    trials = leak_trials(docs, ["alpha beta gamma", "the of x and the of the y and of", "p q r s t u v"], substituted(0.3), 60, 6)
+    assert all(found for true, found in trials if true) and sum(true for true, _ in trials) >= 40
+
+
 def test_planted_items_are_found(spark, sf):
     sf = sf.replace("0.001", "0.01")
     docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
