@@ -14,7 +14,7 @@ first but with other ties: candidates must share a prefix token under each.
    with those of other components in the bucket, in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a
    bound on the intersection (bitmaps, then 16-bit prints of all tokens), and verified exactly.  So every link between different components is found, but a group
    of near copies is not paired out.
-4. Components of the links by label propagation with pointer jumping; equal sets share the label of their class.
+4. Components of the links by contraction, in a number of rounds that grows with the logarithm of the nodes; equal sets share the label of their class.
 
 Cases: NULL and empty texts have no shingles and link with nothing; equal texts are one class; rows that share an id
 are one document each; an empty table gives no rows; further columns are ignored.
@@ -340,20 +340,33 @@ def _print_bitmap(prints: np.ndarray) -> np.ndarray:
     return np.packbits(out).view(_U)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(sid, label) of every node of an edge: the smallest node it is connected with."""
+def components(edges: DataFrame) -> DataFrame:
+    """(sid, label) of every node of an edge: the smallest node it is connected with.
+
+    Every round, each node goes to the first of itself and its neighbours and on to where that one goes; nodes that meet become
+    one, until no edge is left.  First is the least id, which ends stars and groups of copies in two rounds, in every other
+    later round the least hash of round and id: at most half of the nodes, on average, are first among their neighbours then, so
+    the rounds grow with the logarithm of the nodes, whatever the order of ids along a chain.
+    """
     both = freeze(edges.select("a", "b").unionAll(edges.select(F.col("b"), F.col("a"))).distinct().toDF("sid", "other"), "cc-edges")
-    labels = freeze(both.groupBy("sid").agg(F.least(F.col("sid"), F.min("other")).alias("label")), "cc-labels")
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("sid").alias("other"), "label"), "other").groupBy("sid").agg(F.min("label").alias("near"))
-        step = labels.join(near, "sid").select("sid", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        jump = labels.select(F.col("sid").alias("label"), F.col("label").alias("far"))
-        new = step.join(jump, "label", "left").select("sid", F.least("label", F.coalesce("far", "label")).alias("label"), "old")
-        new = freeze(new, "cc-labels")
-        labels = new.drop("old")
-        if not new.where("label <> old").limit(1).count():
-            return labels
-    raise RuntimeError("components did not settle")
+    hops: list[DataFrame] = []
+    while both.limit(1).count():
+        k = len(hops)
+        ranked = lambda c: F.struct((F.xxhash64(F.lit(k), c) if k > 1 and k % 2 == 0 else F.lit(0)).alias("p"), F.col(c).alias("to"))  # noqa: B023, E731
+        near = both.groupBy("sid").agg(F.min(ranked("other")).alias("near"))
+        near = freeze(near.select("sid", F.least("near", ranked("sid"))["to"].alias("to")), "cc-near")
+        hop = freeze(near.join(near.toDF("to", "far"), "to").select("sid", F.col("far").alias("to")), "cc-hops")
+        hops.append(hop)
+        moved = both.join(hop.toDF("sid", "x"), "sid").join(hop.toDF("other", "y"), "other").where("x <> y")
+        both = freeze(moved.select(F.col("x").alias("sid"), F.col("y").alias("other")).distinct(), "cc-edges")
+    if not hops:
+        return both.select("sid", F.col("sid").alias("label"))
+    ends = hops.pop()
+    while hops:
+        on = hops.pop().join(ends.toDF("to", "end"), "to", "left")
+        ends = freeze(on.select("sid", F.coalesce("end", "to").alias("to")), "cc-ends")
+    least = freeze(ends.groupBy("to").agg(F.min("sid").alias("label")), "cc-least")
+    return freeze(ends.join(least, "to").select("sid", "label"), "cc-labels")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -70,3 +70,28 @@ def test_random_near_copies(spark, monkeypatch):
 def test_corpus(spark, sf):
     rows = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text").collect()
     check(spark, {r.doc_id: r.text for r in rows})
+
+
+def test_components_of_long_chains(spark):
+    """A path of 1000 nodes with shuffled ids, a star, a clique and a random forest, each one component or as by hand."""
+    rng = random.Random(7)
+    path = rng.sample(range(100_000), 1000)
+    edges = list(zip(path, path[1:]))
+    edges += [(200_050, k) for k in range(200_000, 200_100) if k != 200_050]
+    edges += [(a, b) for a in range(300_000, 300_020) for b in range(a) if b >= 300_000]
+    edges += [(400_000 + rng.randrange(300), 400_000 + rng.randrange(300)) for _ in range(200)]
+    edges = [e for e in edges if e[0] != e[1]]
+    top = {}
+
+    def root(i):
+        while top.setdefault(i, i) != i:
+            i = top[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        top[y] = x
+    got = {r.sid: r.label for r in jj.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: root(i) for i in list(top)}
+    assert {got[i] for i in path} == {min(path)}
+    assert jj.components(spark.createDataFrame([], "a long, b long")).count() == 0
