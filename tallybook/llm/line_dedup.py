@@ -3,15 +3,18 @@
 Lines are split at line feeds; blank, tab and carriage return at their ends do not count, blank lines are skipped (they
 stay in the text).  Every three consecutive lines are a window.  A run of one or two lines of more than ``LONG_WORDS``
 words is a window of its own, so that a long passage on few lines is found, too.  Windows are hashed to 128 bits and
-counted over all documents; the first occurrence (smallest id, then position) stays.  A line is removed if a later
+counted over all documents; the first occurrence (smallest id, then row, then position) stays.  A line is removed if a later
 occurrence of a repeated window covers it.  The earliest copy of a line is never removed, as only a line that has an
 earlier equal line can be covered by a later occurrence.
 
 Built-in functions only.  A window in a third of all documents is combined in the map tasks before it is shuffled; its
 occurrences go back by a join, which Spark may split.
 
+Every row is a document of its own, with a key that is written with its text: rows without an id, or with one id, lose
+their own repeated lines only.
+
 Cases: a NULL text stays NULL, an empty one empty; documents of fewer than three lines have long windows at most; rows
-that share an id count as one document; an empty table gives no rows; further columns are kept.
+without an id come last; an empty table gives no rows; further columns are kept.
 """
 
 from __future__ import annotations
@@ -23,11 +26,12 @@ from .common import WORD, freeze
 
 LONG_WORDS = 50
 _ENDS = " \t\r"
-_MAX_LINES = 1 << 31
+_ROW = "__row"
 
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
-    """Rows (place, id, start, end, w1, w2): one per window; start and end are line positions in the whole text."""
+    """Rows (place, row, start, end, w1, w2): one per window; start and end are line positions in the whole text, places are in
+    the order of occurrences.  ``docs`` have a key per row."""
     line = lambda x, i: F.struct(i.alias("p"), F.btrim(x, F.lit(_ENDS)).alias("t"))
     lines = F.filter(F.transform(F.split(text_col, "\n", -1), line), lambda s: s["t"] != "")
     hashed = F.transform(
@@ -37,7 +41,7 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.regexp_count(s["t"], F.lit(WORD)).alias("n"),
         ),
     )
-    h = docs.select(F.col(id_col).alias("id"), hashed.alias("h"))
+    h = docs.select(F.col(id_col).alias("id"), F.col(_ROW).alias("row"), hashed.alias("h"))
     far = F.greatest(F.size("h"), F.lit(1))
     z = F.arrays_zip(F.col("h").alias("x"), F.slice("h", 2, far).alias("y"), F.slice("h", 3, far).alias("z"))
 
@@ -59,28 +63,27 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return F.array(span([x, y, w], w, False), span([x], x, True), span([x, y], y, True))
 
-    exploded = h.select("id", F.explode(F.flatten(F.transform(z, spans))).alias("s")).where("s is not null")
-    last_id = F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit("9223372036854775808").cast("decimal(20,0)"))
-    place = (last_id * F.lit(_MAX_LINES).cast("decimal(10,0)") + F.col("s.start")).cast("decimal(32,0)")
-    return exploded.select(place.alias("place"), "id", "s.*")
+    exploded = h.select("id", "row", F.explode(F.flatten(F.transform(z, spans))).alias("s")).where("s is not null")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "row", F.col("s.start").alias("start"))
+    return exploded.select(place.alias("place"), "row", "s.*")
 
 
 def repeated_lines(windows: DataFrame) -> DataFrame:
-    """Per document the positions covered by later occurrences of repeated windows, sorted: id, __gone."""
+    """Per row the positions covered by later occurrences of repeated windows, sorted: row, __gone."""
     seen = windows.groupBy("w1", "w2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = windows.join(seen.drop("n"), ["w1", "w2"]).where("place > first").select("id", "start", "end").distinct()
-    return later.groupBy("id").agg(
+    later = windows.join(seen.drop("n"), ["w1", "w2"]).where("place > first").select("row", "start", "end").distinct()
+    return later.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", "end"))))).alias("__gone")
     )
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, plus n_lines and n_removed (of lines in the old text)."""
-    windows = freeze(line_windows(docs, id_col, text_col, long_words), "line-windows")
-    gone = repeated_lines(windows).withColumnRenamed("id", "__id")
+    held = freeze(docs.withColumn(_ROW, F.monotonically_increasing_id()), "line-rows")
+    gone = repeated_lines(line_windows(held, id_col, text_col, long_words)).withColumnRenamed("row", _ROW)
     # the text travels as its lines: split once, below the join
-    split = docs.withColumn("__lines", F.split(text_col, "\n", -1)).drop(text_col)
-    both = split.join(gone, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+    split = held.withColumn("__lines", F.split(text_col, "\n", -1)).drop(text_col)
+    both = split.join(gone, _ROW, "left")
     # stretches between removed lines: each line is copied once, however many are removed
     ends = F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size("__lines")))
     pairs = F.arrays_zip(ends.alias("a"), F.slice(ends, 2, F.size("__gone") + 1).alias("b"))

@@ -157,6 +157,20 @@ def test_line_dedup_edges(spark):
     assert sorted(r.text or "" for r in line_dedup.dedup_lines(nulls).collect()) == ["", "", "a\nb\nc"]
 
 
+def test_line_dedup_keeps_rows_with_one_id_apart(spark):
+    """Rows without an id, or with one id, lose lines at their own repeated places only; equal rows but one are removed."""
+    clean = "\n".join(f"own {k}" for k in range(20))
+    late = "\n".join([*(f"other {k}" for k in range(10)), "p", "q", "r"])
+    for i in (None, 5):
+        docs = [(i, f"p\nq\nr\n{clean}"), (i, late), (i, "k\nl\nm"), (i, "k\nl\nm"), (i, "k\nl\nm"), (9, "p\nq\nr")]
+        got = [r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()]
+        if i is None:  # the document with an id comes first
+            want = [clean, late.replace("\np\nq\nr", ""), "k\nl\nm", "", "", "p\nq\nr"]
+        else:
+            want = [f"p\nq\nr\n{clean}", late.replace("\np\nq\nr", ""), "k\nl\nm", "", "", ""]
+        assert sorted(got) == sorted(want)
+
+
 def test_mixing_edges(spark):
     docs = [(1, "a b", "s"), (2, None, "s"), (3, "c " * 10, "t"), (4, "", None), (5, "d e f", None), (6, "x " * 40, "u"), (7, None, "v"), (7, None, "v")]
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, source string, key int")
