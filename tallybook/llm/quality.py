@@ -35,7 +35,6 @@ BUCKETS = 1 << 18
 SAMPLE = 8000
 ROUNDS = 200
 MIN_DOCS = 3
-MIN_SHARE = 0.01
 RIDGE = 1e-3
 RATE = 0.3
 SCALE = 100.0
@@ -111,8 +110,7 @@ def fit_arrays(texts: list[str | None], grades: np.ndarray, n_grades: int, round
         val.append((SCALE * n / max(1, len(ws))).astype(np.float32))
     row, col, val = (np.concatenate(x) if x else np.zeros(0) for x in (row, col, val))
     row, col = row.astype(np.int64), col.astype(np.int64)
-    least = max(MIN_DOCS, int(MIN_SHARE * len(texts)))
-    common = np.bincount(col, minlength=BUCKETS)[col] >= least  # rarer features teach nothing about other documents
+    common = np.bincount(col, minlength=BUCKETS)[col] >= MIN_DOCS  # the ridge holds the weights of rare ones small
     row, col, val = row[common], col[common], val[common]
     n = max(1, len(texts))
     above = grades[:, None] > np.arange(n_grades - 1)[None, :]  # n x thresholds

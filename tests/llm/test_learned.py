@@ -25,6 +25,30 @@ def test_classifier_held_out(spark, sf):
     assert kept[2] > 0.97 and kept[0] < 0.25 and kept[1] < 0.25
 
 
+def test_classifier_learns_words_of_few_documents(spark, sf):
+    """Toxic words of which each is in under 1% of the rated documents, put into documents of the corpus that are not toxic."""
+    sf = sf.replace("0.001", "0.1")
+    graded = quality.graded(table(spark, sf, "labels")).where("grade > 0")
+    rows = table(spark, sf, "documents").join(graded, "doc_id").orderBy("doc_id").select("text", "grade").limit(3300).collect()
+    rng = random.Random(8)
+    toxic = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(300)]
+
+    def spoiled(text):
+        ws = text.split(" ")
+        for _ in range(max(3, len(ws) // 20)):
+            ws.insert(rng.randrange(len(ws) + 1), rng.choice(toxic))
+        return " ".join(ws)
+
+    docs = [(spoiled(r.text), 0) if r.grade == 2 and k % 10 == 0 else (r.text, r.grade) for k, r in enumerate(rows)]
+    fitted, held = docs[:2900], docs[2900:]
+    sets = [set(t.split()) for t, _ in fitted]
+    assert max(sum(w in s for s in sets) for w in toxic) < 0.01 * len(fitted)
+    model = quality.fit_arrays([t for t, _ in fitted], np.array([g for _, g in fitted]), 3)
+    scores = quality.Scores(model.weights)
+    kept = {g: np.mean([1 / (1 + np.exp(model.thresholds[-1] - scores.text(t))) >= quality.TAIL for t, h in held if h == g]) for g in (0, 2)}
+    assert kept[0] < 0.4 and kept[2] > 0.97, kept
+
+
 def test_classifier_edges(spark):
     rows = [(i, "good words here " * 3 if i % 3 else "BAD!! BAD!! junk!!", 7) for i in range(60)] + [(60, None, 7), (61, "", 7), (None, "x", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, tail int").drop("tail").withColumn("grade", F.lit("A"))
