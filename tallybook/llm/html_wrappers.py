@@ -7,8 +7,9 @@ siblings that repeat are folded into one repeated part.  Aligning two wrappers w
 its pages into one wrapper per host, and these are aligned in two levels of bounded groups however many pages a host has.
 
 The wrapper then says where the main text is: the slots of the article (by its tag or name, else the part that holds most
-text outside of links), without navigation, forms, notices, adverts, comments and the like, without texts that are the same on
-all pages (template), and without slots that are mostly links.  A page that lacks the place is judged by its own stream.
+text outside of links), without navigation, forms, notices, adverts, comments and the like, and without texts that are the same on
+all pages (template).  In an article, names count on containers only, by class or role or as a whole id, and links are text like
+any other; where no element is named as the article, slots that are mostly links go, too.  A page that lacks the place is judged by its own stream.
 
 Cases: NULL html counts as empty and gives an empty text; cut-off pages end where they are cut; unknown tags are blocks'
 content; NULL urls share the empty host; repeated pages are one piece of evidence each; an empty table gives no rows;
@@ -44,21 +45,27 @@ BAD_NAMES = set(
     "breadcrumbs footer cookie cookies consent notice notices alert gdpr comment comments disqus share sharing social related recommended "
     "newsletter subscribe signup login popup modal toolbar pagination pager widget skip".split()
 )
+#: Elements that are text of the article whatever their names.
+TEXT_TAGS = set("h1 h2 h3 h4 h5 h6 p li dt dd blockquote pre td th caption figcaption address".split())
+_APART = "-"  # name of a container that is no part of an article
 HEAD_NAMES = {"header", "masthead", "topbar"}
 GOOD_NAMES = set("article content post entry story main".split())
 
 
 def _names(tag: str, attributes: str) -> tuple[str, set[str]]:
-    """Key of an element (tag and names without digits) and its name tokens."""
-    names, hidden = [], False
+    """Key of an element (tag and names without digits, ``_APART`` for one that is no part of an article) and its name tokens."""
+    names, hidden, apart = [], False, False
     for name, *values in NAME.findall(attributes):
         value = "".join(values).lower()
         if name.lower() in ("class", "id", "role"):
-            names += re.split(r"[^a-z]+", value)
+            own = re.split(r"[^a-z]+", value)
+            names += own
+            whole = [value.strip()] if name.lower() == "id" else own
+            apart = apart or (tag not in TEXT_TAGS and bool(BAD_NAMES.intersection(whole)))
         elif name.lower() == "hidden" or value == "true" or re.search(r"display\s*:\s*none", value):
             hidden = True
     tokens = {n for n in names if n}
-    return ".".join([tag, *sorted(tokens)]) + ("!" if hidden else ""), tokens
+    return ".".join([tag, *sorted(tokens), *([_APART] if apart else [])]) + ("!" if hidden else ""), tokens
 
 
 def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str, int]]:
@@ -189,11 +196,11 @@ def expression(node: list) -> str:
     return f"( {body} ){mark}" if mark else body
 
 
-def bad(path: tuple[str, ...], start: int) -> bool:
-    """Whether an element from ``start`` on is no article text; page headers count only outside the article."""
+def bad(path: tuple[str, ...], start: int, named: bool = True) -> bool:
+    """Whether an element is no article text; from ``start`` on, in a named article, all names but of containers count for nothing."""
     for k, key in enumerate(path):
         tag, *names = key.rstrip("!").split(".")
-        if tag in BAD_TAGS or key.endswith("!") or BAD_NAMES.intersection(names):
+        if tag in BAD_TAGS or key.endswith("!") or (BAD_NAMES.intersection(names) if k < start or not named else _APART in names):
             return True
         if k < start and (tag == "header" or HEAD_NAMES.intersection(names)):
             return True
@@ -213,12 +220,13 @@ def main_place(wrapper: list) -> dict:
     inside: dict[tuple, list[float]] = {}
     slots = list(_slots(wrapper))
     for path, slot in slots:
-        if bad(path, len(path)) or 2 * slot[6] > slot[5]:
+        within = next((k + 1 for k, key in enumerate(path) if key.split(".")[0].rstrip("!") in ("article", "main")), len(path))
+        if bad(path, within) or 2 * slot[6] > slot[5]:
             continue
         for k in range(len(path) + 1):
             inside.setdefault(path[:k], [0.0])[0] += slot[5] - slot[6]
     if not inside:
-        return {"root": [], "fixed": [], "links": []}
+        return {"root": [], "named": False, "fixed": [], "links": []}
 
     def best(fits) -> tuple | None:
         found = [p for p in inside if p and fits(p[-1].split("."))]
@@ -229,6 +237,7 @@ def main_place(wrapper: list) -> dict:
         return max(deeper, key=len)
 
     root = best(lambda k: k[0] in ("article", "main") or "main" in k[1:]) or best(lambda k: bool(GOOD_NAMES.intersection(k[1:])))
+    named = root is not None
     if root is None:
         root = ()
         while True:
@@ -237,17 +246,17 @@ def main_place(wrapper: list) -> dict:
             if top is None or inside[top][0] < 0.6 * inside[root][0]:
                 break
             root = top
-    own = [(p, s) for p, s in slots if p[: len(root)] == root and not bad(p, len(root))]
+    own = [(p, s) for p, s in slots if p[: len(root)] == root and not bad(p, len(root), named)]
     fixed = []
     if wrapper[3] >= MIN_PAGES and any(s[4] is None for _, s in own):
         fixed = [[list(p), s[4]] for p, s in own if s[4] is not None and s[3] >= TEMPLATE_SHARE * wrapper[3] and not s[2]]
-    # a path whose text is mostly links on the whole site is a list of links
+    # where nothing is named as the article, a path whose text is mostly links on the whole site is a list of links
     chars: dict[tuple, list[int]] = {}
     for p, s in own:
         c = chars.setdefault(p, [0, 0])
         c[0], c[1] = c[0] + s[5], c[1] + s[6]
-    links = [list(p) for p, (n, linked) in chars.items() if 2 * linked > n]
-    return {"root": list(root), "fixed": fixed, "links": links}
+    links = [list(p) for p, (n, linked) in chars.items() if 2 * linked > n and not named]
+    return {"root": list(root), "named": named, "fixed": fixed, "links": links}
 
 
 def main_text(page: str | None, place: dict | None) -> str:
@@ -257,7 +266,7 @@ def main_text(page: str | None, place: dict | None) -> str:
             try_ = main_place(page_wrapper(page))
         root, links = tuple(try_["root"]), {tuple(p) for p in try_["links"]}
         fixed = {(tuple(p), t) for p, t in try_["fixed"]}
-        own = [(p, t) for p, t, _ in parts if p[: len(root)] == root and not bad(p, len(root))]
+        own = [(p, t) for p, t, _ in parts if p[: len(root)] == root and not bad(p, len(root), try_["named"])]
         if own:
             return "\n".join(t for p, t in own if p not in links and (p, t) not in fixed)
     return ""

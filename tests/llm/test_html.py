@@ -63,3 +63,21 @@ def test_copies_on_a_host_keep_their_text(spark):
     got = {r.page_id: r.text for r in hw.extract(df).collect()}
     assert got[20].split("\n")[:4] == ["Same", "one", "two", "a quote of the copied article"]
     assert got[3].split("\n")[:3] == ["T3", "one 3", "two 3"]
+
+
+def test_linked_lists_and_names_in_the_article():
+    """Lists of links and elements whose ids hold a word such as related stay; containers named so by class do not."""
+    linked = "<article><h1>T</h1><p>one</p><ul><li><a href=/a>source one of the text</a></li><li><a href=/b>source two</a></li></ul></article>"
+    plain = "<article><h1>U</h1><p>two</p><ul><li>plain item</li></ul></article>"
+    wrapper = hw.page_wrapper(plain)
+    for _ in range(3):
+        wrapper = hw.align(wrapper, hw.page_wrapper(linked))
+    place = hw.main_place(wrapper)
+    assert hw.main_text(plain, place) == "U\ntwo\nplain item"
+    assert hw.main_text(linked, place) == "T\none\nsource one of the text\nsource two"
+    named = (
+        "<article><h2 id='social-security-alert'>Alert</h2><p class=notice>text</p><section id='related-work'><p>work</p></section>"
+        "<div class='related posts'><p>more</p></div><section id=comments><p>first!</p></section></article>"
+    )
+    assert hw.main_text(named, None) == "Alert\ntext\nwork"
+    assert hw.main_text("<article><section id='related-work'><p>all of it</p></section></article><div><p>side</p></div>", None) == "all of it"
