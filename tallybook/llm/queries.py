@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .conversations import repair_report
 from .decontaminate import find_leaks
 from .html_wrappers import extract
 from .jaccard_join import similar_documents
@@ -70,6 +71,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, table(spark, sf_dir, "labels")).where("keep").select("doc_id", "expected_grade", "tail")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_html_text": op2_html_text,
@@ -81,4 +86,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op13_conversation_repair": op13_conversation_repair,
 }
