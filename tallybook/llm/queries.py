@@ -14,6 +14,7 @@ from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .neighbours import search
+from .phrases import phrase_report
 from .quality import classify
 from .secrets import Ledger, digest
 from .tokens import token_report
@@ -71,6 +72,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, table(spark, sf_dir, "labels")).where("keep").select("doc_id", "expected_grade", "tail")
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_report(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -86,5 +91,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_conversation_repair": op13_conversation_repair,
 }
