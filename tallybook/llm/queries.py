@@ -14,6 +14,7 @@ from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .neighbours import search
+from .packing import pack_report
 from .phrases import phrase_report
 from .quality import classify
 from .secrets import Ledger, digest
@@ -72,6 +73,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, table(spark, sf_dir, "labels")).where("keep").select("doc_id", "expected_grade", "tail")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_report(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_report(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
     "op12_phrase_mining": op12_phrase_mining,
     "op13_conversation_repair": op13_conversation_repair,
 }
