@@ -57,5 +57,19 @@ def word_count(col: Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def others(df: DataFrame, *results: str) -> list[Column]:
+    """The columns of ``df`` that are not named like a result; the result replaces those."""
+    gone = {r.lower() for r in results}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

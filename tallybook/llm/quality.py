@@ -12,24 +12,27 @@ The model is fitted on a bounded sample of rated documents (``SAMPLE``, by a has
 else runs over whole texts of all documents.  The model has a fixed size (``BUCKETS`` floats), so its broadcast is bounded.
 
 Cases: NULL and empty texts have no features and get the grade that the thresholds alone give; NULL ratings don't count;
-without ratings of two grades the fit keeps every weight at 0; repeated rows score alike; further columns are kept.
+without ratings of two grades the fit keeps every weight at 0; of rows with one rated id the smallest text is fitted; ties of the
+sample's hash go by id and grade; repeated rows score alike; very long texts are scored whole; further columns are kept, but one
+named like a result is replaced.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import math
-import operator
 import string
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import free, others
+from .vector import slices, spread, word_codes
 
 BUCKETS = 1 << 18
 SAMPLE = 8000
@@ -61,11 +64,6 @@ def word_features(raw: str) -> list[int]:
 AGAIN = zlib.crc32(b"again") % BUCKETS
 
 
-def repeats(ws: list[str]) -> int:
-    """Words that repeat the word before them."""
-    return sum(map(operator.eq, ws, ws[1:]))
-
-
 @dataclasses.dataclass
 class Model:
     weights: np.ndarray  # float32, BUCKETS
@@ -80,16 +78,48 @@ class Scores(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= CACHE_SIZE:
-            self.clear()
         value = self[word] = float(self.weights[word_features(word)].sum())
         return value
 
+    def texts(self, texts: pa.Array) -> np.ndarray:
+        """Score of each text; each distinct word of a slice is looked up once."""
+        out = np.zeros(len(texts))
+        for row, buf, offs in slices(texts):
+            if len(self) > CACHE_SIZE:
+                self.clear()
+            codes, begin, values, _ = word_codes(buf, offs)
+            n = np.diff(begin)
+            owner = np.repeat(np.arange(len(n)), n)
+            own = np.fromiter(map(self.__getitem__, values.to_pylist()), dtype=float, count=len(values))[codes]
+            again = _again(codes, owner)
+            total = np.bincount(owner, own, len(n)) + np.bincount(owner[again], minlength=len(n)) * float(self.weights[AGAIN])
+            out[row : row + len(n)] = SCALE * total / np.maximum(n, 1)
+        return out
+
     def text(self, text: str | None) -> float:
-        w = words(text)
-        if not w:
-            return 0.0
-        return SCALE * (sum(map(self.__getitem__, w)) + repeats(w) * float(self.weights[AGAIN])) / len(w)
+        return float(self.texts(pa.array([text], pa.string()))[0])
+
+
+def _again(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places of words that repeat the word before them in their text."""
+    return np.flatnonzero((codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])) + 1
+
+
+def features_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, 100 times its number by the words of the text) of all features of all texts."""
+    parts = [np.zeros((3, 0))]
+    for row, buf, offs in slices(pa.array(texts, pa.large_string())):
+        codes, begin, values, _ = word_codes(buf, offs)
+        own = [word_features(w) for w in values.to_pylist()]
+        size = np.array([len(x) for x in own], dtype=np.int64)
+        pool = np.fromiter((f for x in own for f in x), dtype=np.int64, count=int(size.sum()))
+        owner = np.repeat(np.arange(len(offs) - 1), np.diff(begin))
+        again = owner[_again(codes, owner)]
+        ids = np.concatenate([pool[spread((np.cumsum(size) - size)[codes], size[codes])], np.full(len(again), AGAIN)])
+        key, n = np.unique(np.concatenate([np.repeat(owner, size[codes]), again]) * BUCKETS + ids, return_counts=True)
+        parts.append(np.stack([key // BUCKETS + row, key % BUCKETS, SCALE * n / np.diff(begin)[key // BUCKETS]]))
+    row, col, val = np.concatenate(parts, axis=1)
+    return row.astype(np.int64), col.astype(np.int64), val
 
 
 def _sigmoid(x):
@@ -98,18 +128,7 @@ def _sigmoid(x):
 
 def fit_arrays(texts: list[str | None], grades: np.ndarray, n_grades: int, rounds: int = ROUNDS) -> Model:
     """Full-batch Adam on the negative log likelihood, weights drawn a little to 0."""
-    cache: dict[str, list[int]] = {}
-    row, col, val = [], [], []
-    for i, text in enumerate(texts):
-        ws = words(text)
-        ids = [f for w in ws for f in (cache.get(w) or cache.setdefault(w, word_features(w)))] + [AGAIN] * repeats(ws)
-        ids = np.array(ids, dtype=np.int32)
-        ids, n = np.unique(ids, return_counts=True)
-        row.append(np.full(len(ids), i, dtype=np.int32))
-        col.append(ids.astype(np.int32))
-        val.append((SCALE * n / max(1, len(ws))).astype(np.float32))
-    row, col, val = (np.concatenate(x) if x else np.zeros(0) for x in (row, col, val))
-    row, col = row.astype(np.int64), col.astype(np.int64)
+    row, col, val = features_of(texts)
     common = np.bincount(col, minlength=BUCKETS)[col] >= MIN_DOCS  # the ridge holds the weights of rare ones small
     row, col, val = row[common], col[common], val[common]
     n = max(1, len(texts))
@@ -148,11 +167,12 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_i
     )
     rated = rated.orderBy(F.xxhash64("_id"), "_id", "grade").limit(sample)  # a bounded number of short rows
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    both = texts.join(F.broadcast(rated), "_id").select("text", "grade").limit(4 * sample)
+    both = texts.join(F.broadcast(rated), "_id").groupBy("_id", "grade").agg(F.min("text").alias("text")).select("text", "grade")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
         whole = pd.concat(parts) if parts else pd.DataFrame({"text": [], "grade": []})
+        whole = whole.assign(text=whole["text"].fillna("")).sort_values(["text", "grade"])
         model = fit_arrays(list(whole["text"]), whole["grade"].to_numpy(dtype=np.int64), n_grades)
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tobytes()]})
 
@@ -166,17 +186,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with expected_grade and tail (probability of the top grade)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = Scores(shared.value.weights)
         for texts in parts:
-            yield pd.Series([cache.text(t) for t in texts], dtype="float64")
+            yield pa.array(cache.texts(texts))
 
-    udf: Callable = F.pandas_udf(scores, "double")
-    cuts = [float(t) for t in model.thresholds]
-    above = [1 / (1 + F.exp(F.lit(t) - F.col("_score"))) for t in cuts]
-    expected = sum(above[1:], above[0])
-    out = docs.withColumn("_score", udf(F.col(text_col)))
-    return out.select(*docs.columns, F.round(expected, 6).alias("expected_grade"), F.round(above[-1], 6).alias("tail"))
+    own = free(docs, "score")
+    above = [1 / (1 + F.exp(F.lit(float(t)) - F.col(own))) for t in model.thresholds]
+    out = docs.withColumn(own, scores(F.col(text_col)))
+    return out.select(*others(docs, "expected_grade", "tail"), F.round(sum(above[1:], above[0]), 6).alias("expected_grade"), F.round(above[-1], 6).alias("tail"))
 
 
 def graded(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -192,4 +211,5 @@ def classify(docs: DataFrame, labels: DataFrame, tail: float = TAIL, id_col: str
     """``docs`` with expected_grade, tail and keep."""
     model = fit(docs, graded(labels, id_col), 3, id_col, text_col)
     assert math.isfinite(float(model.weights.sum()))
-    return score(docs, model, text_col).withColumn("keep", F.col("tail") >= tail)
+    out = score(docs, model, text_col)
+    return out.select(*others(out, "keep"), (F.col("tail") >= tail).alias("keep"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallybook.llm import decontaminate, neighbours, quality
-from tallybook.llm.common import table
+from tallybook.llm.common import table, words
+from tallybook.llm.queries import QUERIES
 from tests.llm.test_jaccard import brute
 from tests.llm.test_simple import dedup_by_hand
 
@@ -51,7 +52,7 @@ def test_classifier_learns_words_of_few_documents(spark, sf):
 
 def test_classifier_edges(spark):
     rows = [(i, "good words here " * 3 if i % 3 else "BAD!! BAD!! junk!!", 7) for i in range(60)] + [(60, None, 7), (61, "", 7), (None, "x", 7)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, tail int").drop("tail").withColumn("grade", F.lit("A"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tail int").withColumn("grade", F.lit("A")).withColumn("score", F.lit(1)).withColumn("Keep", F.lit(2))
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(60)] + [(60, None, None), (1, 1, 0)], "doc_id long, quality int, toxic int")
     got = quality.classify(docs, labels).collect()
     assert len(got) == len(rows)
@@ -59,11 +60,69 @@ def test_classifier_edges(spark):
         if r.doc_id is not None and r.doc_id < 60:
             assert r.keep == (r.doc_id % 3 > 0)
         assert 0 <= r.tail <= 1
+    assert quality.classify(docs, labels).columns == ["doc_id", "text", "grade", "score", "expected_grade", "tail", "keep"]
     none = quality.classify(docs, labels.limit(0)).collect()
     assert len({r.tail for r in none}) == 1
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def by_word(model, text):
+    """Score of a text by the definition, word by word."""
+    ws = words(text)
+    total = sum(float(model.weights[f]) for w in ws for f in quality.word_features(w)) + sum(float(model.weights[quality.AGAIN]) for a, b in zip(ws, ws[1:]) if a == b)
+    return quality.SCALE * total / len(ws) if ws else 0.0
+
+
+def test_scores_of_the_registered_query_are_those_of_the_definition(spark, sf):
+    sf = sf.replace("0.001", "0.01")
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.fit(docs, quality.graded(labels), 3)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: "a a b " * 200_000, -2: None, -3: " \n"}
+    more = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.score(more, model).collect()}
+    for i, t in texts.items():
+        up = [1 / (1 + np.exp(c - by_word(model, t))) for c in model.thresholds]
+        assert got[i].tail == pytest.approx(up[-1], abs=2e-6) and got[i].expected_grade == pytest.approx(sum(up), abs=3e-6)
+    kept = {r.doc_id: (r.expected_grade, r.tail) for r in QUERIES["op10_quality"](spark, sf).collect()}
+    assert kept == {i: (r.expected_grade, r.tail) for i, r in got.items() if i >= 0 and r.tail >= quality.TAIL}
+
+
+def test_fit_is_at_the_minimum_of_the_penalised_likelihood():
+    """Gradient by differences of the definition's likelihood, on texts of a few words."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["up", "down", "flat", f"x{rng.randrange(6)}"]) for _ in range(12)) for _ in range(120)]
+    grades = np.array([min(2, max(0, 1 + (t.count("up") > 3) - (t.count("down") > 3))) for t in texts])
+    model = quality.fit_arrays(texts, grades, 3, rounds=3000)
+
+    def loss(weights, cuts):
+        own = quality.Model(weights, cuts)
+        out = 0.0
+        for t, g in zip(texts, grades):
+            up = [1.0, *(1 / (1 + np.exp(c - by_word(own, t))) for c in cuts), 0.0]
+            out -= np.log(up[g] - up[g + 1])
+        return out / len(texts) + quality.RIDGE / 2 * float((weights.astype(float) ** 2).sum())
+
+    weights, cuts = model.weights.astype(np.float64), model.thresholds
+    base = loss(weights, cuts)
+    for f in {f for w in ("up", "down", "flat", "x1") for f in quality.word_features(w)}:
+        for step in (-0.01, 0.01):
+            other = weights.copy()
+            other[f] += step
+            assert loss(other, cuts) > base - 1e-5
+    for k in range(2):
+        for step in (-0.02, 0.02):
+            other = cuts.copy()
+            other[k] += step
+            assert loss(weights, other) > base - 1e-5
+
+
+def test_which_of_several_texts_of_an_id_is_fitted(spark):
+    docs = spark.createDataFrame([(i % 20, f"{'good' if i % 2 else 'bad'} t{i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, grade int")
+    one, two = (quality.fit(docs.repartition(n), labels, 2) for n in (2, 7))
+    assert (one.thresholds == two.thresholds).all() and (one.weights == two.weights).all()
+
+
 def test_leaks(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallybook.llm import line_dedup, mixing, secrets, tokens, url_filter
@@ -16,20 +17,32 @@ from tallybook.llm.queries import QUERIES
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def test_pieces_agree_with_the_tokenizer_for_every_plain_character():
+def test_every_character_counts_as_the_tokenizer_counts_it():
+    """Each character beside words, blanks, runs of blanks, signs and itself."""
     tok = Tokenizer.from_file(TOKENIZER)
-    plain = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and tokens.PLAIN.fullmatch(chr(c))]
-    assert len(plain) > 500
-    for c in plain:
-        for text in (f"a{c}b {c}{c} 1{c}", f"{c} {c}a '{c}  {c}\n{c}"):
-            split = [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]
-            assert tokens.SPLIT.findall(text) == split, repr(c)
+    with open(TOKENIZER, encoding="utf-8") as f:
+        counter = tokens.Counter(f.read(), {"a": 1, " b": 1})
+    every = [chr(c) for c in [*range(0x3100), *range(0xA000, 0xAC10), *range(0xF900, 0xFFFF), *range(0x1F300, 0x1F700), 0xE0001] if not 0xD800 <= c < 0xE000]
+    texts = [t for c in every for t in (f"a{c}b {c}{c} 1{c}", f"{c} {c}a '{c}  {c}\n{c}", f"a \n {c}\t b{c} \n")]
+    want = [len(code.ids) for code in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    got = counter.counts(pa.array(texts)).tolist()
+    assert got == want, [(t, g, w) for t, g, w in zip(texts, got, want) if g != w][:5]
+
+
+@pytest.mark.parametrize("texts", [["one"], ["a b", None], [None] * 5, ["", ""], ["a", " b  c", "d\n\n", None, "x"]])
+def test_token_counts_of_small_tables(spark, texts):
+    tok = Tokenizer.from_file(TOKENIZER)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for parts in (1, 4):
+        got = {r.doc_id: r.n_tokens for r in tokens.token_report(df.repartition(parts), TOKENIZER).collect()}
+        assert got == {i: len(tok.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
 
 
 def test_token_counts(spark, sf):
-    odd = ["", None, "  two  spaces ", "<|endoftext|>x", "日本語 text", "a" * 30000, "it's 12 o'clock\n\n\n ok", "ẞ   \x85 \x1c", "🙂🙂"]
+    odd = ["", None, "  two  spaces ", "<|endoftext|>x", "a  <|endoftext|>", "日本語 text", "a" * 30000, "it's 12 o'clock\n\n\n ok", "ẞ   \x85 \x1c", "🙂🙂", "w \n" * 200_000]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(odd)], "doc_id long, text string, n_tokens int")
-    df = df.drop("n_tokens").unionByName(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id > 50"))
+    more = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id > 50").select("doc_id", "text", F.lit(1).alias("n_tokens"))
+    df = df.unionByName(more)
     tok = Tokenizer.from_file(TOKENIZER)
     texts = {r.doc_id: r.text or "" for r in df.collect()}
     got = {r.doc_id: r for r in tokens.token_report(df, TOKENIZER).collect()}
@@ -37,7 +50,9 @@ def test_token_counts(spark, sf):
     for i, t in texts.items():
         n = len(tok.encode(t, add_special_tokens=False).ids)
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len(t.encode()), n > 1024), i
+    assert tokens.count_tokens(df, TOKENIZER).columns == ["doc_id", "text", "n_tokens"]
     assert tokens.token_report(df.limit(0), TOKENIZER).count() == 0
+    assert tokens.token_report(spark.createDataFrame([], "doc_id long, text string"), TOKENIZER).count() == 0
 
 
 def base_spans(text):
