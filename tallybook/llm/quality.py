@@ -42,23 +42,35 @@ RIDGE = 1e-3
 RATE = 0.3
 SCALE = 100.0
 TAIL = 0.4
-CACHE_SIZE = 400_000
+CACHE_SIZE = 600_000
+CACHE_CHARS = 64
+
+
+def _seed(kind: str) -> int:
+    return zlib.crc32(kind.encode())
+
+
+_WORD, _FOUR, _FIVE, _TAIL, _UPPER, _SIGN, _DIGIT = (_seed(k) for k in ("w", "4", "5", "t", "upper", "sign", "digit"))
+MARKS = string.punctuation
 
 
 def word_features(raw: str) -> list[int]:
-    core = raw.strip(string.punctuation)
+    """Buckets of a word's features; a feature is hashed as the letter of its kind and its text."""
+    core = raw.strip(MARKS)
     low = core.lower()
-    tail = raw[len(raw.rstrip(string.punctuation)) :]
-    names = [f"w{low}"]
+    out = [zlib.crc32(low.encode("utf-8", "surrogatepass"), _WORD) % BUCKETS]
     if len(low) > 4:
-        names += [f"4{low[:4]}", f"5{low[:5]}"]
-    if tail:
-        names.append(f"t{tail[:4]}")
+        out.append(zlib.crc32(low[:4].encode("utf-8", "surrogatepass"), _FOUR) % BUCKETS)
+        out.append(zlib.crc32(low[:5].encode("utf-8", "surrogatepass"), _FIVE) % BUCKETS)
+    if raw[-1] in MARKS:
+        out.append(zlib.crc32(raw[len(raw.rstrip(MARKS)) :][:4].encode(), _TAIL) % BUCKETS)
     if len(core) > 1 and core.isupper():
-        names.append("upper")
-    if not core or core.isdigit():
-        names.append("sign" if not core else "digit")
-    return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % BUCKETS for n in names]
+        out.append(_UPPER % BUCKETS)
+    if not core:
+        out.append(_SIGN % BUCKETS)
+    elif core.isdigit():
+        out.append(_DIGIT % BUCKETS)
+    return out
 
 
 AGAIN = zlib.crc32(b"again") % BUCKETS
@@ -75,10 +87,12 @@ class Scores(dict):
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights = weights
+        self.weights = weights.tolist()
 
     def __missing__(self, word: str) -> float:
-        value = self[word] = float(self.weights[word_features(word)].sum())
+        value = sum(map(self.weights.__getitem__, word_features(word)))
+        if len(word) <= CACHE_CHARS:
+            self[word] = value
         return value
 
     def texts(self, texts: pa.Array) -> np.ndarray:
@@ -92,7 +106,7 @@ class Scores(dict):
             owner = np.repeat(np.arange(len(n)), n)
             own = np.fromiter(map(self.__getitem__, values.to_pylist()), dtype=float, count=len(values))[codes]
             again = _again(codes, owner)
-            total = np.bincount(owner, own, len(n)) + np.bincount(owner[again], minlength=len(n)) * float(self.weights[AGAIN])
+            total = np.bincount(owner, own, len(n)) + np.bincount(owner[again], minlength=len(n)) * self.weights[AGAIN]
             out[row : row + len(n)] = SCALE * total / np.maximum(n, 1)
         return out
 

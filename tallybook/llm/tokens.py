@@ -1,6 +1,6 @@
 """Token counts by a two-tier lookup in the map tasks; no pre-token is ever shuffled.
 
-A text is cut into pre-tokens at its blanks (a word goes with the space before it), and its token count is the sum of theirs.
+A text is cut into pre-tokens at its blanks (a word goes with the space before it) and between letters and marks, and its token count is the sum of theirs.
 Tier one is a compact hash table of frequent pre-tokens with their lengths, broadcast to all tasks; tier two is a cache in each
 worker, filled by the tokenizer itself with what the table misses.  Each distinct pre-token of a slice of a batch is looked up
 once.  The table is a cache as well: which pre-tokens it holds changes the speed and never a count.  It is filled from a bounded
@@ -17,6 +17,7 @@ rows; further columns are kept, but one named like the result is replaced.
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -38,6 +39,9 @@ LIMIT = 1024
 #: White space that is no blank, or that engines may class differently.
 ODD_BLANKS = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 
+LETTERS = re.compile(" ?[A-Za-z]+")
+SPACE = "\u0120"  # fixed value: the space in byte-level vocabularies
+
 
 class Counter:
     """Counts tokens in one Python worker.  ``spec``: text of a tokenizers .json file; ``table``: pre-tokens and their lengths."""
@@ -45,6 +49,7 @@ class Counter:
     def __init__(self, spec: str, table: dict[str, int]):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.tok = Tokenizer.from_str(spec)
         self.tok.no_truncation()
         self.tok.no_padding()
@@ -53,12 +58,20 @@ class Counter:
         self.cache: dict[str, int] = {}
         conf = json.loads(spec)
         split = conf.get("pre_tokenizer") or {}
+        self.model = conf["model"]["type"]
         self.splits = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not conf.get("normalizer")
         self.odd = "|".join([ODD_BLANKS, *(re.escape(t["content"]) for t in conf.get("added_tokens", []))])
 
     def encoded(self, texts: list[str]) -> list[int]:
         return [len(code.ids) for code in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def sizes_of(self, pieces: list[str]) -> list[int]:
+        """Tokens of pre-tokens; letters a-z, after a space or not, are spelled for the model as the byte-level step spells them."""
+        plain = [self.splits and self.model == "BPE" and LETTERS.fullmatch(p) is not None for p in pieces]
+        hard = iter(self.encoded([p for p, easy in zip(pieces, plain) if not easy]))
+        tokenize = self.tok.model.tokenize
+        return [len(tokenize(p.replace(" ", SPACE))) if easy else next(hard) for p, easy in zip(pieces, plain)]
+
     def lengths(self, pieces: pa.Array) -> np.ndarray:
         """Tokens of each pre-token."""
         at = pc.fill_null(pc.index_in(pieces, self.table), len(self.table)).to_numpy()
@@ -71,7 +84,7 @@ class Counter:
         new = [k for k, n in enumerate(found) if n is None]
         for a in range(0, len(new), 4096):
             part = new[a : a + 4096]
-            for k, n in zip(part, self.encoded([names[k] for k in part])):
+            for k, n in zip(part, self.sizes_of([names[k] for k in part])):
                 found[k] = n
                 if len(names[k]) <= CACHE_CHARS:
                     self.cache[names[k]] = n

@@ -19,6 +19,10 @@ BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+#: 1 for the letters A-Z and a-z, 2 for marks that end phrases.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = 1
+_KIND[[*b".,;:!?"]] = 2
 
 
 def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -52,8 +56,19 @@ def _encode(found: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def word_bounds(buf: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs of bytes that are not ``blank``, never over two texts), and which bytes are in words."""
+def mark_cuts(buf: np.ndarray) -> np.ndarray:
+    """Bytes before which a letter of A-Z meets a mark or a mark meets a letter."""
+    kind = _KIND[buf]
+    out = np.zeros(len(buf), dtype=bool)
+    out[1:] = kind[1:] * kind[:-1] == 2
+    return out
+
+
+def word_bounds(buf: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of bytes that are not ``blank``, never over two texts), and which bytes are in words.
+
+    ``cut``: bytes before which a word ends and another one begins as well.
+    """
     inside = ~blank[buf]
     first, last = inside.copy(), inside.copy()
     if len(buf):
@@ -62,12 +77,15 @@ def word_bounds(buf: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK) ->
         begin = offs[:-1][offs[:-1] < len(buf)]
         first[begin] = inside[begin]
         last[begin[begin > 0] - 1] = inside[begin[begin > 0] - 1]
+        if cut is not None:
+            first |= cut & inside
+            last[:-1] |= cut[1:] & inside[:-1]
     return np.flatnonzero(first), np.flatnonzero(last) + 1, inside
 
 
-def word_codes(buf: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+def word_codes(buf: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Code of each word, where each text's words begin (one more than texts), the distinct words, start of each word."""
-    starts, ends, inside = word_bounds(buf, offs, blank)
+    starts, ends, inside = word_bounds(buf, offs, blank, cut)
     codes, values = _encode(strings(buf[inside], np.concatenate([[0], np.cumsum(ends - starts)])))
     return codes, np.searchsorted(starts, offs), values, starts
 
@@ -76,7 +94,7 @@ def segment_codes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     """Like ``word_codes`` for segments that cover the texts without a gap.
 
     A run of blanks before a word is cut before its last blank; if that is a space it goes with the word, else it is
-    a segment of its own.  A run at the end of a text is one segment.
+    a segment of its own.  A run at the end of a text is one segment.  Words are cut between letters and marks.
     """
     starts, ends, _ = word_bounds(buf, offs)
     cut = np.zeros(len(buf) + 1, dtype=bool)
@@ -86,6 +104,7 @@ def segment_codes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     after = starts[~begin[starts]]  # these have a blank before them
     cut[after - 1] = True
     cut[after[buf[after - 1] != 0x20]] = True
+    cut[:-1] |= mark_cuts(buf)
     cut[starts[begin[starts]]] = True
     at = np.flatnonzero(cut)
     codes, values = _encode(strings(buf, at)) if len(buf) else (np.zeros(0, dtype=np.int64), pa.array([], pa.large_string()))
