@@ -16,8 +16,10 @@ one by one; ties on the curve go by a hash of the row's place; an empty table gi
 
 from __future__ import annotations
 
+import array
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -27,16 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vector import LOWER, mark_cuts, slices, spread, sums, word_bounds, word_codes
+from .vector import LOWER, Recent, byte_level, mark_cuts, slices, spread, sums, word_bounds, word_codes
 
 LENGTH = 2048
 END = 1
 DIMS = 4
 GRID = 12
 SPREAD = 6.0
-CACHE_WORDS = 500_000
-CACHE_CHARS = 64
-SLICE = 4 << 20
+CACHE_WORDS = 300_000
+LETTERS = re.compile("[a-zß-öø-ÿ]+")  # lower case, composed
 _U = np.uint64
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=_U)
 
@@ -95,7 +96,7 @@ def curve_key(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 class TextIds:
     """Token ids of the texts of a slice, with a cache of words.  ``spec``: text of a tokenizers .json file.
 
-    Words that are letters a-z only are pre-tokens as they are for tokenizers with this kind of steps, and go to the model at once.
+    Words of Latin lower-case letters only are pre-tokens as they are for tokenizers with this kind of steps, and go to the model at once.
     """
 
     def __init__(self, spec: str, end: int):
@@ -105,7 +106,7 @@ class TextIds:
         self.tok = Tokenizer.from_str(spec)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.end = end
+        self.end = array.array("I", [end]).tobytes()
         conf = json.loads(spec)
         steps = conf.get("pre_tokenizer") or {}
         kinds = [x.get("type") for x in steps.get("pretokenizers") or [steps]]
@@ -118,42 +119,15 @@ class TextIds:
         self.direct = bool(drops) and kinds[1:] == ["ByteLevel"] and set(norms) <= {"NFC", "Replace", "Lowercase"} and conf["model"]["type"] == "BPE"
         self.lowers = "Lowercase" in norms
         self.special = [t["content"].lower().encode() for t in conf.get("added_tokens", [])]
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}  # place in the pool, times 256, plus number of ids
-        self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 1
-        self.pool[0] = self.end
-
-    def _add(self, ids: list[int]) -> int:
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        at = self.used
-        self.pool[at : at + len(ids)] = ids
-        self.used += len(ids)
-        return at
-
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of words that are not known yet."""
-        plain = [self.direct and w.isascii() and w.isalpha() and w.islower() for w in words]
+        self.known = Recent(CACHE_WORDS)  # ids as bytes
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not known yet, four bytes an id."""
+        plain = [self.direct and LETTERS.fullmatch(w) is not None for w in words]
         hard = iter(self.tok.encode_batch_fast([w for w, p in zip(words, plain) if not p], add_special_tokens=False))
         tokenize = self.tok.model.tokenize
-        return [[t.id for t in tokenize(w)] if p else next(hard).ids for w, p in zip(words, plain)]
-
-    def _places(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the pool and number of ids of each piece."""
-        if len(self.known) > CACHE_WORDS or self.used > 16 * CACHE_WORDS:
-            self.clear()
-        found = np.fromiter((self.known.get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
-        place, size = found >> 8, found & 255
-        new = np.flatnonzero(found < 0).tolist()
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            for k, ids in zip(part, self._ids([pieces[k] for k in part])):
-                place[k], size[k] = self._add(ids), len(ids)
-                if len(ids) < 256 and len(pieces[k]) <= CACHE_CHARS:
-                    self.known[pieces[k]] = int(place[k]) << 8 | len(ids)
-        return place, size
+        ids = ([t.id for t in tokenize(byte_level(w))] if p else next(hard).ids for w, p in zip(words, plain))
+        return [array.array("I", x).tobytes() for x in ids]
 
     def slice_ids(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts with the end id behind each, and where each text's begin (one more than texts)."""
@@ -166,9 +140,12 @@ class TextIds:
         else:
             values = pa.array([bytes(buf[a:b]).decode() for a, b in zip(offs[:-1], offs[1:])])
             codes, begin = np.arange(len(values)), np.arange(len(values) + 1)
-        place, size = (x[codes] for x in self._places(values.to_pylist()))
-        start, size = np.insert(place, begin[1:], 0), np.insert(size, begin[1:], 1)
-        flat = self.pool[spread(start, size)]
+        own = self.known.find(values.to_pylist(), self._ids)
+        pool = np.frombuffer(b"".join([*own, self.end]), dtype="<u4")
+        sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own)) // 4
+        start = np.insert((np.cumsum(sizes) - sizes)[codes], begin[1:], len(pool) - 1)
+        size = np.insert(sizes[codes], begin[1:], 1)
+        flat = pool[spread(start, size)]
         return flat, np.concatenate([[0], np.cumsum(size)])[begin + np.arange(len(begin))]
 
 
@@ -246,8 +223,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END,
         for batch in batches:
             ids = batch.column(0)
             packer = packer or Packer(length, TaskContext.get().partitionId() << 33, ids.type)
-            for row, buf, offs in slices(batch.column(1), SLICE):
+            for row, buf, offs in slices(batch.column(1)):
                 yield packer.add(ids.slice(row, len(offs) - 1), *tokens.slice_ids(buf, offs))
+            pa.default_memory_pool().release_unused()
         if packer:
             yield packer.close()
 

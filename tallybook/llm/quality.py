@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free, others
-from .vector import slices, spread, word_codes
+from .vector import Recent, slices, spread, word_codes
 
 BUCKETS = 1 << 18
 SAMPLE = 8000
@@ -42,8 +42,7 @@ RIDGE = 1e-3
 RATE = 0.3
 SCALE = 100.0
 TAIL = 0.4
-CACHE_SIZE = 600_000
-CACHE_CHARS = 64
+CACHE_SIZE = 200_000
 
 
 def _seed(kind: str) -> int:
@@ -82,29 +81,24 @@ class Model:
     thresholds: np.ndarray  # ascending, one less than the grades
 
 
-class Scores(dict):
-    """Score of a raw word; fills itself, and starts anew when full."""
+class Scores:
+    """Scores of texts by the scores of their words, which are kept."""
 
     def __init__(self, weights: np.ndarray):
-        super().__init__()
         self.weights = weights.tolist()
+        self.known = Recent(CACHE_SIZE)
 
-    def __missing__(self, word: str) -> float:
-        value = sum(map(self.weights.__getitem__, word_features(word)))
-        if len(word) <= CACHE_CHARS:
-            self[word] = value
-        return value
+    def _scores(self, words: list[str]) -> list[float]:
+        return [sum(map(self.weights.__getitem__, word_features(w))) for w in words]
 
     def texts(self, texts: pa.Array) -> np.ndarray:
         """Score of each text; each distinct word of a slice is looked up once."""
         out = np.zeros(len(texts))
         for row, buf, offs in slices(texts):
-            if len(self) > CACHE_SIZE:
-                self.clear()
             codes, begin, values, _ = word_codes(buf, offs)
             n = np.diff(begin)
             owner = np.repeat(np.arange(len(n)), n)
-            own = np.fromiter(map(self.__getitem__, values.to_pylist()), dtype=float, count=len(values))[codes]
+            own = np.array(self.known.find(values.to_pylist(), self._scores), dtype=float)[codes]
             again = _again(codes, owner)
             total = np.bincount(owner, own, len(n)) + np.bincount(owner[again], minlength=len(n)) * self.weights[AGAIN]
             out[row : row + len(n)] = SCALE * total / np.maximum(n, 1)

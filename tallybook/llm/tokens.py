@@ -29,18 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import others
-from .vector import segment_codes, slices, sums
+from .vector import LATIN, Recent, byte_level, segment_codes, slices, sums
 
 TABLE_DOCS = 2000
 TABLE_SIZE = 32768
-CACHE_SIZE = 400_000
+CACHE_SIZE = 300_000
 CACHE_CHARS = 64
 LIMIT = 1024
 #: White space that is no blank, or that engines may class differently.
 ODD_BLANKS = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 
-LETTERS = re.compile(" ?[A-Za-z]+")
-SPACE = "\u0120"  # fixed value: the space in byte-level vocabularies
+LETTERS = re.compile(f" ?[{LATIN}]+")
 
 
 class Counter:
@@ -55,7 +54,7 @@ class Counter:
         self.tok.no_padding()
         self.table = pa.array(list(table), pa.large_string())
         self.sizes = np.array([*table.values(), 0], dtype=np.int64)
-        self.cache: dict[str, int] = {}
+        self.cache = Recent(CACHE_SIZE)
         conf = json.loads(spec)
         split = conf.get("pre_tokenizer") or {}
         self.model = conf["model"]["type"]
@@ -66,29 +65,18 @@ class Counter:
         return [len(code.ids) for code in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def sizes_of(self, pieces: list[str]) -> list[int]:
-        """Tokens of pre-tokens; letters a-z, after a space or not, are spelled for the model as the byte-level step spells them."""
+        """Tokens of pre-tokens; Latin letters, after a space or not, are spelled for the model as the byte-level step spells them."""
         plain = [self.splits and self.model == "BPE" and LETTERS.fullmatch(p) is not None for p in pieces]
         hard = iter(self.encoded([p for p, easy in zip(pieces, plain) if not easy]))
         tokenize = self.tok.model.tokenize
-        return [len(tokenize(p.replace(" ", SPACE))) if easy else next(hard) for p, easy in zip(pieces, plain)]
+        return [len(tokenize(byte_level(p))) if easy else next(hard) for p, easy in zip(pieces, plain)]
 
     def lengths(self, pieces: pa.Array) -> np.ndarray:
         """Tokens of each pre-token."""
         at = pc.fill_null(pc.index_in(pieces, self.table), len(self.table)).to_numpy()
         out = self.sizes[at]
         missed = np.flatnonzero(at == len(self.table))
-        if len(self.cache) > CACHE_SIZE:
-            self.cache.clear()
-        names = pieces.take(pa.array(missed)).to_pylist()
-        found = [self.cache.get(p) for p in names]
-        new = [k for k, n in enumerate(found) if n is None]
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            for k, n in zip(part, self.sizes_of([names[k] for k in part])):
-                found[k] = n
-                if len(names[k]) <= CACHE_CHARS:
-                    self.cache[names[k]] = n
-        out[missed] = found
+        out[missed] = self.cache.find(pieces.take(pa.array(missed)).to_pylist(), self.sizes_of, CACHE_CHARS)
         return out
 
     def whole(self, texts: pa.Array) -> np.ndarray:

@@ -7,13 +7,13 @@ depend on the size of a batch.  NULL texts are empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -121,3 +121,42 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of all the pieces (start, length) of an array, one piece after the other."""
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()), dtype=np.int64)
+
+
+#: Letters that byte-level steps leave as they are but for their spelling: lower and upper case of Latin-1, all composed.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Spelling of a byte in byte-level vocabularies: a printed character is itself, the others follow from U+0100 on.
+_SPELLING = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def byte_level(word: str) -> str:
+    return word.encode().decode("latin-1").translate(_SPELLING)
+
+
+class Recent:
+    """A cache of at most about twice ``size`` entries, of which those used lately stay when it is full."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def find(self, keys: list[str], make: Callable[[list[str]], list], longest: int = 64, part: int = 4096) -> list:
+        """The value of each key; ``make`` gives the values of keys that aren't known.  Keys over ``longest`` characters aren't kept."""
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        out = [new.get(k) for k in keys]
+        missed = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            value = old.get(keys[i])
+            if value is None:
+                missed.append(i)
+            else:
+                out[i] = new[keys[i]] = value
+        for a in range(0, len(missed), part):
+            at = missed[a : a + part]
+            for i, value in zip(at, make([keys[i] for i in at])):
+                out[i] = value
+                if len(keys[i]) <= longest:
+                    new[keys[i]] = value
+        return out
