@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import TableSpec, default_contracts
 from ..sources import shop
-from ..sources.readers import load_csv_tables, row_counts
+from ..sources.readers import load_csv_tables, row_counts, with_row_ids
 from ..sources.stage import Stages
 from . import forecast, quality, reconcile, star
 
@@ -60,6 +60,11 @@ class Workbench:
         raw = load_csv_tables(spark, folder, contracts, stages.freeze, files, multi_line)
         return cls(spark, raw, contracts, star.federative_units(spark), stages, tolerance)
 
+    @cached_property
+    def lineitem_ids(self) -> DataFrame:
+        """The analytics table of order lines with row ids."""
+        return with_row_ids(self.spark.read.parquet(f"{self.folder}/lineitem.parquet"), self.stages.freeze, "lineitem")
+
     @cached_property
     def counts(self) -> DataFrame:
         return self.stages.freeze("raw_counts", row_counts(self.raw))

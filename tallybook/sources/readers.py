@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..contracts import TableSpec
 from ..operators.ordered import Freeze
+from .stage import Stages
 
 
 def read_cells(spark: SparkSession, path: str, cells: Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -25,7 +27,7 @@ def read_cells(spark: SparkSession, path: str, cells: Sequence[str], multi_line:
 def _headers(landed: DataFrame, firsts: DataFrame, cells: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per file: its path, its column names and the place of each contract column among them."""
     names = F.transform(F.array(*cells), lambda c: F.trim(F.regexp_replace(c, "^\\uFEFF", "")))
-    heads = landed.join(firsts.select("_file", F.col("_first").alias("_seq")), ["_file", "_seq"]).select(
+    heads = landed.join(firsts.select("_split", F.col("_first").alias("_seq")), ["_split", "_seq"]).select(
         "_file", names.alias("_names")
     )
     places = F.array(*[F.array_position("_names", F.lit(c)).cast("int") for c in columns])
@@ -49,6 +51,10 @@ def _check_headers(headers: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError("; ".join(f"{r._file}: {', '.join(r._faults)}" for r in found))
 
 
+def _unique(keys: DataFrame, key: str) -> bool:
+    return keys.select((F.count(key) == F.count_distinct(key)).alias("unique")).first().unique
+
+
 def land_csv(
     spark: SparkSession, path: str, columns: Sequence[str], freeze: Freeze, label: str, multi_line: bool = True
 ) -> DataFrame:
@@ -58,25 +64,30 @@ def land_csv(
     error that names file and column.  Spark packs file splits by size, so the order of its partitions is not the
     order of the file.  Rows are numbered inside their split and the sizes of the earlier splits of the same file
     (and of earlier files, by path) are added.  The numbers are frozen before they are used, so a rerun cannot
-    shift them.
+    shift them.  A split is known by a 64-bit number; should two share one, the table is landed again with others.
     """
     # one cell more than the contract has columns shows a surplus one
     cells = [f"_cell{i}" for i in range(len(columns) + 1)]
-    numbered = read_cells(spark, path, cells, multi_line).select(
-        *cells,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    landed = freeze(f"{label}_landed", numbered)
-    counted = landed.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     in_file = Window.partitionBy("_file").orderBy("_block")
-    splits = freeze(f"{label}_splits", counted.withColumn("_place", F.row_number().over(in_file)))
+    for attempt in itertools.count():
+        numbered = read_cells(spark, path, cells, multi_line).select(
+            *cells,
+            file.alias("_file"),
+            block.alias("_block"),
+            F.xxhash64(F.lit(attempt), file, block).alias("_split"),
+            F.monotonically_increasing_id().alias("_seq"),
+        )
+        landed = freeze(f"{label}_landed", numbered)
+        counted = landed.groupBy("_split", "_file", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        splits = freeze(f"{label}_splits", counted.withColumn("_place", F.row_number().over(in_file)))
+        if _unique(splits, "_split"):
+            break
     headers = freeze(f"{label}_headers", _headers(landed, splits.where("_place = 1"), cells, columns))
     _check_headers(headers, columns)
     # the first split of a file starts with the header, which is no row of the table
     head = (F.col("_place") == 1).cast("int")
-    splits = splits.select("_file", "_block", (F.col("_first") + head).alias("_first"), (F.col("_rows") - head).alias("_rows"))
+    splits = splits.select("_split", "_file", "_block", (F.col("_first") + head).alias("_first"), (F.col("_rows") - head).alias("_rows"))
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     by_path = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = splits.groupBy("_file").agg(F.sum("_rows").alias("_file_rows")).select(
@@ -87,29 +98,31 @@ def land_csv(
         splits.withColumn("_split_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .join(files, "_file")
         .join(headers, "_file")
-        .select("_file", "_block", "_first", "_places", shift.alias("_shift"))
+        .select("_split", "_first", "_places", shift.alias("_shift"))
     )
-    rows = landed.join(starts, ["_file", "_block"]).where("_seq >= _first")
+    rows = landed.join(freeze(f"{label}_starts", starts), "_split").where("_seq >= _first")
     own = [F.get(F.array(*cells), F.get("_places", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)]
     return rows.select((F.col("_seq") + F.col("_shift")).cast("long").alias("_row_id"), *own)
 
 
-def with_row_ids(df: DataFrame) -> DataFrame:
+def with_row_ids(df: DataFrame, freeze: Freeze | None = None, label: str = "scan") -> DataFrame:
     """Add ``_row_id`` (1 = first row) to a Parquet scan: position in the file plus the rows of earlier files.
 
-    One row per file is aggregated from the row positions alone (no data column is read).
+    The rows of each file are counted once, without reading a column, and written as a table of one row per file;
+    scans look their file up in it by a 64-bit number (another set of numbers is taken should two files share one).
     """
-    place = F.col("_metadata.row_index") + 1
-    by_path = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
-        .groupBy("_file")
-        .agg(F.max("_place").alias("_rows"))
-        .select("_file", F.coalesce(F.sum("_rows").over(by_path), F.lit(0)).alias("_before"))
-    )
+    freeze = freeze or Stages(df.sparkSession).freeze
+    by_path = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    path = F.col("_metadata.file_path")
+    sizes = df.select(path.alias("_path")).groupBy("_path").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(by_path), F.lit(0)).alias("_before")
+    for attempt in itertools.count():
+        offsets = freeze(f"{label}_offsets", sizes.select(F.xxhash64(F.lit(attempt), "_path").alias("_file"), before))
+        if _unique(offsets, "_file"):
+            break
     return (
-        df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), "*")
-        .join(before, "_file")
+        df.select(F.xxhash64(F.lit(attempt), path).alias("_file"), (F.col("_metadata.row_index") + 1).alias("_place"), "*")
+        .join(offsets, "_file")
         .select((F.col("_place") + F.col("_before")).cast("long").alias("_row_id"), *df.columns)
     )
 

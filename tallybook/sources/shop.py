@@ -89,7 +89,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
+def order_items(spark: SparkSession, folder: str, freeze: Freeze | None = None) -> DataFrame:
     k, line = F.col("l_orderkey"), F.col("l_linenumber")
     first = line == 1
     price = (
@@ -97,7 +97,11 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
     freight = F.when((k % 821 == 13) & first, "-1.00").otherwise(_text(_freight()))
     product = F.when(k % 607 == 5, _unknown(F.col("l_partkey"))).otherwise(_text(F.col("l_partkey")))
-    return with_row_ids(_table(spark, folder, "lineitem")).select(
+    used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+    lines = with_row_ids(_table(spark, folder, "lineitem").select(*used), freeze, "lineitem")
+    if freeze:  # numbered once like a landed CSV file, so no later scan looks its file up again
+        lines = freeze("lineitem_numbered", lines.withColumnRenamed("_row_id", "lineitem_row")).withColumnRenamed("lineitem_row", "_row_id")
+    return lines.select(
         "_row_id",
         _text(k).alias("order_id"),
         _text(line).alias("order_item_id"),
@@ -275,7 +279,7 @@ def raw_tables(spark: SparkSession, folder: str, freeze: Freeze | None = None) -
     payments = order_payments(spark, folder)
     return {
         "orders": orders(spark, folder),
-        "order_items": order_items(spark, folder),
+        "order_items": order_items(spark, folder, freeze),
         "order_payments": freeze("raw_order_payments", payments) if freeze else payments,
         "order_reviews": order_reviews(spark, folder),
         "customers": customers(spark, folder),
