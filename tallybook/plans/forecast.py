@@ -6,10 +6,9 @@ has one row per calendar month, so windows and groups over it are as long as the
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ MODELS = (
     ("moving_average_3m", "model"),
     ("holt_damped_trend", "model"),
 )
+ALL = tuple(m for m, _ in MODELS)
 SIMPLE = ("naive_last_value", "seasonal_naive_12m", "moving_average_3m")
 
 
@@ -118,75 +118,82 @@ def simple_forecasts(used: DataFrame, holdout: int) -> DataFrame:
     return stats.select("series", F.inline(F.array(*rows)))
 
 
-def fit_holt_damped(y: np.ndarray, horizon: int = HORIZON) -> tuple[np.ndarray, float, tuple[float, float, float]]:
-    """Damped additive trend by least squares; returns forecasts, squared error and (alpha, beta, phi).
+# Damped trend: smoothing parameters tried first, and steps around the best of them tried then.
+ALPHAS, BETAS, PHIS = (0.05, 0.2, 0.35, 0.5, 0.65, 0.8, 0.95), (0.0, 0.05, 0.1, 0.2, 0.4, 0.8), (0.8, 0.85, 0.9, 0.95, 0.98)
+STEPS = ((-0.1, -0.05, 0.0, 0.05, 0.1), (-0.05, -0.025, 0.0, 0.025, 0.05), (-0.02, 0.0, 0.02))
+LIMITS = ((0.01, 0.99), (0.0, 1.0), (0.8, 0.995))
+RIDGE = 1e-9
+SSE_DIGITS = 3
+FORECAST_DIGITS = 6
+_PARAMS = ("alpha", "beta", "phi")
+_STATE = ("lc", "la", "lb", "tc", "ta", "tb")  # level and trend: constant, share of the start level, share of the start trend
+_SUMS = ("aa", "ab", "bb", "ay", "by", "yy")  # of the one-step errors' normal equations
 
-    For fixed smoothing parameters the one-step errors are linear in the two start values, so those are solved
-    exactly; only the three parameters are searched, on a grid that narrows twice.
-    """
-    y = np.asarray(y, dtype=float)
-    low = np.array([0.01, 0.0, 0.80])
-    high = np.array([0.99, 1.0, 0.995])
-    lo, hi = low.copy(), high.copy()
-    best = (np.inf, None, None)
-    for _ in range(3):
-        axes = [np.linspace(a, b, k) for a, b, k in zip(lo, hi, (13, 11, 8))]
-        grid = np.stack([g.ravel() for g in np.meshgrid(*axes, indexing="ij")], axis=1)
-        sse, start = _errors(y, grid)
-        i = int(np.argmin(sse))
-        if sse[i] < best[0]:
-            best = (float(sse[i]), grid[i], start[i])
-        step = np.array([(b - a) / (k - 1) for a, b, k in zip(lo, hi, (13, 11, 8))])
-        lo, hi = np.maximum(low, best[1] - step), np.minimum(high, best[1] + step)
-    sse, (alpha, beta, phi), (level, trend) = best
-    for v in y:
-        seen = level + phi * trend
-        new = alpha * v + (1 - alpha) * seen
-        trend = beta * (new - level) + (1 - beta) * phi * trend
-        level = new
-    ahead = level + trend * np.cumsum(phi ** np.arange(1, horizon + 1))
-    return ahead, sse, (float(alpha), float(beta), float(phi))
-
-
-def _errors(y: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared error and best start values of every parameter triple at once."""
-    alpha, beta, phi = (grid[:, i : i + 1] for i in range(3))
-    # level and trend as (constant, share of start level, share of start trend)
-    level = np.tile([0.0, 1.0, 0.0], (len(grid), 1))
-    trend = np.tile([0.0, 0.0, 1.0], (len(grid), 1))
-    errors = []
-    for v in y:
-        seen = level + phi * trend
-        e = -seen
-        e[:, 0] += v
-        errors.append(e)
-        new = (1 - alpha) * seen
-        new[:, 0] += alpha[:, 0] * v
-        trend = beta * (new - level) + (1 - beta) * phi * trend
-        level = new
-    e = np.stack(errors, axis=1)
-    design, target = -e[:, :, 1:], e[:, :, 0]
-    gram = np.einsum("gti,gtj->gij", design, design) + 1e-9 * np.eye(2)
-    start = np.linalg.solve(gram, np.einsum("gti,gt->gi", design, target)[..., None])[..., 0]
-    left = target - np.einsum("gti,gi->gt", design, start)
-    return (left**2).sum(axis=1), start
 
+def _fold(y: Column, alpha: Column, beta: Column, phi: Column) -> Column:
+    """State and sums after all months; everything is linear in the two unknown start values."""
 
-def holt_forecasts(used: DataFrame, holdout: int) -> DataFrame:
-    """Damped trend per series.  One group is one series of at most a few hundred months."""
+    def step(s: Column, v: Column) -> Column:
+        seen = {k: s[f"l{k}"] + phi * s[f"t{k}"] for k in "cab"}
+        level = {k: (1 - alpha) * seen[k] for k in "ab"} | {"c": alpha * v + (1 - alpha) * seen["c"]}
+        trend = {k: beta * (level[k] - s[f"l{k}"]) + (1 - beta) * phi * s[f"t{k}"] for k in "cab"}
+        rest = v - seen["c"]
+        sums = {"aa": seen["a"] * seen["a"], "ab": seen["a"] * seen["b"], "bb": seen["b"] * seen["b"], "ay": seen["a"] * rest, "by": seen["b"] * rest, "yy": rest * rest}
+        new = [({"l": level, "t": trend}[c[0]][c[1]]).alias(c) for c in _STATE]
+        return F.struct(*new, *[(s[c] + sums[c]).alias(c) for c in _SUMS])
+
+    start = F.struct(*[F.lit(1.0 if c in ("la", "tb") else 0.0).alias(c) for c in (*_STATE, *_SUMS)])
+    return F.aggregate(y, start, step)
+
+
+def _solved(s: Column) -> tuple[Column, Column, Column]:
+    """Start level, start trend and squared error of the best start values."""
+    aa, bb, ab = s["aa"] + F.lit(RIDGE), s["bb"] + F.lit(RIDGE), s["ab"]
+    det = aa * bb - ab * ab
+    level, trend = (s["ay"] * bb - ab * s["by"]) / det, (aa * s["by"] - ab * s["ay"]) / det
+    return level, trend, s["yy"] - level * s["ay"] - trend * s["by"]
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("idx")["orders"].to_numpy(dtype=float)
-        ahead, _, _ = fit_holt_damped(y)
-        return pd.DataFrame({
-            "series": pdf["series"].iloc[0], "model": "holt_damped_trend", "kind": "model",
-            "h": np.arange(1, HORIZON + 1), "predicted": ahead,
-        })
 
-    train = used.where(F.col("idx") <= F.col("n") - holdout).select("series", "idx", "orders")
-    # few bytes but much arithmetic: an explicit width keeps the series spread over all cores
-    spread = train.repartition(shuffle_width(train), "series")
-    return spread.groupBy("series").applyInPandas(fit, "series string, model string, kind string, h int, predicted double")
+def _best(tried: DataFrame) -> DataFrame:
+    """The parameters with the smallest squared error of each series; ties go by the order of the parameters."""
+    fitted = tried.withColumn("s", _fold(F.col("y"), *map(F.col, _PARAMS)))
+    level, trend, sse = _solved(F.col("s"))
+    fitted = fitted.withColumn("level0", level).withColumn("trend0", trend).withColumn("sse", half_up(sse, SSE_DIGITS))
+    row = F.struct(*_PARAMS, "s", "level0", "trend0", "sse")
+    return fitted.groupBy("series").agg(F.min_by(row, F.struct("sse", *_PARAMS)).alias("fit"), F.first("y").alias("y"))
+
+
+def fitted_trends(train: DataFrame) -> DataFrame:
+    """series, y, fit: the damped trend with the least squared one-step error over two grids of parameters.
+
+    For fixed parameters the errors are linear in the start values, so these are solved exactly.  ``train``: series, idx, orders.
+    Each triple of parameters is a row, so the fits of one series are spread as well.
+    """
+    months = F.transform(F.array_sort(F.collect_list(F.struct("idx", "orders"))), lambda m: m["orders"].cast("double"))
+    per_series = train.groupBy("series").agg(months.alias("y"))  # a few hundred months at most
+    first = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(t, _PARAMS)]) for t in itertools.product(ALPHAS, BETAS, PHIS)])
+    # few bytes but much arithmetic: an explicit width keeps the fits spread over all cores
+    width = shuffle_width(train)
+    coarse = _best(per_series.repartition(width, "series").select("series", "y", F.inline(first)))
+    near = [F.array(*[F.greatest(F.least(F.col(f"fit.{n}") + F.lit(d), F.lit(hi)), F.lit(lo)) for d in steps]) for n, steps, (lo, hi) in zip(_PARAMS, STEPS, LIMITS)]
+    fine = coarse.repartition(width, "series").select("series", "y", *[a.alias(f"{n}s") for a, n in zip(near, _PARAMS)])
+    for n in _PARAMS:
+        fine = fine.withColumn(n, F.explode(F.array_distinct(f"{n}s")))
+    return _best(fine.select("series", "y", *_PARAMS))
+
+
+def holt_forecasts(used: DataFrame, holdout: int) -> DataFrame:
+    """Damped trend per series, made ``holdout`` months before the end."""
+    fit = fitted_trends(used.where(F.col("idx") <= F.col("n") - holdout).select("series", "idx", "orders"))
+    f = F.col("fit")
+    end = {k: f["s"][f"{k}c"] + f["s"][f"{k}a"] * f["level0"] + f["s"][f"{k}b"] * f["trend0"] for k in "lt"}
+    rows, power, sum_ = [], None, None
+    for h in range(1, HORIZON + 1):
+        power = f["phi"] if power is None else power * f["phi"]
+        sum_ = power if sum_ is None else sum_ + power
+        ahead = half_up(end["l"] + end["t"] * sum_, FORECAST_DIGITS)
+        rows.append(F.struct(F.lit("holt_damped_trend").alias("model"), F.lit("model").alias("kind"), F.lit(h).alias("h"), ahead.alias("predicted")))
+    return fit.select("series", F.inline(F.array(*rows)))
 
 
 def forecasts(used: DataFrame, holdout: int, models: Sequence[str]) -> DataFrame:
@@ -241,46 +248,65 @@ def choose(scored: DataFrame) -> DataFrame:
     )
 
 
-def run_forecast(window: DataFrame, models: Sequence[str] = SIMPLE) -> DataFrame:
-    """One row per series: the window, whether it was skipped, and the selection result."""
+def _months(which: Column) -> Column:
+    return F.array_join(F.array_sort(F.collect_list(F.when(which, F.date_format("month_start", "yyyy-MM")))), ",")
+
+
+def run_forecast(window: DataFrame, models: Sequence[str] = SIMPLE, held: DataFrame | None = None) -> DataFrame:
+    """One row per series: the window, why it was skipped if it was, and the selection result.
+
+    ``held``: the holdout rows if they are there already.
+    """
     used = F.col("used")
     size = F.count_if(used)
     spans = window.groupBy("series").agg(
         size.alias("complete_months"),
         F.min(F.when(used, F.col("month_start"))).alias("window_start"),
         F.max(F.when(used, F.col("month_start"))).alias("window_end"),
+        _months(used & (F.col("idx") > F.col("n") - HORIZON)).alias("holdout_months"),
+        _months(~used).alias("excluded_months"),
+    )
+    chosen = choose(scores(holdout_rows(usable(window), models) if held is None else held))
+    out = spans.join(chosen, "series", "left").withColumn("skipped", F.col("winner").isNull())
+    reason = F.concat(F.lit("only "), F.col("complete_months").cast("string"), F.lit(" complete months"))
+    return (
+        out.withColumn("train_months", F.when(~F.col("skipped"), F.col("complete_months") - HORIZON))
+        .withColumn("holdout_months", F.when(~F.col("skipped"), F.col("holdout_months")))
+        .withColumn("reason", F.when(F.col("skipped"), reason))
     )
-    chosen = choose(scores(holdout_rows(usable(window), models)))
-    return spans.join(chosen, "series", "left").withColumn("skipped", F.col("winner").isNull())
 
 
-def future(window: DataFrame, models: Sequence[str] = SIMPLE) -> DataFrame:
+def future(window: DataFrame, models: Sequence[str] = SIMPLE, held: DataFrame | None = None) -> DataFrame:
     """The winner refitted on all complete months: the next three months of each series."""
     used = usable(window)
-    winner = choose(scores(holdout_rows(used, models))).select("series", F.col("winner").alias("model"))
+    winner = choose(scores(holdout_rows(used, models) if held is None else held)).select("series", F.col("winner").alias("model"))
+    own = used.join(winner, "series")
+    made = simple_forecasts(own, 0)
+    if "holt_damped_trend" in models:
+        made = made.unionByName(holt_forecasts(own.where("model = 'holt_damped_trend'"), 0))
     end = used.groupBy("series").agg(F.max("month_start").alias("_end"))
     return (
-        forecasts(used, 0, models)
-        .join(winner, ["series", "model"])
+        made.join(winner, ["series", "model"])
         .join(end, "series")
         .select("series", F.add_months("_end", F.col("h")).alias("month_start"), "model",
                 half_up(F.col("predicted"), 0).cast("long").alias("orders"))
     )
 
 
-def forecast_table(window: DataFrame, models: Sequence[str] = SIMPLE) -> DataFrame:
+def forecast_table(window: DataFrame, models: Sequence[str] = SIMPLE, held: DataFrame | None = None) -> DataFrame:
     """Actual months, held-out predictions and the forecast in one long table."""
     used = usable(window)
+    held = holdout_rows(used, models) if held is None else held
     scored = used.select("series").distinct().withColumn("_scored", F.lit(True))
     actual = window.join(scored, "series", "left").select(
         "series", "month_start", F.lit("actual").alias("model"), F.lit("actual").alias("row_type"), "orders",
         (F.col("used") & F.coalesce("_scored", F.lit(False))).alias("used_in_model"),
     )
-    held = holdout_rows(used, models).select(
+    tried = held.select(
         "series", "month_start", "model", F.lit("holdout").alias("row_type"),
         half_up(F.col("predicted"), 0).cast("long").alias("orders"), F.lit(True).alias("used_in_model"),
     )
-    ahead = future(window, models).select(
+    ahead = future(window, models, held).select(
         "series", "month_start", "model", F.lit("forecast").alias("row_type"), "orders", F.lit(False).alias("used_in_model")
     )
-    return actual.unionByName(held).unionByName(ahead).withColumn("month", F.date_format("month_start", "yyyy-MM"))
+    return actual.unionByName(tried).unionByName(ahead).withColumn("month", F.date_format("month_start", "yyyy-MM"))

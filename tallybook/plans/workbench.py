@@ -158,3 +158,12 @@ class Workbench:
         name = F.concat_ws("/", "state_code", "category_key")
         months = forecast.monthly_orders(self.fact_orders, self.dim_date, name)
         return self.stages.freeze("series_per_month", forecast.complete_window(months))
+
+    @cached_property
+    def held_orders(self) -> DataFrame:
+        """Held-out months of the one series beside what each of the four candidates predicted."""
+        return self.stages.freeze("held_orders", forecast.holdout_rows(forecast.usable(self.orders_per_month), forecast.ALL))
+
+    @cached_property
+    def held_series(self) -> DataFrame:
+        return self.stages.freeze("held_series", forecast.holdout_rows(forecast.usable(self.series_per_month), forecast.ALL))

@@ -18,13 +18,13 @@ from .plans.results import in_order
 from .plans.workbench import Workbench
 from .sources.sinks import export_tables, write_csv
 
-ALL_MODELS = tuple(m for m, _ in forecast.MODELS)
+ALL_MODELS = forecast.ALL
 
 
 def export_all(wb: Workbench, out: str) -> dict:
     """Star tables (Parquet and CSV), evidence and summaries (CSV), forecast table (CSV), metrics (JSON)."""
     export_tables(wb.star, f"{out}/processed")
-    write_csv(forecast.forecast_table(wb.orders_per_month, ALL_MODELS), f"{out}/processed/forecast_monthly.csv")
+    write_csv(forecast.forecast_table(wb.orders_per_month, ALL_MODELS, wb.held_orders), f"{out}/processed/forecast_monthly.csv")
     for name, query in reconcile.EVIDENCE.items():
         args = (wb.reconciliation, wb.dq) if name == "sequence_gap_orders_reconcile" else (wb.reconciliation,)
         write_csv(in_order(name, query(*args)), f"{out}/reports/evidence/{name}.csv")

@@ -96,20 +96,69 @@ def test_months_without_orders_count_zero(spark):
     assert got == [(1, 1), (2, 0), (3, 0), (4, 2)]
 
 
-def test_holt_on_a_constant_series():
-    ahead, sse, _ = fc.fit_holt_damped(np.full(24, 70.0))
-    assert np.allclose(ahead, 70.0, atol=1e-3) and sse < 1e-6
+def one_step_errors(y, alpha, beta, phi):
+    """Least squared one-step error of fixed parameters, by solving for the start values with a design matrix."""
 
+    def run(level, trend, y):
+        out = []
+        for v in y:
+            seen = level + phi * trend
+            out.append(v - seen)
+            new = alpha * v + (1 - alpha) * seen
+            level, trend = new, beta * (new - level) + (1 - beta) * phi * trend
+        return np.array(out), level, trend
 
-def test_holt_steps_shrink_by_phi():
-    y = 100 + 5.0 * np.arange(30) + np.sin(np.arange(30))
-    ahead, _, (_, _, phi) = fc.fit_holt_damped(y, 4)
-    steps = np.diff(ahead)
-    assert np.allclose(steps[1:] / steps[:-1], phi, atol=1e-6)
+    plain = run(0.0, 0.0, y)[0]
+    zero = np.zeros(len(y))
+    design = -np.stack([run(1.0, 0.0, zero)[0], run(0.0, 1.0, zero)[0]], axis=1)
+    start = np.linalg.lstsq(design, plain, rcond=None)[0]
+    errors, level, trend = run(*start, y)
+    return float((errors**2).sum()), level, trend
 
 
-def test_holt_beats_fixed_parameters():
-    y = np.random.default_rng(3).poisson(200, 40).astype(float) + np.arange(40)
-    _, sse, _ = fc.fit_holt_damped(y)
-    fixed, _ = fc._errors(y, np.array([[0.5, 0.1, 0.9], [0.3, 0.3, 0.95]]))
-    assert sse <= fixed.min() + 1e-9
+def trends(spark, horizon_months=0, **series):
+    train = [(name, i + 1, int(v)) for name, values in series.items() for i, v in enumerate(values)]
+    return {r.series: r.fit for r in fc.fitted_trends(spark.createDataFrame(train, "series string, idx int, orders long")).collect()}
+
+
+def ahead(spark, values):
+    u = fc.usable(fc.complete_window(months(spark, s=values)))
+    return {r.h: r.predicted for r in fc.holt_forecasts(u, 0).collect()}
+
+
+def test_holt_on_a_constant_series(spark):
+    assert trends(spark, c=[70] * 24)["c"].sse < 1e-2
+    assert np.allclose(list(ahead(spark, [70] * 24).values()), 70.0, atol=1e-3)
+
+
+def test_holt_steps_shrink_by_phi(spark):
+    values = [int(100 + 5 * i + 3 * np.sin(i)) for i in range(30)]
+    got = ahead(spark, values)
+    phi = trends(spark, s=values)["s"].phi
+    assert (got[3] - got[2]) / (got[2] - got[1]) == pytest.approx(phi, abs=1e-4)
+
+
+def test_holt_is_the_best_of_its_grids(spark):
+    rng = np.random.default_rng(3)
+    own = {"a": (rng.poisson(200, 40) + np.arange(40)).tolist(), "b": rng.poisson(5000, 15).tolist(), "d": (3 * np.arange(30) ** 2 + rng.poisson(50, 30)).tolist()}
+    for name, fit in trends(spark, **own).items():
+        y = np.array(own[name], dtype=float)
+        sse, level, trend = one_step_errors(y, fit.alpha, fit.beta, fit.phi)
+        assert fit.sse == pytest.approx(sse, rel=1e-6)
+        grid = min(one_step_errors(y, a, b, p)[0] for a in fc.ALPHAS for b in fc.BETAS for p in fc.PHIS)
+        assert fit.sse <= grid * (1 + 1e-9)
+        got = ahead(spark, own[name])
+        assert got[1] == pytest.approx(level + fit.phi * trend, rel=1e-6)
+
+
+def test_no_python_runs_in_the_fits(spark, window):
+    plan = fc.holdout_rows(fc.usable(window), ALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_run_says_months_and_reasons(window):
+    got = {r.series: r for r in fc.run_forecast(window, ALL).collect()}
+    assert got["short"].reason == "only 14 complete months" and got["short"].train_months is None and got["short"].holdout_months is None
+    edges = got["edges"]
+    assert edges.train_months == 17 and edges.reason is None and edges.holdout_months == "2016-09,2016-10,2016-11"
+    assert edges.excluded_months == "2015-01,2015-02,2015-03,2016-12,2017-01"
