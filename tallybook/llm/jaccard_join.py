@@ -5,7 +5,7 @@ shingle.  Two sets link when 100 x intersection >= 75 x union.  Under any order
 sets share a token among the first ``n - ceil(0.75 n) + 1`` of each.  Three orders are used, all of them rare tokens
 first but with other ties: candidates must share a prefix token under each.
 
-1. Sets are cut into ranges of the hash and shuffled as packed arrays (8 bytes a token), one row per block of documents
+1. Sets are cut into ranges of the hash and shuffled as packed arrays (all 64 bits, as gaps), one row per block of documents
    and range.  Each range counts its tokens and returns those that are in two documents or more.
 2. All tokens that two documents share are among the returned ones, so sets go on as lists of those.  A document of which
    under 75 of 100 tokens came back can't link with anything and leaves here.  Equal sets become one class.
@@ -26,11 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, freeze, words
+from .common import freeze
+from .vector import LOWER, Recent, slices, word_codes
 
 SHINGLE = 5
 PERCENT = 75
@@ -38,7 +41,7 @@ BLOCK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 20  # about, in one range
 SIDE = 1024
 BITS = 1024
-CACHE_SIZE = 400_000
+CACHE_SIZE = 200_000
 _U = np.uint64
 
 
@@ -49,25 +52,47 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-class WordCodes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_SIZE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
+class WordCodes:
+    """64-bit hashes of words."""
+
+    def __init__(self):
+        self.known = Recent(CACHE_SIZE)
+
+    def _hashes(self, words: list[str]) -> list[int]:
+        return [xxhash.xxh3_64_intdigest(w) for w in words]
+
+    def shingle_sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Distinct shingle hashes of each text, ascending; all texts of a slice are hashed together."""
+        for _, buf, offs in slices(texts):
+            codes, begin, values, _ = word_codes(LOWER[buf], offs)
+            word = np.array(self.known.find(values.to_pylist(), self._hashes), dtype=np.uint64)[codes]
+            size = np.diff(begin)
+            mixed = np.full(len(word), SHINGLE, dtype=np.uint64)
+            last = len(word) - SHINGLE + 1
+            for k in range(SHINGLE):
+                mixed[: max(0, last)] = _mix(mixed[: max(0, last)] + word[k : k + max(0, last)])
+            for a, n in zip(begin.tolist(), size.tolist()):
+                if n >= SHINGLE:
+                    own = np.sort(mixed[a : a + n - SHINGLE + 1])
+                    keep = np.ones(len(own), dtype=bool)
+                    np.not_equal(own[1:], own[:-1], out=keep[1:])
+                    yield own if keep.all() else own[keep]
+                else:
+                    yield _one_shingle(word[a : a + n])
 
     def shingles(self, text: str | None) -> np.ndarray:
-        """Distinct shingle hashes, ascending."""
-        ws = words(ascii_lower(text)) if text else []
-        code = np.fromiter(map(self.__getitem__, ws), dtype=np.uint64, count=len(ws))
-        size = min(SHINGLE, len(code))
-        if not size:
-            return code
-        n = len(code) - size + 1
-        mixed = np.full(n, size, dtype=np.uint64)
-        for k in range(size):
-            mixed = _mix(mixed + code[k : k + n])
-        return np.unique(mixed)
+        return next(self.shingle_sets(pa.array([text], pa.string())))
+
+
+def _one_shingle(words: np.ndarray) -> np.ndarray:
+    """The one shingle of a text of fewer words; none without words."""
+    mixed = np.full(min(1, len(words)), len(words), dtype=np.uint64)
+    for k in range(len(words)):
+        mixed = _mix(mixed + words[k : k + 1])
+    return mixed
+
+
+_WORDS = WordCodes()  # the cache outlives a task
 
 
 def signature(tokens: np.ndarray) -> tuple[int, int]:
@@ -96,10 +121,8 @@ def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
     A block is named by its place in the input, so that a task that runs again makes the same ones.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = WordCodes()
-        from pyspark import TaskContext
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _WORDS
         task = TaskContext.get().partitionId()
         block = 0
         meta, sets, seen, size = [], [], set(), 0
@@ -115,15 +138,13 @@ def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
                 part = (tokens >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), dtype=np.int64)
                 first = np.flatnonzero(np.diff(part, prepend=-1))
                 ends = [*first[1:], len(tokens)]
-                short = tokens.view(np.uint8).reshape(-1, 8)[:, :6] if bits >= 16 else (tokens >> _U(16)).view(np.uint8).reshape(-1, 8)[:, :6]
                 yield pd.DataFrame({
                     "block": f"{task}-{block}", "range": part[first], "idx": 0, "id": 0, "has_id": False, "n": 0, "s1": 0, "s2": 0,
-                    "tokens": [short[a:b].tobytes() for a, b in zip(first, ends)], "docs": [owner[a:b].tobytes() for a, b in zip(first, ends)],
+                    "tokens": [_pack(tokens[a:b]) for a, b in zip(first, ends)], "docs": [owner[a:b].tobytes() for a, b in zip(first, ends)],
                 })
 
         for batch in batches:
-            for i, text in zip(ids_of(batch["id"], batch["has_id"]), batch["text"]):
-                tokens = codes.shingles(text)
+            for i, tokens in zip(batch.column(0).to_pylist(), codes.shingle_sets(batch.column(1))):
                 sig = (len(tokens), *signature(tokens))
                 meta.append((len(meta), 0 if i is None else int(i), i is not None, *sig))
                 if len(tokens) and sig not in seen:
@@ -132,37 +153,43 @@ def packed_sets(docs: DataFrame, bits: int) -> DataFrame:
                     size += len(tokens)
                 if size >= BLOCK_TOKENS or len(meta) >= 65_000:
                     for out in flush():
-                        yield out[_COLUMNS]
+                        yield pa.RecordBatch.from_pandas(out[_COLUMNS], schema, preserve_index=False)
                     meta, sets, seen, size, block = [], [], set(), 0, block + 1
         if meta:
             for out in flush():
-                yield out[_COLUMNS]
-
-    held = docs.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNotNull().alias("has_id"), "text")
-    return held.mapInPandas(run, _PACKED)
+                yield pa.RecordBatch.from_pandas(out[_COLUMNS], schema, preserve_index=False)
 
-
-def ids_of(ids: pd.Series, known: pd.Series) -> Iterator[int | None]:
-    return (i if k else None for i, k in zip(ids.tolist(), known.tolist()))
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _PACKED.split(", ")])
+    return docs.select("id", "text").mapInArrow(run, _PACKED)
 
 
 _COLUMNS = [c.split()[0] for c in _PACKED.split(", ")]
 _SHARED = f"block string, {_META}, tokens binary, docs binary, df binary"
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    return out.view(np.uint64)[:, 0]
+def _pack(tokens: np.ndarray) -> bytes:
+    """Ascending tokens: the first one, then the gaps in as few bytes each as the widest one needs."""
+    gaps = np.diff(tokens)
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+    return tokens[:1].tobytes() + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack(data: bytes, count: int) -> np.ndarray:
+    out = np.zeros((count, 8), dtype=np.uint8)
+    out[0] = np.frombuffer(data, dtype=np.uint8, count=8)
+    if count > 1:
+        width = (len(data) - 8) // (count - 1)
+        out[1:, :width] = np.frombuffer(data, dtype=np.uint8, offset=8).reshape(-1, width)
+    return np.cumsum(out.view(np.uint64)[:, 0], dtype=np.uint64)
 
 
 def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
     """Tokens of one range that are in two documents or more, back to their blocks; rows of documents pass through."""
     if part["range"].iloc[0] < 0:
         return part.drop(columns="range").assign(df=None)
-    pieces = [_unpack(t) for t in part["tokens"]]
+    pieces = [_unpack(t, len(d) // 2) for t, d in zip(part["tokens"], part["docs"])]
     tokens, place, count = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
-    top = _U(int(part["range"].iloc[0])) << _U(48)  # tells equal rests of other ranges apart
     out, at = [], 0
     for block, docs, piece in zip(part["block"], part["docs"], pieces):
         df = count[place[at : at + len(piece)]]
@@ -170,7 +197,7 @@ def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
         keep = df > 1
         if keep.any():
             owner = np.frombuffer(docs, dtype=np.uint16)[keep]
-            out.append((block, (piece[keep] | top).tobytes(), owner.tobytes(), df[keep].astype(np.uint32).tobytes()))
+            out.append((block, piece[keep].tobytes(), owner.tobytes(), df[keep].astype(np.uint32).tobytes()))
     named = pd.DataFrame(out, columns=["block", "tokens", "docs", "df"])
     return named.assign(idx=0, id=0, has_id=False, n=0, s1=0, s2=0)[[c.split()[0] for c in _SHARED.split(", ")]]
 
@@ -306,6 +333,7 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
     A pair belongs to the bucket of the smallest prefix token that its two sets share: one of them at least is open there,
     since the leader can be connected with one side only.
     """
+    cell = cell.sort_values("n", kind="stable")
     ours, theirs, found = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
         token = np.int64(cell["token"].iloc[0]).view(_U)
@@ -314,22 +342,28 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
         prints, prefixes, others = view(theirs, "prints", np.uint16), view(theirs, "firsts", _U), np.stack(view(theirs, "others", _U))
         half = others.shape[1] // 2
         bits = np.stack([_print_bitmap(p) for p in prints])
+        there = np.zeros(1 << 16, dtype=bool)
         rows = zip(ours["sid"], ours["n"], ours["label"], view(ours, "prints", np.uint16), view(ours, "others", _U), view(ours, "firsts", _U))
         for sid, size, label, own, mine, prefix in rows:
-            smaller = set(prefix[: np.searchsorted(prefix, token)].tolist())
-            ok = (labels != label) & (100 * np.minimum(n, size) >= PERCENT * np.maximum(n, size))
-            if not ok.any():
+            # sizes ascend, so those that fit are next to each other; each filter sees what the one before let through
+            a, b = np.searchsorted(n, -(-PERCENT * size // 100)), np.searchsorted(n, 100 * size // PERCENT, side="right")
+            at = a + np.flatnonzero(labels[a:b] != label)
+            meet = others[at] & mine
+            at = at[meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)]
+            if not len(at):
                 continue
-            need = least_overlap(size, n)
-            meet = others & mine
-            ok &= meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)
+            need = least_overlap(size, n[at])
             # tokens of one set that can't be in the other: bits set there only, one token each at least
             bitmap = _print_bitmap(own)
-            ok &= n - np.bitwise_count(bits & ~bitmap).sum(axis=1, dtype=np.int64) >= need
-            ok &= size - np.bitwise_count(bitmap & ~bits).sum(axis=1, dtype=np.int64) >= need
-            there = np.zeros(1 << 16, dtype=bool)
+            ok = n[at] - np.bitwise_count(bits[at] & ~bitmap).sum(axis=1, dtype=np.int64) >= need
+            ok &= size - np.bitwise_count(bitmap & ~bits[at]).sum(axis=1, dtype=np.int64) >= need
+            at, need = at[ok], need[ok]
+            if not len(at):
+                continue
+            smaller = set(prefix[: np.searchsorted(prefix, token)].tolist())
             there[own] = True
-            near = [k for k in np.flatnonzero(ok) if np.count_nonzero(there[prints[k]]) >= need[k] and smaller.isdisjoint(prefixes[k].tolist())]
+            near = [k for k, m in zip(at, need) if np.count_nonzero(there[prints[k]]) >= m and smaller.isdisjoint(prefixes[k].tolist())]
+            there[own] = False
             found += [(min(sid, x), max(sid, x)) for x in ids[near].tolist()]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -373,7 +407,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per document: id, n_shingles, component_id."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max(0, int(np.ceil(np.log2(max(1, total / 6 / RANGE_TOKENS))))))
+    bits = min(30, max(0, int(np.ceil(np.log2(max(1, total / 6 / RANGE_TOKENS))))))
     ranges = packed_sets(texts, bits).groupBy("range").applyInPandas(_shared_in_range, _SHARED)
     ranges = freeze(ranges, "jaccard-ranges")
     meta = ranges.where("tokens is null").select(F.when(F.col("has_id"), F.col("id")).alias("id"), "n", "s1", "s2")
