@@ -1,22 +1,26 @@
-"""Benchmark decontamination: an exact bound on shared words, then word order and answer checks.
+"""Benchmark decontamination: latent semantic retrieval, then word order and answer checks.
 
 Words are coded once (32 bits each, without case and outer punctuation); all passes work on the codes.
 
-1. How often each hashed term comes in all documents is counted in one pass; only the speed depends on it.
-2. Every document is searched with windows of twice an item's length and ``STEP`` words more, one from every ``STEP`` words, so
-   that each stretch of twice an item's length lies in one.  A common subsequence has no more words than the window has in
-   common with the item.  Each item's terms are split into frequent and rare ones, where the split tells most: at most
-   all its frequent words can be matched, so ``ORDER`` of its words need a known number of rare ones.  Windows with so many, by
-   differences of running sums, are candidates.  No window that step 3 accepts is lost here.
-3. A candidate is a leak if the longest common subsequence of the item's words and the window has at least ``ORDER`` of the
-   item's words, and, where the item has an answer, at least ``ANSWER`` of the answer's words come there in order.  Items without an
-   answer (no answer column, or NULL) are judged by their words alone.
-
-Windows cover whole texts, all candidates are checked.  Items are a stated query set; they are taken in blocks of at most ``BLOCK``
-items, one search per block, so what a search broadcasts is bounded whatever the size of the benchmark.
-
-Cases: NULL and empty texts or items match nothing; repeated documents are found each, repeated items count as one each; empty
-tables give no rows; further columns are ignored.
+1. How often each hashed term comes in all documents is counted in one pass; it gives the inverse passage frequencies.
+2. Randomised SVD of the TF-IDF matrix of all passages (``PASSAGE`` words each): two passes multiply it, block by block, with a thin matrix
+   and its transpose; the products of the tasks are summed as a tree.  The first one finds the range, the second one the singular vectors in it.
+   A term's latent vector is its row, weighted and whitened, ``RANK`` numbers.
+3. A window's vector is a difference of running sums.  Windows of an item's length and of ``WIDER`` times that, one from every quarter, whose cosine
+   with the item is ``GATE`` or more are candidates.  The gate is low: it is set by planted copies with up to 40% of the words changed, or half as many
+   words put in, of which it lets more than 95% through (measured in the tests against brute force over all windows).
+   Items of fewer than ``SHORT`` words say too little for a direction; for them every window is a candidate.
+4. A candidate goes on if its surroundings have enough of the item's rare terms, an exact bound: an item's terms are split into frequent and
+   rare ones, where the split tells most; at most all its frequent words can be matched, so ``ORDER`` of its words need a known number of rare ones.
+5. It is a leak if a window of twice the item's length has ``ORDER`` of the item's words in order (longest common subsequence)
+   and, where the item has an answer, at least ``ANSWER`` of the answer's words come there in order.  Items without an answer (no
+   answer column, or NULL) are judged by their words alone.
+
+Windows cover whole texts.  Items are a stated query set; they are taken in blocks of at most ``BLOCK`` items, one search per block, so
+what a search broadcasts is bounded whatever the size of the benchmark.
+
+Cases: NULL and empty texts or items match nothing; repeated documents are found each, repeated items count as one each; of several
+places in a document the first one found counts; very long texts are searched whole; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,36 +32,54 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze, words
+from .common import freeze
+from .vector import Recent, slices, word_codes
 
 TERMS = 4096
+RANK = 64
+PASSAGE = 128
+GATE = 0.3
+WIDER = 1.6
+SHORT = 16
 ORDER = 0.6
 ANSWER = 0.6
 BLOCK = 20_000
 CHUNK = 1 << 15  # words taken at once
-STEP = 4  # windows start at every so many words
-_TOGETHER = 256  # items counted at once
+STEP = 4  # windows start at multiples of so many words
+_TOGETHER = 256  # items looked at at once
+_CELLS = 1 << 20  # words of candidates looked at at once
 _FAN = 64
 _SLICE = 256  # terms in one part of a sum
-CACHE_SIZE = 400_000
+CACHE_SIZE = 200_000
 
 
-class Codes(dict):
-    """32-bit code of a raw word without case and outer punctuation; 0 for punctuation alone."""
+def _code(word: str) -> int:
+    core = word.lower().strip(string.punctuation)
+    return max(1, zlib.crc32(core.encode("utf-8", "surrogatepass"))) if core else 0
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_SIZE:
-            self.clear()
-        core = word.lower().strip(string.punctuation)
-        value = self[word] = max(1, zlib.crc32(core.encode("utf-8", "surrogatepass"))) if core else 0
-        return value
+
+class Codes:
+    """32-bit codes of raw words without case and outer punctuation; 0 for punctuation alone."""
+
+    def __init__(self):
+        self.known = Recent(CACHE_SIZE)
+
+    def batch(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(codes, where each text's begin) of the slices of a column."""
+        for _, buf, offs in slices(texts):
+            codes, begin, values, _ = word_codes(buf, offs)
+            own = np.array(self.known.find(values.to_pylist(), lambda ws: [_code(w) for w in ws]), dtype=np.uint32)
+            yield own[codes], begin
 
     def of(self, text: str | None) -> np.ndarray:
-        ws = words(text)
-        return np.fromiter(map(self.__getitem__, ws), dtype=np.uint32, count=len(ws))
+        return next(self.batch(pa.array([text], pa.string())))[0]
+
+
+_CODES = Codes()  # the cache outlives a task
 
 
 def term_ids(codes: np.ndarray) -> np.ndarray:
@@ -68,13 +90,17 @@ def term_ids(codes: np.ndarray) -> np.ndarray:
 def coded(docs: DataFrame) -> DataFrame:
     """``docs`` (id, text) as (id, codes): the word codes of every text, 4 bytes a word, written once for all later passes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = Codes()
-        for part in batches:
-            yield pd.DataFrame({"id": part["id"], "codes": [codes.of(t).tobytes() for t in part["text"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for codes, begin in _CODES.batch(batch.column(1)):
+                n = len(begin) - 1
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(begin.astype(np.int64) * 4), pa.py_buffer(np.ascontiguousarray(codes))])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), data.cast(pa.binary())], names=["id", "codes"])
+                at += n
 
     kind = docs.schema["id"].dataType.simpleString()
-    return freeze(docs.mapInPandas(run, f"id {kind}, codes binary"), "word-codes")
+    return freeze(docs.mapInArrow(run, f"id {kind}, codes binary"), "word-codes")
 
 
 def tree_sum(parts: DataFrame, n_tasks: int) -> DataFrame:
@@ -124,6 +150,41 @@ def term_rates(docs: DataFrame) -> np.ndarray:
     return (n + 1) / (n.sum() + TERMS)
 
 
+def _passages(texts: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Counts of terms in passages, up to 256 x TERMS at once."""
+    rows = [t[k : k + PASSAGE] for t in map(term_ids, texts) for k in range(0, len(t), PASSAGE)]
+    for a in range(0, len(rows), 256):
+        part = rows[a : a + 256]
+        place = np.repeat(np.arange(len(part)) * TERMS, [len(r) for r in part])
+        yield np.bincount(place + np.concatenate(part), minlength=len(part) * TERMS).reshape(len(part), TERMS).astype(np.float32)
+
+
+def latent_terms(docs: DataFrame, rates: np.ndarray, seed: int = 17) -> np.ndarray:
+    """Latent vector of each hashed term, TERMS x RANK, by a randomised SVD of all passages of ``docs`` (codes)."""
+    weight = -np.log1p(-np.clip((1 - rates) ** PASSAGE, 1e-12, 1 - 1e-12)).astype(np.float64)
+    weight[0] = 0.0
+
+    def product(thin: np.ndarray) -> np.ndarray:
+        """A' A thin, where A has a row of unit length for every passage."""
+        own, idf = thin.astype(np.float32), weight.astype(np.float32)
+
+        def add(texts, total):
+            for counts in _passages(texts):
+                counts *= idf
+                counts /= np.maximum(np.sqrt(np.einsum("ij,ij->i", counts, counts)), 1e-9)[:, None]
+                total += counts.T @ (counts @ own)
+
+        return _gather(docs, add, thin.shape[1])
+
+    start = np.random.default_rng(seed).standard_normal((TERMS, RANK))
+    basis = np.linalg.qr(product(start))[0]
+    small = basis.T @ product(basis)
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    values = np.maximum(values, 0)
+    scale = 1 / np.sqrt(values + 1e-3 * max(values.max(initial=0.0), 1e-12))
+    return (weight[:, None] * (basis @ vectors) * scale).astype(np.float32)
+
+
 def lcs_length(a: list, b: list) -> int:
     """Length of the longest common subsequence, by bits."""
     masks: dict = {}
@@ -140,11 +201,12 @@ def lcs_length(a: list, b: list) -> int:
 class Item:
     def __init__(self, item_id, text: str, answer: str | None):
         self.id = item_id
-        self.codes = Codes().of(text)
+        self.codes = _CODES.of(text)
         self.words = self.codes[self.codes > 0].tolist()
         self.known = set(self.words)
-        self.answer = [c for c in Codes().of(answer).tolist() if c]
+        self.answer = [c for c in _CODES.of(answer).tolist() if c]
         self.wide = 2 * STEP * math.ceil(len(self.codes) / STEP) + STEP  # of a window
+        self.pace = max(1, len(self.codes) // (4 * STEP)) * STEP if len(self.words) >= SHORT else STEP  # between windows
         self.least = max(1, math.ceil(ORDER * len(self.words) - 1e-9))
 
     def rare(self, rates: np.ndarray) -> tuple[np.ndarray, int]:
@@ -158,20 +220,24 @@ class Item:
         k = int(tells.argmax())
         return terms[k:], int(need[k])
 
-    def leaked(self, codes: np.ndarray, pos: int) -> tuple[float, int]:
-        """Share of the item's words found in order in the window at ``pos``, or 0 if it is no leak, and where they begin."""
-        ws = codes[pos : pos + self.wide].tolist()
-        if sum(map(self.known.__contains__, ws)) < self.least:
+    def leaked(self, codes: np.ndarray, pos: int, more: int = 0) -> tuple[float, int]:
+        """Share of the item's words in order in a window that begins in the ``more`` words from ``pos`` on, or 0 if none is a leak, and where it begins."""
+        whole = codes[pos : pos + self.wide + more].tolist()
+        if sum(map(self.known.__contains__, whole)) < self.least or lcs_length(self.words, whole) < self.least:
             return 0.0, pos
-        n = lcs_length(self.words, ws)
-        if n < self.least:
+        for start in range(0, more + 1, STEP):
+            ws = whole[start : start + self.wide]
+            n = lcs_length(self.words, ws)
+            if n >= self.least:
+                break
+        else:
             return 0.0, pos
         # the last start that keeps all of it is where the copy begins; the window from there has the rest of the copy
         low, high = 0, len(ws) - n
         while low < high:
             mid = (low + high + 1) // 2
             low, high = (mid, high) if lcs_length(self.words, ws[mid:]) == n else (low, mid - 1)
-        pos += low
+        pos += start + low
         ws = codes[pos : pos + self.wide].tolist()
         if lcs_length(self.answer, ws) < ANSWER * len(self.answer):
             return 0.0, pos
@@ -179,18 +245,29 @@ class Item:
 
 
 class Searcher:
-    def __init__(self, rates: np.ndarray, items: list[tuple]):
-        self.items = sorted((i for i in (Item(*x) for x in items) if i.words), key=lambda i: i.wide)
-        self.widest = max((i.wide for i in self.items), default=STEP)
-        rare = [i.rare(rates) for i in self.items]
-        self.need = np.array([n for _, n in rare], dtype=np.int64)
-        self.known = []  # TERMS x items, for every ``_TOGETHER`` items
-        for at in range(0, len(rare), _TOGETHER):
-            part = rare[at : at + _TOGETHER]
+    """Searches texts (arrays of word codes) for items.  ``latent``: vectors of the terms."""
+
+    def __init__(self, rates: np.ndarray, latent: np.ndarray, items: list[tuple]):
+        self.latent = latent
+        self.items = sorted((i for i in (Item(*x) for x in items) if i.words), key=lambda i: (len(i.words) >= SHORT, i.wide))
+        self.widest = max((i.wide + 2 * i.pace for i in self.items), default=STEP)
+        self.groups = []  # items of one width, their rare terms (TERMS x items), how many of these are needed, their vectors
+        at = 0
+        while at < len(self.items):
+            end = at
+            while end < len(self.items) and end - at < _TOGETHER and self.items[end].wide == self.items[at].wide and (len(self.items[end].words) < SHORT) == (len(self.items[at].words) < SHORT):
+                end += 1
+            part = self.items[at:end]
             known = np.zeros((TERMS, len(part)), dtype=np.uint8)
-            for k, (terms, _) in enumerate(part):
+            need = np.zeros(len(part), dtype=np.int64)
+            vectors = np.zeros((len(part), latent.shape[1]), dtype=np.float32)
+            for k, item in enumerate(part):
+                terms, need[k] = item.rare(rates)
                 known[terms, k] = 1
-            self.known.append(known)
+                own = latent[term_ids(item.codes)].sum(axis=0)
+                vectors[k] = own / max(float(np.sqrt(own @ own)), 1e-9)
+            self.groups.append((part, known, need, vectors))
+            at = end
 
     def search(self, texts: list[np.ndarray]) -> Iterator[tuple[int, object, float, int]]:
         """(text, item id, share in order, word position) of every leak; texts are taken together, ``CHUNK`` words at once."""
@@ -217,42 +294,50 @@ class Searcher:
             begins.append(begins[-1] + len(own) + gap)
         flat, starts_of = term_ids(np.concatenate(parts)), np.array(begins[:-1])
         n = len(flat) // STEP
-        for g, known in enumerate(self.known):
-            hits = np.take(known, flat, axis=0).reshape(n, STEP, -1)
-            blocks = hits[:, 0].copy()
-            for k in range(1, STEP):
-                blocks += hits[:, k]
-            items = self.items[g * _TOGETHER : (g + 1) * _TOGETHER]
-            need = self.need[g * _TOGETHER : (g + 1) * _TOGETHER]
-            # differences of unsigned sums are right however often the sums run over
-            kind = np.uint16 if items[-1].wide < 1 << 16 else np.uint64
-            sums = np.zeros((len(items), n + 1), dtype=kind)
-            np.cumsum(np.ascontiguousarray(blocks.T), axis=1, dtype=kind, out=sums[:, 1:])
-            first = 0
-            while first < len(items):
-                wide = items[first].wide // STEP
-                last = first
-                while last < len(items) and items[last].wide == items[first].wide:
-                    last += 1
-                whole = max(0, n + 1 - wide)  # windows that don't reach over the end
-                own = sums[first:last]
-                near = np.empty((last - first, n), dtype=bool)
-                least = need[first:last, None].astype(kind)
-                np.greater_equal(own[:, wide:] - own[:, :whole], least, out=near[:, :whole])
-                np.greater_equal(own[:, -1:] - own[:, whole:n], least, out=near[:, whole:])
-                for at in np.flatnonzero(near).tolist():
-                    j, k = divmod(at, n)
-                    yield from self._check(items[first + j], k * STEP, held, begins, starts_of, found)
-                first = last
+        sums = np.zeros((n + 1, self.latent.shape[1]), dtype=np.float64)
+        np.cumsum(self.latent[flat].reshape(n, STEP, -1).sum(axis=1), axis=0, out=sums[1:])
+        padded = np.concatenate([flat, np.zeros(self.widest + STEP, dtype=flat.dtype)])
+        for part, known, need, vectors in self.groups:
+            if len(part[0].words) < SHORT:
+                yield from self._short(part, known, need, flat, n, held, begins, starts_of, found)
+                continue
+            pace, size = part[0].pace, math.ceil(len(part[0].codes) / STEP)
+            starts = np.arange(0, n, pace // STEP)
+            near = np.zeros((len(starts), len(part)), dtype=bool)
+            for length in {size, math.ceil(WIDER * size)}:
+                own = (sums[np.minimum(starts + length, n)] - sums[starts]).astype(np.float32)
+                norm = np.sqrt(np.einsum("ij,ij->i", own, own))
+                near |= own @ vectors.T >= GATE * np.maximum(norm, 1e-9)[:, None]
+            row, col = np.nonzero(near)
+            first = np.maximum(starts[row] * STEP - pace, 0)  # a copy begins within a pace before or after the window
+            room = part[0].wide + 2 * pace
+            for a in range(0, len(row), max(1, _CELLS // room)):
+                b = a + max(1, _CELLS // room)
+                enough = known[padded[first[a:b, None] + np.arange(room)], col[a:b, None]].sum(axis=1, dtype=np.int64) >= need[col[a:b]]
+                for k in (a + np.flatnonzero(enough)).tolist():
+                    yield from self._check(part[col[k]], int(starts[row[k]]) * STEP, held, begins, starts_of, found)
+
+    def _short(self, items, known, need, flat, n, held, begins, starts_of, found) -> Iterator[tuple]:
+        """Items of one width that say too little for a direction: every window with enough of their rare terms."""
+        hits = np.take(known, flat, axis=0).reshape(n, STEP, -1)
+        blocks = hits.sum(axis=1, dtype=np.uint8)
+        sums = np.zeros((n + 1, len(items)), dtype=np.int64)
+        np.cumsum(blocks, axis=0, out=sums[1:])
+        wide = items[0].wide // STEP
+        near = sums[np.minimum(np.arange(n) + wide, n)] - sums[:n] >= need
+        for k, j in np.argwhere(near).tolist():
+            yield from self._check(items[j], k * STEP, held, begins, starts_of, found)
 
     @staticmethod
     def _check(item, pos, held, begins, starts_of, found) -> Iterator[tuple]:
-        """Verify a candidate window at ``pos`` of the joined pieces."""
+        """Verify a candidate window at ``pos`` of the joined pieces, with a pace on either side."""
         piece = int(np.searchsorted(starts_of, pos, "right")) - 1
         text, at, codes = held[piece]
         if (text, item.id) in found:
             return
-        share, pos = item.leaked(codes, pos + at - begins[piece])
+        own = pos + at - begins[piece]
+        first = max(0, own - item.pace)
+        share, pos = item.leaked(codes, first, own - first + item.pace)
         if share:
             found.add((text, item.id))
             yield text, item.id, share, pos
@@ -265,7 +350,8 @@ def find_leaks(
     """Rows (id, item_id, lcs_share, word_position): one per document and leaked item."""
     texts = coded(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     spark = docs.sparkSession
-    rates = spark.sparkContext.broadcast(term_rates(texts))
+    rates = term_rates(texts)
+    space = spark.sparkContext.broadcast((rates, latent_terms(texts, rates)))
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"), answer.alias("answer"))
     items = items.where(F.col("text").isNotNull() & F.col("item").isNotNull()).distinct()
@@ -278,7 +364,7 @@ def find_leaks(
         held = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # at most about ``block`` items
 
         def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            finder = Searcher(rates.value, held.value)
+            finder = Searcher(*space.value, held.value)
             for part in batches:
                 ids = list(part["id"])
                 hits = finder.search([np.frombuffer(c, dtype=np.uint32) for c in part["codes"]]) if finder.items else ()

@@ -164,13 +164,26 @@ def test_only_a_given_answer_is_asked_for(spark):
     assert asked == {(0, 1), (1, 1), (2, 1), (0, 2)}
 
 
-def leak_trials(texts, items, edit, trials, seed):
+class Gathered:
+    """What ``latent_terms`` and ``term_rates`` gather, in one process."""
+
+    def __init__(self, texts):
+        self.texts = texts
+
+    def gather(self, docs, work, width):
+        total = np.zeros((decontaminate.TERMS, width))
+        work(self.texts, total)
+        return total
+
+
+def leak_trials(texts, items, edit, trials, seed, monkeypatch):
     """(leak by brute force over every window, leak found) of documents with one edited item each."""
     rng = random.Random(seed)
     own = [decontaminate.Codes().of(t) for t in texts]
+    monkeypatch.setattr(decontaminate, "_gather", Gathered(own).gather)
+    rates = decontaminate.term_rates(None)
+    finder = decontaminate.Searcher(rates, decontaminate.latent_terms(None, rates), [(j, t, None) for j, t in enumerate(items)])
     vocabulary = np.concatenate(own)
-    n = np.bincount(decontaminate.term_ids(vocabulary), minlength=decontaminate.TERMS)
-    finder = decontaminate.Searcher((n + 1) / (n.sum() + decontaminate.TERMS), [(j, t, None) for j, t in enumerate(items)])
     by_id = {item.id: item for item in finder.items}
     docs, planted = [], []
     for _ in range(trials):
@@ -211,20 +224,21 @@ def cut(rng, codes, word):
 
 
 @pytest.mark.parametrize("edit", [substituted(0.1), substituted(0.25), substituted(0.4), widened, cut])
-def test_leaks_are_those_of_brute_force(spark, sf, edit):
+def test_leaks_are_those_of_brute_force(spark, sf, edit, monkeypatch):
     sf = sf.replace("0.001", "0.01")
     texts = [r.text or "" for r in table(spark, sf, "documents").collect()]
     items = [r.text for r in table(spark, sf, "benchmark").collect()]
-    trials = leak_trials(texts, items, edit, 60, 5)
-    assert sum(true for true, _ in trials) >= 40
-    assert all(found for true, found in trials if true)
+    trials = leak_trials(texts, items, edit, 200, 5, monkeypatch)
+    assert sum(true for true, _ in trials) >= 120
+    recall = np.mean([found for true, found in trials if true])
+    assert recall >= 0.98, recall
 
 
-def test_frequent_words_and_short_items(spark):
+def test_frequent_words_and_short_items(spark, monkeypatch):
     """Items of few or only frequent words, with changed ends, are found; half of an item is not."""
     rng = random.Random(3)
     docs = [" ".join(rng.choice(["the", "of", "and", f"x{rng.randrange(900)}"]) for _ in range(200)) for _ in range(20)]
-    trials = leak_trials(docs, ["alpha beta gamma", "the of x and the of the y and of", "p q r s t u v"], substituted(0.3), 60, 6)
+    trials = leak_trials(docs, ["alpha beta gamma", "the of x and the of the y and of", "p q r s t u v"], substituted(0.3), 60, 6, monkeypatch)
     assert all(found for true, found in trials if true) and sum(true for true, _ in trials) >= 40
 
 
