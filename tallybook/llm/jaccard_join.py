@@ -17,7 +17,7 @@ first but with other ties: candidates must share a prefix token under each.
 4. Components of the links by contraction, in a number of rounds that grows with the logarithm of the nodes; equal sets share the label of their class.
 
 Cases: NULL and empty texts have no shingles and link with nothing; equal texts are one class; rows that share an id
-are one document each; an empty table gives no rows; further columns are ignored.
+are one document each; ids are whole numbers; very long texts are compared whole; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations

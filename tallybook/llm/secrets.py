@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder
+from .common import free, new_folder, others
 
 RULE_VERSION = "1"
 # Kinds in their order, patterns, and the group and least length that a match needs.
@@ -74,11 +74,13 @@ class Ledger:
         fresh = fresh.join(known, "blob", "left_anti").withColumn("rules", F.lit(rule_version))
         fresh.mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(self.folder)
         found = self.read().where((F.col("rules") == rule_version) & (F.size("spans") > 0))
-        found = found.dropDuplicates(["blob"]).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-        seen = versions.withColumn("_b", blob).drop(text_col)
+        own, key, spans = (free(versions, x) for x in ("_own", "_key", "_spans"))
+        found = found.dropDuplicates(["blob"]).select(F.col("blob").alias(key), F.col("spans").alias(spans))
+        rest = others(versions, "blob", "spans", text_col)
+        seen = versions.withColumn(own, blob).select(*rest, own)
         none = F.array().cast("array<struct<kind:string,start:int,stop:int>>")
-        back = seen.join(found, F.col("_b") == F.col("_blob"), "left").drop("_blob")
-        return back.withColumn("blob", F.col("_b")).withColumn("spans", F.coalesce("_spans", none)).drop("_b", "_spans")
+        back = seen.join(found, F.col(own) == F.col(key), "left")
+        return back.select(*rest, F.col(own).alias("blob"), F.coalesce(spans, none).alias("spans"))
 
 
 def span_text(spans) -> F.Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -316,3 +317,17 @@ def test_pipeline_stages(spark, sf):
             assert got.keys() == before.keys() and all(r.taken <= 3 * r.size for r in got.values())
         texts, docs = got, after
     assert texts and corpus_pipeline.run(spark, sf).count() == len(texts)
+
+
+def test_pipeline_judges_rows_not_ids(spark, sf):
+    """Rows with one id, equal rows and rows without an id: copies go, clean rows stay."""
+    copy = " ".join(f"w{k}" for k in range(60))
+    clean = " ".join(f"c{k}" for k in range(60))
+    leak = table(spark, sf, "benchmark").first().text
+    rows = [(3, copy), (5, copy), (5, clean), (1, "a " + clean[::-1]), (1, "a " + clean[::-1]), (None, copy), (None, clean[:100]), (5, None), (5, ""), (9, f"{clean[::-1]} {leak}"), (9, "b b")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, _key string, _label int").repartition(3)
+    kept = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    want = [(3, copy), (5, clean), (1, "a " + clean[::-1]), (None, clean[:100]), (5, None), (5, ""), (9, f"{clean[::-1]} {leak}"), (9, "b b")]
+    assert kept(corpus_pipeline.near_duplicates(spark, docs, sf)) == Counter(want)
+    assert kept(corpus_pipeline.decontaminate(spark, docs, sf)) == Counter(r for r in rows if r[1] != f"{clean[::-1]} {leak}")
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), sf).count() == 0
