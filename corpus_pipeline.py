@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all documents that the stages before it kept, and returns the columns of
 documents; the last one returns what the mix takes of each document.
+
+Cases: a NULL or empty text is kept by the classifier's thresholds alone and is never a copy, a leak or a repeated line; rows are told apart by a key
+of their own, so rows that share an id, or have none, are judged one by one (of equal rows one stays); of linked documents the one with the
+smallest id stays, then the first row; an empty table gives no rows; further columns are kept up to the mix.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import freeze, table
+from tallybook.llm.common import free, freeze, table
 from tallybook.llm.decontaminate import find_leaks
 from tallybook.llm.jaccard_join import similar_documents
 from tallybook.llm.line_dedup import dedup_lines
@@ -30,19 +34,35 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(~F.coalesce(empty, F.lit(False))).withColumn("n_chars", size).select(*docs.columns)
 
 
-def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    """``docs`` without some ids; these are written first, so that Spark knows their size before it picks a join."""
-    return docs.join(freeze(gone.select("doc_id").distinct(), name), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` written with a key of each row."""
+    key = free(docs, "_key")
+    return freeze(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def _without(docs: DataFrame, key: str, gone: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``docs`` without some keys; these are written first, so that Spark knows their size before it picks a join."""
+    return docs.join(freeze(gone.select(key).distinct(), name), key, "left_anti").select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    return _without(docs, similar_documents(docs).where("component_id <> doc_id"), "near-duplicates")
+    """Of each group of linked documents one stays: that with the smallest id, of rows with one id the first."""
+    held, key = _keyed(docs, "near-rows")
+    label, first = free(held, "_label"), free(held, "_first")
+    found = freeze(similar_documents(held, key).select(key, F.col("component_id").alias(label)), "near-labels")
+    # only rows that are linked with another one are ranked
+    linked = found.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(label)
+    rows = found.join(linked, label).join(held.select(key, "doc_id"), key)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)
+    stays = rows.groupBy(label).agg(F.min(place)[key].alias(first)).select(first)
+    gone = rows.join(stays, F.col(key) == F.col(first), "left_anti")
+    return _without(held, key, gone, docs.columns, "near-duplicates")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item go."""
-    return _without(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")), "leaks")
+    held, key = _keyed(docs, "leak-rows")
+    return _without(held, key, find_leaks(held, table(spark, sf_dir, "benchmark"), key), docs.columns, "leaks")
 
 
 def weigh(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
