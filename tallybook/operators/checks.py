@@ -74,6 +74,26 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Bits of the filter that keeps rows out of the second pass; its size does not depend on the data.
+FILTER_BITS = 1 << 22
+
+
+def hash_filter(keys: DataFrame, columns: Sequence[str], bits: int = FILTER_BITS) -> Column:
+    """A condition that holds for every row whose ``columns`` are among ``keys``, and for few others.
+
+    The keys are hashed into a bitmap of a fixed size, which comes to the driver (``bits`` / 64 numbers at most) and goes out as one
+    constant.  A full bitmap lets all rows through; whoever uses it decides exactly afterwards.
+    """
+    place = F.xxhash64(*columns).bitwiseAND(F.lit(bits - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    held = {r.word: r.bits for r in words}
+    if not held:
+        return F.lit(False)
+    constant = F.split(F.lit(",".join(str(held.get(k, 0)) for k in range(bits // 64))), ",").cast("array<bigint>")
+    return F.getbit(F.get(constant, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 @dataclass(frozen=True)
 class UniqueKey:
     """Columns of one table that must be unique together."""
@@ -87,8 +107,9 @@ class UniqueKey:
 def duplicate_keys(keys: Sequence[UniqueKey]) -> DataFrame:
     """Flag copies 2..n of a key.  Rows with an incomplete key are left to ``required_null``.
 
-    The keys of all tables go through one pipeline.  They are counted first (combined before the shuffle), so
-    only repeated keys are numbered, and a hot key is numbered in stretches of row ids.
+    The keys of all tables go through one pipeline.  A first pass counts hashes of 8 bytes (combined before the shuffle); rows whose
+    hash comes once are done.  The others are counted by the keys themselves, so only repeated keys are numbered, and a
+    hot key is numbered in stretches of row ids.
     """
     widest = max(len(k.columns) for k in keys)
     names = [f"key_{i}" for i in range(widest)]
@@ -102,6 +123,8 @@ def duplicate_keys(keys: Sequence[UniqueKey]) -> DataFrame:
         )
     complete = _stack(parts)
     group = ["code", *names]
+    hashes = complete.groupBy(F.xxhash64(*group).alias("hash")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    complete = complete.withColumn("hash", F.xxhash64(*group)).where(hash_filter(hashes, ["hash"])).drop("hash")
     repeated = complete.groupBy(*group).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     rows = complete.join(repeated, group)
     numbered = running_total(rows, group, id_band(F.col("_row_id")), [F.col("_row_id")], F.lit(1), "copy")
@@ -142,8 +165,8 @@ def orphans(references: Sequence[Reference]) -> DataFrame:
     """Rows whose non-null reference has no parent.
 
     All references go through one pipeline.  Their distinct values (combined before the shuffle, so a value used
-    by a third of the rows is one value) meet the parents in an anti join; the orphan values that remain then
-    pick their rows.
+    by a third of the rows is one value) meet the parents in an anti join; a filter of the orphan values' hashes then keeps
+    all other rows out of the second pass, which finds the orphan values among the rest exactly and picks their rows.
     """
     used, known, rows = [], [], []
     for n, r in enumerate(references):
@@ -160,9 +183,12 @@ def orphans(references: Sequence[Reference]) -> DataFrame:
                 order_id.cast("string").alias("order_id"),
             )
         )
-    lost = _stack(used).distinct().join(_stack(known), ["code", "value"], "left_anti")
+    parents = _stack(known)
+    values = _stack(used)
+    held = hash_filter(values.distinct().join(parents, ["code", "value"], "left_anti"), ["code", "value"])
+    lost = values.where(held).distinct().join(parents, ["code", "value"], "left_anti")
     code = F.col("code")
-    return _stack(rows).join(lost, ["code", "value"], "left_semi").select(
+    return _stack(rows).where(held).join(lost, ["code", "value"], "left_semi").select(
         _choose(code, [r.table for r in references]).alias("table_name"),
         "record_id",
         "record_key",

@@ -156,16 +156,17 @@ def ranged_positions(
 ) -> DataFrame:
     """Number a whole table along ``order`` (1, 2, 3, ...), optionally with a running sum.
 
-    The table is range partitioned and frozen (written out), because a lost task must not move rows to other
-    ranges between the two passes.  Range totals are one row per range, at most ``spark.sql.shuffle.partitions``
-    of them, so broadcasting them is bounded by a setting and not by the data.
+    The table is range partitioned, sorted and written out with each row's place in its range, so numbering takes one
+    shuffle and a lost task can't move rows to other ranges afterwards.  Range totals are one row per range, at most
+    ``spark.sql.shuffle.partitions`` of them, so broadcasting them is bounded by a setting and not by the data.
 
-    ``running`` names (amount column, running sum column, grand total column).
+    ``running`` names (amount column, running sum column, grand total column); sums inside a range need its rows together once more.
     """
-    cut = df.repartitionByRange(shuffle_width(df), *order).withColumn("_range", F.spark_partition_id())
-    frozen = freeze(label, cut)
-    inside = Window.partitionBy("_range").orderBy(*order)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    cut = df.repartitionByRange(shuffle_width(df), *order).sortWithinPartitions(*order)
+    # the id of a row is its partition's number and its place there
+    row = F.monotonically_increasing_id()
+    place = row.bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    frozen = freeze(label, cut.select("*", F.shiftright(row, 33).cast("int").alias("_range"), place.alias("_place")))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
     sums = [F.count(F.lit(1)).alias("_rows")]
@@ -176,8 +177,9 @@ def ranged_positions(
         offsets.append(F.sum("_sum").over(Window.partitionBy()).alias(running[2]))
     before = frozen.groupBy("_range").agg(*sums).select(*offsets)
 
-    out = frozen.withColumn("_place", F.row_number().over(inside))
+    out = frozen
     if running:
+        so_far = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumn("_part", F.sum(running[0]).over(so_far))
     out = out.join(F.broadcast(before), "_range").withColumn(position, (F.col("_place") + F.col("_rows_before")).cast("long"))
     if running:

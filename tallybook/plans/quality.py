@@ -270,10 +270,10 @@ def table_audit(raw: Tables, staged: Tables, counts: DataFrame, dq: DataFrame) -
         F.count_if(F.col("row_status") == "quarantined").alias("quarantined"),
     )
     flagged = dq.groupBy("table_name").agg(F.count_distinct("record_id").alias("flagged"))
-    usable = _stack(
-        [clean_rows(df, t, dq).agg(F.count(F.lit(1)).alias("usable")).select(F.lit(t).alias("table_name"), "usable")
-         for t, df in staged.items()]
-    )
+    # what ``clean_rows`` keeps of every table, in one anti join
+    bad = dq.where(F.col("severity").isin(*QUARANTINE)).select("table_name", F.col("record_id").alias("_row_id")).distinct()
+    kept = _stack([df.select(F.lit(t).alias("table_name"), "_row_id") for t, df in staged.items()])
+    usable = kept.join(bad, ["table_name", "_row_id"], "left_anti").groupBy("table_name").agg(F.count(F.lit(1)).alias("usable"))
     return (
         counts.join(status, "table_name", "left")
         .join(usable, "table_name", "left")
@@ -281,9 +281,9 @@ def table_audit(raw: Tables, staged: Tables, counts: DataFrame, dq: DataFrame) -
         .select(
             "table_name",
             F.col("rows").alias("rows_in"),
-            "usable",
-            "quarantined",
-            "unflagged",
+            F.coalesce("usable", F.lit(0).cast("long")).alias("usable"),
+            F.coalesce("quarantined", F.lit(0).cast("long")).alias("quarantined"),
+            F.coalesce("unflagged", F.lit(0).cast("long")).alias("unflagged"),
             F.coalesce("flagged", F.lit(0).cast("long")).alias("flagged"),
         )
         .withColumn(

@@ -15,7 +15,7 @@ from ..contracts import TableSpec, default_contracts
 from ..sources import shop
 from ..sources.readers import load_csv_tables, row_counts, with_row_ids
 from ..sources.stage import Stages
-from . import forecast, quality, reconcile, star
+from . import forecast, quality, reconcile, sampling, star
 
 
 class Workbench:
@@ -167,3 +167,8 @@ class Workbench:
     @cached_property
     def held_series(self) -> DataFrame:
         return self.stages.freeze("held_series", forecast.holdout_rows(forecast.usable(self.series_per_month), forecast.ALL))
+
+    @cached_property
+    def picked_orders(self) -> DataFrame:
+        """Orders of the repeatable sample, ranked once for all tables that are cut down to them."""
+        return self.stages.freeze("picked_orders", sampling.picked_orders(self.reconciliation, self.dq))

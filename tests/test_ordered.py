@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallybook.operators import ordered
+from tallybook.operators import checks, ordered
 from tallybook.operators.checks import UniqueKey, duplicate_keys, sequence_gaps
 
 
@@ -122,3 +122,38 @@ def test_sequence_gap_of_a_hot_order(spark, monkeypatch):
 def test_money_stays_decimal(spark, skewed, freeze):
     got = ordered.ranged_positions(skewed, [F.col("id")], freeze, "d", "n", ("amount", "s", "t"))
     assert isinstance(got.first().s, Decimal)
+
+
+def test_numbering_a_table_takes_one_shuffle(spark, skewed):
+    """The written ranges hold each row's place; reading the numbers back moves no row."""
+    seen = []
+
+    def keep(label, df):
+        from tallybook.sources.stage import Stages
+
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return Stages(spark).freeze(label, df)
+
+    out = ordered.ranged_positions(skewed, [F.col("amount").desc(), F.col("id")], keep, "one", "n")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert seen[0].count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in seen[0]
+    left = plan.split("BroadcastExchange")[0]
+    assert "Exchange" not in left and "Window" not in left
+
+
+def test_hash_filter_is_bounded_and_loses_no_key(spark):
+    keys = spark.range(5000).select((F.col("id") * 7).alias("k"))
+    rows = spark.range(40000).select(F.col("id").alias("k"))
+    for bits in (64, 1 << 12, 1 << 20):
+        held = rows.where(checks.hash_filter(keys, ["k"], bits))
+        assert held.join(keys, "k").count() == 5000
+        assert held.count() <= (40000 if bits < 1 << 20 else 5600)
+    assert rows.where(checks.hash_filter(keys.limit(0), ["k"])).count() == 0
+
+
+def test_only_rows_with_repeated_hashes_reach_the_second_pass(spark):
+    """A third of the rows share one key; the rest is unique and is not joined."""
+    df = spark.range(1, 3001).select(F.col("id").alias("_row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"))
+    out = duplicate_keys([UniqueKey(df, "t", ("k",), "high")])
+    assert out.count() == 999
+    assert "getbit" in out._jdf.queryExecution().optimizedPlan().toString()
