@@ -155,39 +155,48 @@ def order_totals(ledger: DataFrame) -> DataFrame:
     )
 
 
-def bucket(tolerance: str = TOLERANCE) -> Column:
-    """The first rule that holds names the bucket."""
-    cent = F.lit(tolerance).cast("decimal(12,2)")
-    near = F.lit("0.02").cast("decimal(12,2)")
-    gap, size = F.col("gap"), F.col("abs_gap")
-    sold, paid = F.col("expected_total"), F.col("paid_total")
+#: Name and severity of each bucket, in the order in which they are tried.  A NULL severity is no exception;
+#: paid orders without items are ``CLOSED_SEVERITY`` if the order is closed.
+BUCKETS = (
+    ("orphan_no_order", "high"), ("empty_order", "high"), ("missing_payment", "high"), ("missing_items", "high"), ("matched", None),
+    ("rounding", "low"), ("voucher_related", "medium"), ("installment_interest", "low"), ("untracked_discount", "medium"), ("unexplained", "high"),
+)
+CLOSED_SEVERITY = "medium"
+DISCOUNTS = ("0.05", "0.10")
+NEAR = "0.02"
+
+
+def bucket_conditions(tolerance: str = TOLERANCE) -> dict[str, str]:
+    """The condition of every bucket but the last one, as SQL over a row of totals; it is what the rule table shows, too."""
+    short = " OR ".join(f"abs(abs_gap - round(product_value * CAST({share} AS DECIMAL(3,2)), 2)) <= {NEAR}" for share in DISCOUNTS)
+    return {
+        "orphan_no_order": "NOT in_orders",
+        "empty_order": "COALESCE(expected_total, paid_total) IS NULL",
+        "missing_payment": "paid_total IS NULL",
+        "missing_items": "expected_total IS NULL",
+        "matched": f"abs_gap <= {tolerance}",
+        "rounding": f"item_count > 1 AND abs_gap <= {tolerance} * item_count",
+        "voucher_related": "has_voucher",
+        "installment_interest": "gap > 0 AND only_credit_card AND max_installments > 1",
+        "untracked_discount": f"gap < 0 AND ({short})",
+    }
 
-    def short_by(share: str) -> Column:
-        return F.abs(size - F.round(F.col("product_value") * F.lit(share).cast("decimal(3,2)"), 2)) <= near
 
-    return (
-        F.when(~F.col("in_orders"), "orphan_no_order")
-        .when(sold.isNull() & paid.isNull(), "empty_order")
-        .when(paid.isNull(), "missing_payment")
-        .when(sold.isNull(), "missing_items")
-        .when(size <= cent, "matched")
-        .when((F.col("item_count") >= 2) & (size <= cent * F.col("item_count")), "rounding")
-        .when(F.col("has_voucher"), "voucher_related")
-        .when((gap > 0) & F.col("only_credit_card") & (F.col("max_installments") >= 2), "installment_interest")
-        .when((gap < 0) & (short_by("0.05") | short_by("0.10")), "untracked_discount")
-        .otherwise("unexplained")
-    )
+def bucket(tolerance: str = TOLERANCE) -> Column:
+    """The first condition that holds names the bucket."""
+    conditions = bucket_conditions(tolerance)
+    name = F.lit(BUCKETS[-1][0])
+    for own, _ in reversed(BUCKETS[:-1]):
+        name = F.when(F.expr(conditions[own]), own).otherwise(name)
+    return name
 
 
 def bucket_severity() -> Column:
-    name = F.col("gap_category")
-    return (
-        F.when(name == "matched", F.lit(None).cast("string"))
-        .when(name.isin("rounding", "installment_interest"), "low")
-        .when(name.isin("voucher_related", "untracked_discount"), "medium")
-        .when((name == "missing_items") & F.col("order_status").isin(*CLOSED), "medium")
-        .otherwise("high")
-    )
+    name, severity = F.col("gap_category"), F.lit(None).cast("string")
+    for own, value in BUCKETS:
+        severity = F.when(name == own, F.lit(value).cast("string")).otherwise(severity)
+    closed = (name == "missing_items") & F.col("order_status").isin(*CLOSED)
+    return F.when(closed, CLOSED_SEVERITY).otherwise(severity)
 
 
 RECONCILIATION = (
@@ -293,27 +302,25 @@ def recon_exceptions(judged: DataFrame) -> DataFrame:
     )
 
 
-# Bucket, usual severity, rule, where the evidence is, what to do about it.
-BUCKET_RULES = (
-    ("matched", "none", "paid and sold differ by at most one cent", "tolerance of one cent", "none"),
-    ("rounding", "low", "two or more items and at most one cent per item", "rounding_by_item_count", "none"),
-    ("voucher_related", "medium", "totals differ and a voucher was used", "voucher_orders", "check how vouchers are booked"),
-    ("installment_interest", "low", "paid more than sold, card only, two or more installments",
-     "interest_rate_card, interest_by_installments", "book card interest separately"),
-    ("untracked_discount", "medium", "short by 5% or 10% of the goods, within two cents", "discount_share_of_price",
-     "record discounts with the order"),
-    ("missing_items", "medium if closed, else high", "paid, but no items", "missing_items_by_status", "confirm the refund"),
-    ("missing_payment", "high", "items, but no payment", "no payment row", "find the payment"),
-    ("orphan_no_order", "high", "items or payments without an order", "no order row", "find the order header"),
-    ("empty_order", "high", "order with neither items nor payments", "no item and no payment row", "test or abandoned order?"),
-    ("unexplained", "high", "no other rule holds", "none", "review by hand, largest gap first"),
-)
+#: The evidence query that shows a bucket's orders, and what is to be done about them.
+BUCKET_NOTES = {
+    "rounding": ("rounding_by_item_count", "accept"),
+    "voucher_related": ("voucher_orders", "see what the voucher paid for"),
+    "installment_interest": ("interest_by_installments", "split interest from the sale"),
+    "untracked_discount": ("discount_share_of_price", "store the discount on the item"),
+    "missing_items": ("missing_items_by_status", "look for a refund"),
+    "missing_payment": (None, "look for the payment"),
+    "orphan_no_order": (None, "look for the header"),
+    "empty_order": (None, "ask where it comes from"),
+    "unexplained": (None, "go through them from the largest gap down"),
+}
 
 
-def bucket_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(BUCKET_RULES), "gap_category string, severity string, rule string, evidence string, action string"
-    )
+def bucket_rules(spark: SparkSession, tolerance: str = TOLERANCE) -> DataFrame:
+    """One row per bucket: name, severity, condition, evidence, action."""
+    conditions = bucket_conditions(tolerance)
+    rows = [(name, severity, conditions.get(name), *BUCKET_NOTES.get(name, (None, None))) for name, severity in BUCKETS]
+    return spark.createDataFrame(rows, "gap_category string, severity string, rule string, evidence string, action string")
 
 
 def reconciliation_summary(reconciliation: DataFrame) -> DataFrame:
