@@ -12,7 +12,7 @@ first but with other ties: candidates must share a prefix token under each.
 3. Every prefix token of the first order is a bucket.  The member with the most common tokens leads; the others are
    checked against it, and the links of all leaders give first components.  Members outside the leader's component are compared
    with those of other components in the bucket, in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a
-   bound on the intersection (bitmaps, then 16-bit prints of all tokens), and verified exactly.  So every link between different components is found, but a group
+   bound on the intersection (bitmaps of 8 bits a token or more), and verified exactly.  So every link between different components is found, but a group
    of near copies is not paired out.
 4. Components of the links by contraction, in a number of rounds that grows with the logarithm of the nodes; equal sets share the label of their class.
 
@@ -40,7 +40,7 @@ PERCENT = 75
 BLOCK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 20  # about, in one range
 SIDE = 1024
-BITS = 1024
+BITS = 2048
 CACHE_SIZE = 200_000
 _U = np.uint64
 
@@ -296,7 +296,7 @@ def links(sets: DataFrame) -> DataFrame:
     marked = marked.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
-    keep = ["token", "sid", "n", "label", "prints", "others", "firsts"]
+    keep = ["token", "sid", "n", "label", "bits", "others"]
     a = marked.where("open").withColumn("row", spot(rows, 1)).withColumn("col", F.explode(F.sequence(F.lit(0), cols - 1)))
     b = marked.withColumn("col", spot(cols, 2)).withColumn("row", F.explode(F.sequence(F.lit(0), rows - 1)))
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
@@ -305,75 +305,73 @@ def links(sets: DataFrame) -> DataFrame:
     return first.unionAll(second)
 
 
-def _prints(tokens: np.ndarray) -> np.ndarray:
-    """16 bits of each token."""
-    return (_mix(tokens) >> _U(48)).astype(np.uint16)
+def _width(n: int) -> int:
+    """Bits of the bitmap of a set of ``n`` tokens: 8 a token at least, a power of two."""
+    return max(BITS, 1 << (8 * n - 1).bit_length())
 
 
 def _filters(sets: DataFrame) -> DataFrame:
-    """Prints of each set's tokens, bitmaps of its second and third prefix, and the tokens of the first one."""
+    """Bitmap of each set's tokens, and of its second and third prefix."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            prints, others, firsts = [], [], []
+            bits, others = [], []
             for n, t, d in zip(part["n"], part["tokens"], part["df"]):
                 tokens = np.frombuffer(t, dtype=_U)
-                first, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
-                firsts.append(np.sort(first).tobytes())
-                prints.append(_prints(tokens).tobytes())
+                _, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
+                bits.append(_bitmap(tokens, _width(n)).tobytes())
                 others.append(_bitmap(second, 512).tobytes() + _bitmap(third, 512).tobytes())
-            yield pd.DataFrame({"sid": part["sid"], "prints": prints, "others": others, "firsts": firsts})
+            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others})
 
-    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, prints binary, others binary, firsts binary")
+    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary")
+
+
+def _halved(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps of half the width; a token's bit is its hash modulo the width."""
+    half = bits.shape[-1] // 2
+    return bits[..., :half] | bits[..., half:]
 
 
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bounds on the intersection.
+    """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bound on the intersection.
 
-    A pair belongs to the bucket of the smallest prefix token that its two sets share: one of them at least is open there,
-    since the leader can be connected with one side only.
+    One side of a pair at least is open, since the leader can be connected with one side only.
     """
     cell = cell.sort_values("n", kind="stable")
     ours, theirs, found = cell[cell["ours"]], cell[~cell["ours"]], []
     if len(ours) and len(theirs):
-        token = np.int64(cell["token"].iloc[0]).view(_U)
-        view = lambda f, c, kind: [np.frombuffer(x, dtype=kind) for x in f[c]]
+        view = lambda f, c: [np.frombuffer(x, dtype=_U) for x in f[c]]
         ids, n, labels = (theirs[c].to_numpy() for c in ("sid", "n", "label"))
-        prints, prefixes, others = view(theirs, "prints", np.uint16), view(theirs, "firsts", _U), np.stack(view(theirs, "others", _U))
+        others, bits = np.stack(view(theirs, "others")), view(theirs, "bits")
         half = others.shape[1] // 2
-        bits = np.stack([_print_bitmap(p) for p in prints])
-        there = np.zeros(1 << 16, dtype=bool)
-        rows = zip(ours["sid"], ours["n"], ours["label"], view(ours, "prints", np.uint16), view(ours, "others", _U), view(ours, "firsts", _U))
-        for sid, size, label, own, mine, prefix in rows:
-            # sizes ascend, so those that fit are next to each other; each filter sees what the one before let through
+        # sizes ascend, and so do the widths of the bitmaps: one table for each width
+        widths = np.array([len(x) for x in bits])
+        cuts = [0, *(np.flatnonzero(np.diff(widths)) + 1).tolist(), len(widths)]
+        tables = [(a, b, np.stack(bits[a:b])) for a, b in zip(cuts, cuts[1:])]
+        for sid, size, label, own, mine in zip(ours["sid"], ours["n"], ours["label"], view(ours, "bits"), view(ours, "others")):
+            # sets that fit are next to each other; each filter sees what the one before let through
             a, b = np.searchsorted(n, -(-PERCENT * size // 100)), np.searchsorted(n, 100 * size // PERCENT, side="right")
             at = a + np.flatnonzero(labels[a:b] != label)
             meet = others[at] & mine
             at = at[meet[:, :half].any(axis=1) & meet[:, half:].any(axis=1)]
-            if not len(at):
-                continue
-            need = least_overlap(size, n[at])
-            # tokens of one set that can't be in the other: bits set there only, one token each at least
-            bitmap = _print_bitmap(own)
-            ok = n[at] - np.bitwise_count(bits[at] & ~bitmap).sum(axis=1, dtype=np.int64) >= need
-            ok &= size - np.bitwise_count(bitmap & ~bits[at]).sum(axis=1, dtype=np.int64) >= need
-            at, need = at[ok], need[ok]
-            if not len(at):
-                continue
-            smaller = set(prefix[: np.searchsorted(prefix, token)].tolist())
-            there[own] = True
-            near = [k for k, m in zip(at, need) if np.count_nonzero(there[prints[k]]) >= m and smaller.isdisjoint(prefixes[k].tolist())]
-            there[own] = False
-            found += [(min(sid, x), max(sid, x)) for x in ids[near].tolist()]
+            for first, last, table in tables:
+                k = at[(at >= first) & (at < last)]
+                if not len(k):
+                    continue
+                there, here = table[k - first], own
+                # sizes that fit differ by a third at most, so widths by one step
+                if there.shape[1] > len(here):
+                    there = _halved(there)
+                elif there.shape[1] < len(here):
+                    here = _halved(here)
+                need = least_overlap(size, n[k])
+                # tokens of one set that can't be in the other: bits set there only, one token each at least
+                ok = n[k] - np.bitwise_count(there & ~here).sum(axis=1, dtype=np.int64) >= need
+                ok &= size - np.bitwise_count(here & ~there).sum(axis=1, dtype=np.int64) >= need
+                found += [(min(sid, x), max(sid, x)) for x in ids[k[ok]].tolist()]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _print_bitmap(prints: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITS, dtype=bool)
-    out[prints // ((1 << 16) // BITS)] = True
-    return np.packbits(out).view(_U)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(sid, label) of every node of an edge: the smallest node it is connected with.
 
