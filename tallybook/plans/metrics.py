@@ -5,6 +5,7 @@ Every section is an aggregated result: one row, or one row per month, bucket, ch
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from functools import reduce
 
@@ -13,14 +14,16 @@ from pyspark.sql import functions as F
 
 from ..contracts import count_checks
 from . import forecast, kpis, quality, reconcile, star
+from .results import ORDERS, positions
 from .workbench import Workbench
 
 TOP = 10
 
 
-def sections(wb: Workbench, models=forecast.SIMPLE) -> dict[str, DataFrame]:
+def sections(wb: Workbench, models=forecast.ALL) -> dict[str, DataFrame]:
     rec, orders, exc = wb.fact_reconciliation, wb.fact_orders, wb.fact_exceptions
     window = wb.orders_per_month
+    held = wb.held_orders.where(F.col("model").isin(*models))
     return {
         "raw_rows": wb.counts,
         "purchase_range": kpis.purchase_range(wb.staged["orders"]),
@@ -47,9 +50,10 @@ def sections(wb: Workbench, models=forecast.SIMPLE) -> dict[str, DataFrame]:
         "reviews_by_category": kpis.reviews_by_category(orders),
         "monthly": kpis.monthly(rec, orders, exc, wb.dim_date),
         "month_uplift": kpis.month_uplift(wb.orders_per_month),
-        "forecast": forecast.run_forecast(window, models).drop("series"),
-        "forecast_scores": forecast.scores(forecast.holdout_rows(forecast.usable(window), models)).drop("series"),
-        "forecast_table": forecast.forecast_table(window, models).drop("series"),
+        "forecast": forecast.run_forecast(window, models, held).drop("series"),
+        "forecast_scores": forecast.scores(held).drop("series"),
+        "forecast_holdout": held.select("month_start", "model", "kind", "actual", "predicted"),
+        "forecast_table": forecast.forecast_table(window, models, held).drop("series"),
         "star_rows": star.star_counts(wb.star),
     }
 
@@ -61,27 +65,52 @@ SINGLE = frozenset(
 )
 
 
-def metric_rows(wb: Workbench, models=forecast.SIMPLE) -> DataFrame:
+def metric_rows(wb: Workbench, models=forecast.ALL) -> DataFrame:
     """Every figure as (section, record); the record is a JSON object."""
-    parts = [
-        df.select(F.lit(name).alias("section"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
-        for name, df in sections(wb, models).items()
-    ]
+    parts = []
+    for name, df in sections(wb, models).items():
+        record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record")
+        placed = positions(name, df) if name in ORDERS else df.withColumn("position", F.lit(0))
+        parts.append(placed.select(F.lit(name).alias("section"), "position", record))
     return reduce(DataFrame.unionByName, parts)
 
 
-def document(wb: Workbench, models=forecast.SIMPLE) -> dict:
+def document(wb: Workbench, models=forecast.ALL) -> dict:
     """The figures as one nested dict, with the contract's own numbers."""
     found: dict[str, list] = {}
-    for row in metric_rows(wb, models).collect():
+    for row in sorted(metric_rows(wb, models).collect(), key=lambda r: (r.section, r.position)):  # aggregated rows only
         found.setdefault(row.section, []).append(json.loads(row.record))
     out = {name: (rows[0] if name in SINGLE else rows) for name, rows in found.items()}
     out["checks_run"] = count_checks(wb.contracts)
     out["match_tolerance"] = float(wb.tolerance)
+    out |= totals(out)
     return out
 
 
-def write_document(wb: Workbench, path: str, models=forecast.SIMPLE) -> dict:
+def totals(doc: dict) -> dict:
+    """What the sections say as single figures and maps by name."""
+    per_check: dict[str, int] = {}
+    for row in doc.get("exceptions_by_check", []):
+        per_check[row["check_name"]] = per_check.get(row["check_name"], 0) + row["exceptions"]
+    first = lambda name: next(iter(doc.get(name, [])), None)
+    ahead = [r for r in doc.get("forecast_table", []) if r["row_type"] == "forecast"]
+    return {
+        "generated_at": dt.datetime.now(dt.UTC).isoformat(timespec="seconds"),
+        "raw_rows_total": sum(r["rows"] for r in doc.get("raw_rows", [])),
+        "tables_loaded": len(doc.get("raw_rows", [])),
+        "categories_used": len(doc.get("categories", [])),
+        "by_category": {r["gap_category"]: r for r in doc.get("categories", [])},
+        "top_state": first("top_states"),
+        "top_category": first("top_categories"),
+        "exceptions_total": sum(per_check.values()),
+        "exceptions_by_severity_name": {r["severity"]: r["exceptions"] for r in doc.get("exceptions_by_severity", [])},
+        "exceptions_by_check_name": per_check,
+        "reviews_by_status": {r["reconciliation_status"]: r for r in doc.get("reviews_by_match", [])},
+        "horizon_months": len(ahead),
+    }
+
+
+def write_document(wb: Workbench, path: str, models=forecast.ALL) -> dict:
     doc = document(wb, models)
     text = json.dumps(doc, indent=2, ensure_ascii=False, sort_keys=True)
     wb.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)

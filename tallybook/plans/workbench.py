@@ -60,6 +60,10 @@ class Workbench:
         raw = load_csv_tables(spark, folder, contracts, stages.freeze, files, multi_line)
         return cls(spark, raw, contracts, star.federative_units(spark), stages, tolerance)
 
+    def close(self) -> None:
+        """Remove the stage tables; the workbench and what was made from it are done with."""
+        self.stages.remove()
+
     @cached_property
     def lineitem_ids(self) -> DataFrame:
         """The analytics table of order lines with row ids."""

@@ -1,20 +1,23 @@
 """One full run: load, check, reconcile, build the star, export everything.
 
-    python -m tallybook.run <folder with the eight CSV tables> <output folder> [--single-line]
+    python -m tallybook.run <folder with the CSV tables> <output folder> [--single-line] [--contract FILE] [--tolerance 0.01]
 
-``--single-line`` is for files without line breaks in fields: Spark then splits large files.
+``--single-line`` is for files without line breaks in fields: Spark then splits large files.  ``--contract`` names a contract document
+(JSON, or YAML where a parser for it is installed) in place of the built-in one of eight tables.
 """
 
 from __future__ import annotations
 
-import sys
+import argparse
+import json
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from .contracts import TableSpec
+from .contracts import TableSpec, contracts_from
 from .plans import forecast, metrics, quality, reconcile
-from .plans.results import in_order
+from .plans.results import described, in_order
 from .plans.workbench import Workbench
 from .sources.sinks import export_tables, write_csv
 
@@ -34,6 +37,7 @@ def export_all(wb: Workbench, out: str) -> dict:
     }
     for name, df in summaries.items():
         write_csv(in_order(name, df), f"{out}/reports/{name}.csv")
+    write_csv(described(wb.star), f"{out}/reports/columns.csv")
     return metrics.write_document(wb, f"{out}/reports/metrics.json", ALL_MODELS)
 
 
@@ -52,6 +56,26 @@ def run_csv(
     return wb
 
 
+def read_contract(path: str) -> dict[str, TableSpec]:
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith(".json"):
+        return contracts_from(json.loads(text))
+    import yaml
+
+    return contracts_from(yaml.safe_load(text))
+
+
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="tallybook.run")
+    parser.add_argument("raw")
+    parser.add_argument("out")
+    parser.add_argument("--single-line", action="store_true")
+    parser.add_argument("--contract", type=read_contract)
+    parser.add_argument("--tolerance", default=reconcile.TOLERANCE)
+    return parser.parse_args(argv)
+
+
 if __name__ == "__main__":
-    paths = [a for a in sys.argv[1:] if a != "--single-line"]
-    run_csv(SparkSession.builder.appName("tallybook").getOrCreate(), *paths, multi_line=len(paths) == len(sys.argv) - 1)
+    given = arguments()
+    session = SparkSession.builder.appName("tallybook").getOrCreate()
+    run_csv(session, given.raw, given.out, multi_line=not given.single_line, contracts=given.contract, tolerance=given.tolerance).close()

@@ -37,3 +37,8 @@ class Stages:
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder with all stage tables; what was read from it can't be read any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

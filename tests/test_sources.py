@@ -81,6 +81,8 @@ def test_manifest(spark, tmp_path):
     good = {"a.csv": (digest, 2)}
     assert [r.status for r in manifest_report(spark, str(tmp_path), good).collect()] == ["ok"]
     verify_manifest(spark, str(tmp_path), good)
+    small = manifest_report(spark, tmp_path.as_uri(), good, chunk=3).first()  # read in chunks of three bytes, by a URI
+    assert small.sha256 == digest and small.status == "ok"
     plan = manifest_report(spark, str(tmp_path), good)
     assert "b.csv" not in "".join(plan.inputFiles())
     bad = {"a.csv": (digest, 3), "b.csv": ("0" * 64, 1), "c.csv": (digest, 1)}
@@ -127,3 +129,10 @@ def test_stages_use_the_shared_folder(spark):
     assert Stages(spark).folder != stages.folder
     df = spark.range(5).withColumn("t", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     assert stages.freeze("x", df).dtypes == df.dtypes
+
+
+def test_stage_folder_is_removed(spark, tmp_path):
+    stages = Stages(spark, str(tmp_path))
+    assert stages.freeze("x", spark.range(5)).count() == 5
+    stages.remove()
+    assert list(tmp_path.iterdir()) == []
