@@ -6,8 +6,8 @@ Words are coded once (32 bits each, without case and outer punctuation); all pas
 2. Randomised SVD of the TF-IDF matrix of all passages (``PASSAGE`` words each): two passes multiply it, block by block, with a thin matrix
    and its transpose; the products of the tasks are summed as a tree.  The first one finds the range, the second one the singular vectors in it.
    A term's latent vector is its row, weighted and whitened, ``RANK`` numbers.
-3. A window's vector is a difference of running sums.  Windows of an item's length and of ``WIDER`` times that, one from every quarter, whose cosine
-   with the item is ``GATE`` or more are candidates.  The gate is low: it is set by planted copies with up to 40% of the words changed, or half as many
+3. A window's vector is a difference of running sums.  Items of like lengths share windows, ``WIDER`` times as long as the longest and one from every
+   half of the shortest; those whose cosine with the item is ``GATE`` or more are candidates.  The gate is low: it is set by planted copies with up to 40% of the words changed, or half as many
    words put in, of which it lets more than 95% through (measured in the tests against brute force over all windows).
    Items of fewer than ``SHORT`` words say too little for a direction; for them every window is a candidate.
 4. A candidate goes on if its surroundings have enough of the item's rare terms, an exact bound: an item's terms are split into frequent and
@@ -41,10 +41,11 @@ from .vector import Recent, slices, word_codes
 
 TERMS = 4096
 RANK = 64
-PASSAGE = 128
-GATE = 0.3
-WIDER = 1.6
-SHORT = 16
+PASSAGE = 256
+GATE = 0.22
+WIDER = 1.2
+ALIKE = 1.25
+SHORT = 12
 ORDER = 0.6
 ANSWER = 0.6
 BLOCK = 20_000
@@ -54,7 +55,7 @@ _TOGETHER = 256  # items looked at at once
 _CELLS = 1 << 20  # words of candidates looked at at once
 _FAN = 64
 _SLICE = 256  # terms in one part of a sum
-CACHE_SIZE = 200_000
+CACHE_SIZE = 400_000
 
 
 def _code(word: str) -> int:
@@ -206,7 +207,7 @@ class Item:
         self.known = set(self.words)
         self.answer = [c for c in _CODES.of(answer).tolist() if c]
         self.wide = 2 * STEP * math.ceil(len(self.codes) / STEP) + STEP  # of a window
-        self.pace = max(1, len(self.codes) // (4 * STEP)) * STEP if len(self.words) >= SHORT else STEP  # between windows
+        self.pace = STEP  # between the windows that are looked at
         self.least = max(1, math.ceil(ORDER * len(self.words) - 1e-9))
 
     def rare(self, rates: np.ndarray) -> tuple[np.ndarray, int]:
@@ -250,24 +251,32 @@ class Searcher:
     def __init__(self, rates: np.ndarray, latent: np.ndarray, items: list[tuple]):
         self.latent = latent
         self.items = sorted((i for i in (Item(*x) for x in items) if i.words), key=lambda i: (len(i.words) >= SHORT, i.wide))
-        self.widest = max((i.wide + 2 * i.pace for i in self.items), default=STEP)
-        self.groups = []  # items of one width, their rare terms (TERMS x items), how many of these are needed, their vectors
+        self.groups = []  # items of like lengths, their rare terms (TERMS x items), how many of these are needed, their vectors
         at = 0
         while at < len(self.items):
-            end = at
-            while end < len(self.items) and end - at < _TOGETHER and self.items[end].wide == self.items[at].wide and (len(self.items[end].words) < SHORT) == (len(self.items[at].words) < SHORT):
+            first, end = self.items[at], at
+            while end < len(self.items) and end - at < _TOGETHER and self._alike(first, self.items[end]):
                 end += 1
             part = self.items[at:end]
             known = np.zeros((TERMS, len(part)), dtype=np.uint8)
             need = np.zeros(len(part), dtype=np.int64)
             vectors = np.zeros((len(part), latent.shape[1]), dtype=np.float32)
             for k, item in enumerate(part):
+                if len(first.words) >= SHORT:
+                    item.pace = max(1, len(first.codes) // (2 * STEP)) * STEP
                 terms, need[k] = item.rare(rates)
                 known[terms, k] = 1
                 own = latent[term_ids(item.codes)].sum(axis=0)
                 vectors[k] = own / max(float(np.sqrt(own @ own)), 1e-9)
             self.groups.append((part, known, need, vectors))
             at = end
+        self.widest = max((i.wide + 2 * i.pace for i in self.items), default=STEP)
+
+    @staticmethod
+    def _alike(first: Item, other: Item) -> bool:
+        if len(first.words) < SHORT:
+            return other.wide == first.wide and len(other.words) < SHORT
+        return len(other.codes) <= ALIKE * len(first.codes)
 
     def search(self, texts: list[np.ndarray]) -> Iterator[tuple[int, object, float, int]]:
         """(text, item id, share in order, word position) of every leak; texts are taken together, ``CHUNK`` words at once."""
@@ -301,16 +310,14 @@ class Searcher:
             if len(part[0].words) < SHORT:
                 yield from self._short(part, known, need, flat, n, held, begins, starts_of, found)
                 continue
-            pace, size = part[0].pace, math.ceil(len(part[0].codes) / STEP)
+            pace, size = part[0].pace, math.ceil(WIDER * len(part[-1].codes) / STEP)
             starts = np.arange(0, n, pace // STEP)
-            near = np.zeros((len(starts), len(part)), dtype=bool)
-            for length in {size, math.ceil(WIDER * size)}:
-                own = (sums[np.minimum(starts + length, n)] - sums[starts]).astype(np.float32)
-                norm = np.sqrt(np.einsum("ij,ij->i", own, own))
-                near |= own @ vectors.T >= GATE * np.maximum(norm, 1e-9)[:, None]
+            own = (sums[np.minimum(starts + size, n)] - sums[starts]).astype(np.float32)
+            norm = np.sqrt(np.einsum("ij,ij->i", own, own))
+            near = own @ vectors.T >= GATE * np.maximum(norm, 1e-9)[:, None]
             row, col = np.nonzero(near)
             first = np.maximum(starts[row] * STEP - pace, 0)  # a copy begins within a pace before or after the window
-            room = part[0].wide + 2 * pace
+            room = part[-1].wide + 2 * pace
             for a in range(0, len(row), max(1, _CELLS // room)):
                 b = a + max(1, _CELLS // room)
                 enough = known[padded[first[a:b, None] + np.arange(room)], col[a:b, None]].sum(axis=1, dtype=np.int64) >= need[col[a:b]]

