@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import NULL_TEXT, date_key, month_start
@@ -207,6 +207,45 @@ def numbered_exceptions(exceptions: DataFrame, freeze: Freeze, label: str) -> Da
     return ranged_positions(exceptions, [F.col(k).asc_nulls_last() for k in keys], freeze, label, "exception_id")
 
 
+_CONTENT = ("source", "table_name", "record_id", "record_key", "check_name", "reason", "severity")
+
+
+def with_content_ids(exceptions: DataFrame, known: DataFrame | None = None, digest: Callable[[Column], Column] = F.md5) -> DataFrame:
+    """Exceptions with ``content_id``, which depends on what an exception says and not on what else was found.
+
+    The id is a digest of 128 bits.  Contents that share a digest are told apart by a number behind it, and so are rows that say the same.
+    ``known`` is the table of an earlier run: what it holds keeps its id, and numbers go on where it stopped.
+    """
+    own = [c for c in _CONTENT if c in exceptions.columns]
+    text = F.to_json(F.struct(*own), {"ignoreNullFields": "false"})
+    rows = exceptions.withColumn("_text", text).withColumn("_digest", digest(F.col("_text")))
+    # one row per content, however often it comes; equal digests are next to none
+    contents = rows.groupBy("_digest", "_text").agg(F.count(F.lit(1)).alias("_copies"))
+    if known is not None:
+        before = known.withColumn("_text", text).select("_text", F.regexp_extract("content_id", "^([0-9a-f]+)", 1).alias("_digest"),
+                                                        F.coalesce(F.regexp_extract("content_id", "-([0-9]+)", 1).try_cast("int"), F.lit(0)).alias("_old"))
+        before = before.groupBy("_digest", "_text").agg(F.min("_old").alias("_old"))
+        used = before.groupBy("_digest").agg((F.max("_old") + 1).alias("_next"))
+        contents = contents.join(before, ["_digest", "_text"], "left").join(used, "_digest", "left")
+    else:
+        contents = contents.withColumn("_old", F.lit(None).cast("int")).withColumn("_next", F.lit(None).cast("int"))
+    fresh = Window.partitionBy("_digest", F.col("_old").isNull()).orderBy("_text")
+    number = F.coalesce("_old", F.coalesce("_next", F.lit(0)) + F.row_number().over(fresh) - 1)
+    name = F.concat("_digest", F.when(number > 0, F.concat(F.lit("-"), number.cast("string"))).otherwise(""))
+    # copies of one content are numbered in the row that stands for them
+    copies = F.sequence(F.lit(1), F.col("_copies").cast("int"))
+    named = contents.withColumn("_name", name).select("_text", "_name", F.explode(copies).alias("_copy"))
+    content = F.from_json("_text", exceptions.select(*own).schema)
+    label = F.concat("_name", F.when(F.col("_copy") > 1, F.concat(F.lit("#"), F.col("_copy").cast("string"))).otherwise(""))
+    return named.select(label.alias("content_id"), content.alias("_content")).select("content_id", "_content.*")
+
+
+def merged_exceptions(known: DataFrame, found: DataFrame, digest: Callable[[Column], Column] = F.md5) -> DataFrame:
+    """The table of an earlier run with what ``found`` adds to it; ids of both stay as they are."""
+    new = with_content_ids(found, known, digest)
+    return known.unionByName(new.join(known.select("content_id"), "content_id", "left_anti").select(*known.columns))
+
+
 def all_exceptions(dq: DataFrame, recon: DataFrame) -> DataFrame:
     """Data quality and reconciliation exceptions in one table, with their source."""
     return dq.select(F.lit("data_quality").alias("source"), *EXCEPTION).unionByName(

@@ -8,6 +8,8 @@ import json
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
 from tallybook.plans import reconcile, star
 from tallybook.plans.results import ORDERS, in_order
 from tallybook.plans.workbench import Workbench
@@ -117,3 +119,20 @@ def test_rows_without_key_are_spread(spark):
             spark.conf.set(k, v)
     assert len(got) == 400 and all(r.v == (None if r.k in (None, 4) else r.k * 10) for r in got)
     assert len({r.p for r in got if r.k is None}) > 1
+
+
+def test_exception_ids_stay_when_rows_are_added(spark):
+    """Ids by content: the same in another run and beside other rows, also where digests collide and where rows repeat."""
+    kinds = "source string, table_name string, record_id long, record_key string, check_name string, reason string, severity string"
+    row = lambda k, reason="r": ("data_quality", "orders", k, f"k{k}", "c", reason, "low")
+    first = [row(1), row(2), row(3), row(3), ("reconciliation", "reconciliation", None, None, "c", "r", "high")]
+    more = [row(0), *first, row(9), row(9)]
+    for digest in (F.md5, lambda t: F.lit("abc0"), lambda t: F.when(t.contains("k2"), "aa").otherwise("bb")):
+        known = star.with_content_ids(spark.createDataFrame(first, kinds), digest=digest)
+        held = sorted(map(tuple, known.collect()), key=str)
+        assert len({r[0] for r in held}) == len(first)
+        grown = star.merged_exceptions(spark.createDataFrame(held, known.schema), spark.createDataFrame(more, kinds), digest).collect()
+        assert sorted(tuple(r)[1:] for r in grown if r.record_id is not None) == sorted(r for r in more if r[2] is not None)
+        assert len({r.content_id for r in grown}) == len(more)
+        ids = {r.content_id: tuple(r) for r in grown}
+        assert all(ids[r[0]] == r for r in held)
