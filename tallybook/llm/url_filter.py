@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, freeze
 
 # Verdict, host, path.
 RULES = (
@@ -78,13 +78,14 @@ def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     good = F.col("good")
     hosts = outcomes.groupBy("host").agg(F.count(good).alias("n"), F.count(F.when(good, 1)).alias("k"))
     hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    hosts = freeze(hosts, "url-hosts")  # each level starts from written tables, so none is computed again for the next one
     add = [F.sum("n").alias("n"), F.sum("k").alias("k")]
-    domains = hosts.groupBy("domain", "suffix").agg(*add)
-    suffixes = domains.groupBy("suffix").agg(*add)
+    domains = freeze(hosts.groupBy("domain", "suffix").agg(*add), "url-domains")
+    suffixes = freeze(domains.groupBy("suffix").agg(*add), "url-suffixes")
     overall = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("p"))
-    up = _shrunk(suffixes.join(F.broadcast(overall)), "suffix")
-    mid = _shrunk(domains.join(up.select("suffix", F.col("p_suffix").alias("p")), "suffix"), "domain")
-    low = _shrunk(hosts.join(mid.select("domain", "suffix", F.col("p_domain").alias("p")), ["domain", "suffix"]), "host")
+    up = _shrunk(freeze(suffixes.join(F.broadcast(overall)), "url-up"), "suffix")
+    mid = _shrunk(freeze(domains.join(up.select("suffix", F.col("p_suffix").alias("p")), "suffix"), "url-mid"), "domain")
+    low = _shrunk(freeze(hosts.join(mid.select("domain", "suffix", F.col("p_domain").alias("p")), ["domain", "suffix"]), "url-low"), "host")
     p = F.col("p_host")
     bound = p - z * F.sqrt(p * (1 - p) / (F.col("n") + F.col("m_host") + 1))
     return low.select("host", F.col("n").alias("n_labels"), F.col("k").alias("n_good"), "p_host", bound.alias("low"))
