@@ -12,7 +12,7 @@ first but with other ties: candidates must share a prefix token under each.
 3. Every prefix token of the first order is a bucket.  The member with the most common tokens leads; the others are
    checked against it, and the links of all leaders give first components.  Members outside the leader's component are compared
    with those of other components in the bucket, in blocks of ``SIDE`` x ``SIDE``, under length, the other two orders and a
-   bound on the intersection (bitmaps of 8 bits a token or more), and verified exactly.  So every link between different components is found, but a group
+   bound on the intersection (bitmaps of 4 bits a token or more), and verified exactly.  So every link between different components is found, but a group
    of near copies is not paired out.
 4. Components of the links by contraction, in a number of rounds that grows with the logarithm of the nodes; equal sets share the label of their class.
 
@@ -240,14 +240,19 @@ def _bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(out)
 
 
+def _prints(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of each token, distinct and ascending."""
+    return np.unique((_mix(tokens) >> _U(32)).astype(np.uint32))
+
+
 def buckets(sets: DataFrame) -> DataFrame:
-    """Rows (token, sid, n, lead): one per set and prefix token of the first order."""
+    """Rows (token, sid, n, lead): one per set and 32-bit print of a prefix token of the first order; tokens with one print share a bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             for sid, n, lead, t, d in zip(part["sid"], part["n"], part["lead"], part["tokens"], part["df"]):
-                own = _prefixes(np.frombuffer(t, dtype=_U), np.frombuffer(d, dtype=np.uint32), n)[0]
-                yield pd.DataFrame({"token": own.view(np.int64), "sid": sid, "n": n, "lead": lead})
+                own = _prints(_prefixes(np.frombuffer(t, dtype=_U), np.frombuffer(d, dtype=np.uint32), n)[0])
+                yield pd.DataFrame({"token": own.astype(np.int64), "sid": sid, "n": n, "lead": lead})
 
     return sets.select("sid", "n", "lead", "tokens", "df").mapInPandas(run, "token long, sid long, n int, lead double")
 
@@ -296,7 +301,7 @@ def links(sets: DataFrame) -> DataFrame:
     marked = marked.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
-    keep = ["token", "sid", "n", "label", "bits", "others"]
+    keep = ["token", "sid", "n", "label", "bits", "others", "firsts"]
     a = marked.where("open").withColumn("row", spot(rows, 1)).withColumn("col", F.explode(F.sequence(F.lit(0), cols - 1)))
     b = marked.withColumn("col", spot(cols, 2)).withColumn("row", F.explode(F.sequence(F.lit(0), rows - 1)))
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
@@ -306,24 +311,25 @@ def links(sets: DataFrame) -> DataFrame:
 
 
 def _width(n: int) -> int:
-    """Bits of the bitmap of a set of ``n`` tokens: 8 a token at least, a power of two."""
-    return max(BITS, 1 << (8 * n - 1).bit_length())
+    """Bits of the bitmap of a set of ``n`` tokens: 4 a token at least, a power of two."""
+    return max(BITS, 1 << (4 * n - 1).bit_length())
 
 
 def _filters(sets: DataFrame) -> DataFrame:
-    """Bitmap of each set's tokens, and of its second and third prefix."""
+    """Bitmap of each set's tokens, bitmaps of its second and third prefix, and the prints of the first one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            bits, others = [], []
+            bits, others, firsts = [], [], []
             for n, t, d in zip(part["n"], part["tokens"], part["df"]):
                 tokens = np.frombuffer(t, dtype=_U)
-                _, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
+                first, second, third = _prefixes(tokens, np.frombuffer(d, dtype=np.uint32), n)
+                firsts.append(_prints(first).tobytes())
                 bits.append(_bitmap(tokens, _width(n)).tobytes())
                 others.append(_bitmap(second, 512).tobytes() + _bitmap(third, 512).tobytes())
-            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others})
+            yield pd.DataFrame({"sid": part["sid"], "bits": bits, "others": others, "firsts": firsts})
 
-    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary")
+    return sets.select("sid", "n", "tokens", "df").mapInPandas(run, "sid long, bits binary, others binary, firsts binary")
 
 
 def _halved(bits: np.ndarray) -> np.ndarray:
@@ -335,7 +341,8 @@ def _halved(bits: np.ndarray) -> np.ndarray:
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one cell of a bucket, not connected yet, that pass length, both other orders and the bound on the intersection.
 
-    One side of a pair at least is open, since the leader can be connected with one side only.
+    A pair belongs to the bucket of the smallest print that its two sets share: one of them at least is open there,
+    since the leader can be connected with one side only.
     """
     cell = cell.sort_values("n", kind="stable")
     ours, theirs, found = cell[cell["ours"]], cell[~cell["ours"]], []
@@ -343,12 +350,14 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
         view = lambda f, c: [np.frombuffer(x, dtype=_U) for x in f[c]]
         ids, n, labels = (theirs[c].to_numpy() for c in ("sid", "n", "label"))
         others, bits = np.stack(view(theirs, "others")), view(theirs, "bits")
+        token = np.uint32(cell["token"].iloc[0])
+        prefixes = [np.frombuffer(x, dtype=np.uint32) for x in theirs["firsts"]]
         half = others.shape[1] // 2
         # sizes ascend, and so do the widths of the bitmaps: one table for each width
         widths = np.array([len(x) for x in bits])
         cuts = [0, *(np.flatnonzero(np.diff(widths)) + 1).tolist(), len(widths)]
         tables = [(a, b, np.stack(bits[a:b])) for a, b in zip(cuts, cuts[1:])]
-        for sid, size, label, own, mine in zip(ours["sid"], ours["n"], ours["label"], view(ours, "bits"), view(ours, "others")):
+        for sid, size, label, own, mine, prefix in zip(ours["sid"], ours["n"], ours["label"], view(ours, "bits"), view(ours, "others"), ours["firsts"]):
             # sets that fit are next to each other; each filter sees what the one before let through
             a, b = np.searchsorted(n, -(-PERCENT * size // 100)), np.searchsorted(n, 100 * size // PERCENT, side="right")
             at = a + np.flatnonzero(labels[a:b] != label)
@@ -368,7 +377,11 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
                 # tokens of one set that can't be in the other: bits set there only, one token each at least
                 ok = n[k] - np.bitwise_count(there & ~here).sum(axis=1, dtype=np.int64) >= need
                 ok &= size - np.bitwise_count(here & ~there).sum(axis=1, dtype=np.int64) >= need
-                found += [(min(sid, x), max(sid, x)) for x in ids[k[ok]].tolist()]
+                if ok.any():
+                    prefix_ = np.frombuffer(prefix, dtype=np.uint32)
+                    smaller = set(prefix_[: np.searchsorted(prefix_, token)].tolist())
+                    near = [i for i in k[ok].tolist() if smaller.isdisjoint(prefixes[i].tolist())]
+                    found += [(min(sid, x), max(sid, x)) for x in ids[near].tolist()]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
