@@ -25,19 +25,20 @@ places in a document the first one found counts; very long texts are searched wh
 
 from __future__ import annotations
 
+import functools
 import math
 import string
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import freeze
-from .vector import Recent, slices, word_codes
+from .vector import slices, word_bounds
 
 TERMS = 4096
 RANK = 64
@@ -55,32 +56,58 @@ _TOGETHER = 256  # items looked at at once
 _CELLS = 1 << 20  # words of candidates looked at at once
 _FAN = 64
 _SLICE = 256  # terms in one part of a sum
-CACHE_SIZE = 400_000
 
 
-def _code(word: str) -> int:
-    core = word.lower().strip(string.punctuation)
-    return max(1, zlib.crc32(core.encode("utf-8", "surrogatepass"))) if core else 0
+_STRIPPED = np.zeros(256, dtype=bool)
+_STRIPPED[[*string.punctuation.encode()]] = True
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+_U = np.uint64
+
+
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, up to ``n`` of them, modulo 2^64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(n, base, dtype=_U)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
+
+
+def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each word, where each text's words begin).  A code is 32 bits of a polynomial in the word's bytes, taken
+    without the punctuation at its ends, which all words share by one running sum; 0 for punctuation alone."""
+    starts, ends, inside = word_bounds(buf, offs)
+    begin = np.searchsorted(starts, offs)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint32), begin
+    core = np.append(np.flatnonzero(inside & ~_STRIPPED[buf]), len(buf))
+    first = core[np.searchsorted(core, starts)]
+    some = first < ends
+    last = core[np.maximum(np.searchsorted(core, ends) - 1, 0)] + 1
+    power, inverse = _powers(1 << int(len(buf)).bit_length())
+    sums = np.concatenate([np.zeros(1, dtype=_U), np.cumsum((buf.astype(_U) + _U(1)) * power[: len(buf)], dtype=_U)])
+    first, last = np.where(some, first, 0), np.where(some, last, 0)
+    h = (sums[last] - sums[first]) * inverse[first]
+    h = (h ^ (h >> _U(31))) * _U(0x7FB5D329728EA185)
+    h ^= h >> _U(32)
+    return np.where(some, np.maximum((h & _U(0xFFFFFFFF)).astype(np.uint32), 1), 0).astype(np.uint32), begin
 
 
 class Codes:
     """32-bit codes of raw words without case and outer punctuation; 0 for punctuation alone."""
 
-    def __init__(self):
-        self.known = Recent(CACHE_SIZE)
-
     def batch(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(codes, where each text's begin) of the slices of a column."""
-        for _, buf, offs in slices(texts):
-            codes, begin, values, _ = word_codes(buf, offs)
-            own = np.array(self.known.find(values.to_pylist(), lambda ws: [_code(w) for w in ws]), dtype=np.uint32)
-            yield own[codes], begin
+        for _, buf, offs in slices(pc.utf8_lower(texts)):
+            yield word_hashes(buf, offs)
 
     def of(self, text: str | None) -> np.ndarray:
         return next(self.batch(pa.array([text], pa.string())))[0]
 
 
-_CODES = Codes()  # the cache outlives a task
+_CODES = Codes()
 
 
 def term_ids(codes: np.ndarray) -> np.ndarray:
@@ -304,7 +331,10 @@ class Searcher:
         flat, starts_of = term_ids(np.concatenate(parts)), np.array(begins[:-1])
         n = len(flat) // STEP
         sums = np.zeros((n + 1, self.latent.shape[1]), dtype=np.float64)
-        np.cumsum(self.latent[flat].reshape(n, STEP, -1).sum(axis=1), axis=0, out=sums[1:])
+        blocks = self.latent[flat[::STEP]]
+        for k in range(1, STEP):
+            blocks += self.latent[flat[k::STEP]]
+        np.cumsum(blocks, axis=0, dtype=np.float64, out=sums[1:])
         padded = np.concatenate([flat, np.zeros(self.widest + STEP, dtype=flat.dtype)])
         for part, known, need, vectors in self.groups:
             if len(part[0].words) < SHORT:

@@ -251,6 +251,23 @@ def test_planted_items_are_found(spark, sf):
     assert {tuple(r) for r in exact} <= got and len(got) <= len(exact) + 2
 
 
+def test_word_codes():
+    """Equal words have one code wherever they stand, case and outer punctuation apart; others differ."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdé*-'7") for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    of = decontaminate.Codes().of
+    known = {}
+    for word in vocabulary:
+        core = word.strip(decontaminate.string.punctuation)
+        for text in (word, f"x  ({word.upper()}),\n", f"{'y ' * rng.randrange(50)}{word}"):
+            code = [int(c) for c in of(text)][1 if text.startswith("x") else -1]
+            assert (code == 0) == (not core)
+            assert known.setdefault(core.lower(), code) == code
+    assert len(set(known.values())) == len(known)
+    assert of(None).tolist() == of(" \n").tolist() == [] and of("... a").tolist()[0] == 0
+    assert of("ΣΑΣ ДА").tolist() == of("σασ да").tolist()
+
+
 def test_lcs():
     rng = random.Random(2)
     for _ in range(100):
