@@ -157,3 +157,27 @@ def test_only_rows_with_repeated_hashes_reach_the_second_pass(spark):
     out = duplicate_keys([UniqueKey(df, "t", ("k",), "high")])
     assert out.count() == 999
     assert "getbit" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hash_filter_is_no_constant_of_the_plan(spark):
+    """The bits of a filter must not be copied into the text of every plan that uses it."""
+    rows = spark.range(10_000).select(F.col("id").cast("string").alias("k"))
+    out = rows.where(checks.hash_filter(rows.where("id % 7 = 0"), ["k"]))
+    assert len(out._jdf.queryExecution().toString()) < 20_000
+
+
+def test_second_passes_start_from_what_was_written(spark, freeze):
+    """Tables are scanned by the first pass and for the rows that are found, and each parent column once."""
+    parent = spark.range(100).select(F.col("id").cast("string").alias("p"))
+    child = spark.range(300).select((F.col("id") + 1).alias("_row_id"), F.col("id").cast("string").alias("a"), F.when(F.col("id") % 2 == 0, (F.col("id") + 50).cast("string")).alias("b"))
+    refs = [checks.Reference(child, "t", ("a",), c, parent, "p", f"orphan_{c}", "high", f"{c} ", " is unknown") for c in "ab"]
+    written = {}
+    out = checks.orphans(refs, lambda name, df: written.setdefault(name, freeze(f"second_{name}", df)), "orphans")
+    got = sorted((r.check_name, r.record_id, r.reason) for r in out.collect())
+    want = [("orphan_a", i + 1, f"a {i} is unknown") for i in range(100, 300)]
+    want += [("orphan_b", i + 1, f"b {i + 50} is unknown") for i in range(50, 300, 2)]
+    assert got == sorted(want) and written["orphans"].count() == 225
+    assert sorted(r.record_id for r in checks.orphans(refs).collect()) == sorted(i for _, i, _ in want)
+    twice = child.union(child.where("_row_id <= 5").withColumn("_row_id", F.col("_row_id") + 1000))
+    rows = duplicate_keys([UniqueKey(twice, "t", ("a",), "high")], lambda name, df: written.setdefault(name, freeze(f"second_{name}", df)), "keys")
+    assert sorted(r.record_id for r in rows.collect()) == list(range(1001, 1006)) and written["keys"].count() == 10
