@@ -184,6 +184,15 @@ def _unpack(data: bytes, count: int) -> np.ndarray:
     return np.cumsum(out.view(np.uint64)[:, 0], dtype=np.uint64)
 
 
+def _narrow(df: np.ndarray) -> bytes:
+    """Counts in 1, 2 or 4 bytes each, as the largest one needs."""
+    return df.astype(next(d for d in (np.uint8, np.uint16, np.uint32) if df.max() <= np.iinfo(d).max)).tobytes()
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{len(data) // count}").astype(np.uint32)
+
+
 def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
     """Tokens of one range that are in two documents or more, back to their blocks; rows of documents pass through."""
     if part["range"].iloc[0] < 0:
@@ -197,7 +206,7 @@ def _shared_in_range(part: pd.DataFrame) -> pd.DataFrame:
         keep = df > 1
         if keep.any():
             owner = np.frombuffer(docs, dtype=np.uint16)[keep]
-            out.append((block, piece[keep].tobytes(), owner.tobytes(), df[keep].astype(np.uint32).tobytes()))
+            out.append((block, _pack(piece[keep]), owner.tobytes(), _narrow(df[keep])))
     named = pd.DataFrame(out, columns=["block", "tokens", "docs", "df"])
     return named.assign(idx=0, id=0, has_id=False, n=0, s1=0, s2=0)[[c.split()[0] for c in _SHARED.split(", ")]]
 
@@ -210,9 +219,9 @@ def _gather_block(block: pd.DataFrame) -> pd.DataFrame:
     meta, parts = block[block["tokens"].isna()], block[block["tokens"].notna()]
     if not len(parts) or not len(meta):
         return pd.DataFrame([], columns=[c.split()[0] for c in _SETS.split(", ")])
-    tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in parts["tokens"]])
+    tokens = np.concatenate([_unpack(t, len(d) // 2) for t, d in zip(parts["tokens"], parts["docs"])])
     owner = np.concatenate([np.frombuffer(t, dtype=np.uint16) for t in parts["docs"]])
-    df = np.concatenate([np.frombuffer(t, dtype=np.uint32) for t in parts["df"]])
+    df = np.concatenate([_wide(t, len(d) // 2) for t, d in zip(parts["df"], parts["docs"])])
     order = np.lexsort((tokens, df, owner))
     tokens, owner, df = tokens[order], owner[order], df[order]
     first = np.flatnonzero(np.diff(owner.astype(np.int64), prepend=-1))
