@@ -43,6 +43,7 @@ RATE = 0.3
 SCALE = 100.0
 TAIL = 0.4
 CACHE_SIZE = 200_000
+FIT_BYTES = 1 << 19  # texts of the sample that are taken at once
 
 
 def _seed(kind: str) -> int:
@@ -113,42 +114,52 @@ def _again(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.flatnonzero((codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])) + 1
 
 
-def features_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, feature, 100 times its number by the words of the text) of all features of all texts."""
-    parts = [np.zeros((3, 0))]
-    for row, buf, offs in slices(pa.array(texts, pa.large_string())):
+def features_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of one slice of the texts after the other: how many features each text has, these features, and 100 times the number of each
+    by the words of its text."""
+    for _, buf, offs in slices(texts, FIT_BYTES):
         codes, begin, values, _ = word_codes(buf, offs)
         own = [word_features(w) for w in values.to_pylist()]
         size = np.array([len(x) for x in own], dtype=np.int64)
         pool = np.fromiter((f for x in own for f in x), dtype=np.int64, count=int(size.sum()))
-        owner = np.repeat(np.arange(len(offs) - 1), np.diff(begin))
+        n_words = np.diff(begin)
+        owner = np.repeat(np.arange(len(n_words)), n_words)
         again = owner[_again(codes, owner)]
         ids = np.concatenate([pool[spread((np.cumsum(size) - size)[codes], size[codes])], np.full(len(again), AGAIN)])
         key, n = np.unique(np.concatenate([np.repeat(owner, size[codes]), again]) * BUCKETS + ids, return_counts=True)
-        parts.append(np.stack([key // BUCKETS + row, key % BUCKETS, SCALE * n / np.diff(begin)[key // BUCKETS]]))
-    row, col, val = np.concatenate(parts, axis=1)
-    return row.astype(np.int64), col.astype(np.int64), val
+        text = key // BUCKETS
+        yield np.bincount(text, minlength=len(n_words)), (key % BUCKETS).astype(np.int32), SCALE * n / n_words[text]
 
 
 def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_arrays(texts: list[str | None], grades: np.ndarray, n_grades: int, rounds: int = ROUNDS) -> Model:
-    """Full-batch Adam on the negative log likelihood, weights drawn a little to 0."""
-    row, col, val = features_of(texts)
-    common = np.bincount(col, minlength=BUCKETS)[col] >= MIN_DOCS  # the ridge holds the weights of rare ones small
-    row, col, val = row[common], col[common], val[common]
+def fit_arrays(texts: list[str | None] | pa.Array, grades: np.ndarray, n_grades: int, rounds: int = ROUNDS) -> Model:
+    """Full-batch Adam on the negative log likelihood, weights drawn a little to 0.
+
+    What is held of a feature of a text is 12 bytes; each round goes from slice to slice, so all else is as large as a slice.
+    """
+    parts = list(features_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())))
+    common = sum((np.bincount(col, minlength=BUCKETS) for _, col, _ in parts), np.zeros(BUCKETS, dtype=np.int64)) >= MIN_DOCS
+    used = np.flatnonzero(common)  # the ridge holds the weights of rare ones small
+    number = (np.cumsum(common) - 1).astype(np.int32)
+    first_row = 0
+    for k, (size, col, val) in enumerate(parts):
+        kept = common[col]
+        size = np.bincount(np.repeat(np.arange(len(size)), size)[kept], minlength=len(size))
+        parts[k] = slice(first_row, first_row := first_row + len(size)), size, number[col[kept]], val[kept]
     n = max(1, len(texts))
     above = grades[:, None] > np.arange(n_grades - 1)[None, :]  # n x thresholds
     share = np.clip(above.mean(axis=0) if len(texts) else np.full(n_grades - 1, 0.5), 0.01, 0.99)
     theta = -np.log(share / (1 - share))
-    used, place = np.unique(col, return_inverse=True)
     w = np.zeros(len(used))
     params = [w, theta]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1 if len(set(grades.tolist())) > 1 else 1):
-        score = np.bincount(row, val * w[place], minlength=n)
+        score = np.zeros(n)
+        for rows, size, place, val in parts:
+            score[rows] = np.bincount(np.repeat(np.arange(len(size)), size), val * w[place], minlength=len(size))
         up = np.concatenate([np.ones((n, 1)), _sigmoid(score[:, None] - theta[None, :]), np.zeros((n, 1))], axis=1)
         i = np.arange(n)
         p = np.maximum(up[i, grades] - up[i, grades + 1], 1e-9)
@@ -157,7 +168,10 @@ def fit_arrays(texts: list[str | None], grades: np.ndarray, n_grades: int, round
         d_theta = np.zeros(n_grades - 1)
         for k in range(n_grades - 1):
             d_theta[k] = (np.where(grades == k + 1, slope[:, k + 1], 0) - np.where(grades == k, slope[:, k + 1], 0)) @ (1 / p)
-        grad = [np.bincount(place, val * d_score[row], minlength=len(used)) / n + RIDGE * w, d_theta / n]
+        d_w = np.zeros(len(used))
+        for rows, size, place, val in parts:
+            np.add.at(d_w, place, val * np.repeat(d_score[rows], size))
+        grad = [d_w / n + RIDGE * w, d_theta / n]
         for p_, g, a, b, rate in zip(params, grad, first, second, (RATE, 0.05)):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -117,6 +118,20 @@ def test_fit_is_at_the_minimum_of_the_penalised_likelihood():
             assert loss(weights, other) > base - 1e-5
 
 
+def test_fit_holds_a_few_bytes_of_each_feature():
+    """The sample is as large in every task that fits it, beside whatever else an executor holds."""
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4000)]
+    texts = [" ".join(rng.choices(pool, k=1500)) for _ in range(400)]
+    n = sum(len(set(t.split())) for t in texts)
+    tracemalloc.start()
+    try:
+        quality.fit_arrays(texts, np.arange(len(texts)) % 3, 3, rounds=2)
+        assert tracemalloc.get_traced_memory()[1] < 100 * n  # a word has up to three features
+    finally:
+        tracemalloc.stop()
+
+
 def test_which_of_several_texts_of_an_id_is_fitted(spark):
     docs = spark.createDataFrame([(i % 20, f"{'good' if i % 2 else 'bad'} t{i}") for i in range(200)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, grade int")
