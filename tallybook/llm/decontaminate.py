@@ -53,7 +53,6 @@ BLOCK = 20_000
 CHUNK = 1 << 15  # words taken at once
 STEP = 4  # windows start at multiples of so many words
 _TOGETHER = 256  # items looked at at once
-_CELLS = 1 << 20  # words of candidates looked at at once
 _FAN = 64
 _SLICE = 256  # terms in one part of a sum
 
@@ -213,17 +212,27 @@ def latent_terms(docs: DataFrame, rates: np.ndarray, seed: int = 17) -> np.ndarr
     return (weight[:, None] * (basis @ vectors) * scale).astype(np.float32)
 
 
-def lcs_length(a: list, b: list) -> int:
-    """Length of the longest common subsequence, by bits."""
+def word_masks(a: list) -> dict:
+    """The places of each word as bits."""
     masks: dict = {}
     for i, w in enumerate(a):
         masks[w] = masks.get(w, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def common_length(length: int, hits: list[int]) -> int:
+    """Length of the longest common subsequence with a list of so many words; ``hits``: the masks of the other one's words that are in it."""
+    full = (1 << length) - 1
     row = full
-    for w in b:
-        m = row & masks.get(w, 0)
+    for m in hits:
+        m &= row
         row = ((row + m) | (row - m)) & full
-    return len(a) - bin(row).count("1")
+    return length - row.bit_count()
+
+
+def lcs_length(a: list, b: list) -> int:
+    """Length of the longest common subsequence, by bits."""
+    return common_length(len(a), list(filter(None, map(word_masks(a).get, b))))
 
 
 class Item:
@@ -231,7 +240,7 @@ class Item:
         self.id = item_id
         self.codes = _CODES.of(text)
         self.words = self.codes[self.codes > 0].tolist()
-        self.known = set(self.words)
+        self.masks = word_masks(self.words)
         self.answer = [c for c in _CODES.of(answer).tolist() if c]
         self.wide = 2 * STEP * math.ceil(len(self.codes) / STEP) + STEP  # of a window
         self.pace = STEP  # between the windows that are looked at
@@ -251,7 +260,8 @@ class Item:
     def leaked(self, codes: np.ndarray, pos: int, more: int = 0) -> tuple[float, int]:
         """Share of the item's words in order in a window that begins in the ``more`` words from ``pos`` on, or 0 if none is a leak, and where it begins."""
         whole = codes[pos : pos + self.wide + more].tolist()
-        if sum(map(self.known.__contains__, whole)) < self.least or lcs_length(self.words, whole) < self.least:
+        hits = list(filter(None, map(self.masks.get, whole)))
+        if len(hits) < self.least or common_length(len(self.words), hits) < self.least:
             return 0.0, pos
         for start in range(0, more + 1, STEP):
             ws = whole[start : start + self.wide]
@@ -272,11 +282,18 @@ class Item:
         return lcs_length(self.words, ws) / len(self.words), pos
 
 
+def _running(blocks: np.ndarray, kind: type) -> np.ndarray:
+    """Sums of each row's first 0, 1, 2, ... numbers."""
+    out = np.zeros((len(blocks), blocks.shape[1] + 1), dtype=kind)
+    np.cumsum(np.ascontiguousarray(blocks), axis=1, dtype=kind, out=out[:, 1:])
+    return out
+
+
 class Searcher:
     """Searches texts (arrays of word codes) for items.  ``latent``: vectors of the terms."""
 
     def __init__(self, rates: np.ndarray, latent: np.ndarray, items: list[tuple]):
-        self.latent = latent
+        self.latent = np.ascontiguousarray(latent.T)
         self.items = sorted((i for i in (Item(*x) for x in items) if i.words), key=lambda i: (len(i.words) >= SHORT, i.wide))
         self.groups = []  # items of like lengths, their rare terms (TERMS x items), how many of these are needed, their vectors
         at = 0
@@ -330,29 +347,24 @@ class Searcher:
             begins.append(begins[-1] + len(own) + gap)
         flat, starts_of = term_ids(np.concatenate(parts)), np.array(begins[:-1])
         n = len(flat) // STEP
-        sums = np.zeros((n + 1, self.latent.shape[1]), dtype=np.float64)
-        blocks = self.latent[flat[::STEP]]
-        for k in range(1, STEP):
-            blocks += self.latent[flat[k::STEP]]
-        np.cumsum(blocks, axis=0, dtype=np.float64, out=sums[1:])
-        padded = np.concatenate([flat, np.zeros(self.widest + STEP, dtype=flat.dtype)])
+        terms = [flat[k::STEP].astype(np.intp) for k in range(STEP)]
+        sums = _running(sum(np.take(self.latent, t, axis=1) for t in terms), np.float64)
         for part, known, need, vectors in self.groups:
             if len(part[0].words) < SHORT:
                 yield from self._short(part, known, need, flat, n, held, begins, starts_of, found)
                 continue
             pace, size = part[0].pace, math.ceil(WIDER * len(part[-1].codes) / STEP)
             starts = np.arange(0, n, pace // STEP)
-            own = (sums[np.minimum(starts + size, n)] - sums[starts]).astype(np.float32)
-            norm = np.sqrt(np.einsum("ij,ij->i", own, own))
-            near = own @ vectors.T >= GATE * np.maximum(norm, 1e-9)[:, None]
+            own = (np.take(sums, np.minimum(starts + size, n), axis=1) - sums[:, : n : pace // STEP]).astype(np.float32)
+            norm = np.sqrt(np.einsum("ij,ij->j", own, own))
+            near = own.T @ vectors.T >= GATE * np.maximum(norm, 1e-9)[:, None]
             row, col = np.nonzero(near)
-            first = np.maximum(starts[row] * STEP - pace, 0)  # a copy begins within a pace before or after the window
-            room = part[-1].wide + 2 * pace
-            for a in range(0, len(row), max(1, _CELLS // room)):
-                b = a + max(1, _CELLS // room)
-                enough = known[padded[first[a:b, None] + np.arange(room)], col[a:b, None]].sum(axis=1, dtype=np.int64) >= need[col[a:b]]
-                for k in (a + np.flatnonzero(enough)).tolist():
-                    yield from self._check(part[col[k]], int(starts[row[k]]) * STEP, held, begins, starts_of, found)
+            first = np.maximum(starts[row] - pace // STEP, 0)  # a copy begins within a pace before or after the window
+            room = (part[-1].wide + 2 * pace) // STEP
+            rare = _running(sum(np.take(known, t, axis=0) for t in terms).T, np.int32)
+            enough = rare[col, np.minimum(first + room, n)] - rare[col, first] >= need[col]
+            for k in np.flatnonzero(enough).tolist():
+                yield from self._check(part[col[k]], int(starts[row[k]]) * STEP, held, begins, starts_of, found)
 
     def _short(self, items, known, need, flat, n, held, begins, starts_of, found) -> Iterator[tuple]:
         """Items of one width that say too little for a direction: every window with enough of their rare terms."""

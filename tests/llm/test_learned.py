@@ -7,6 +7,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -266,6 +267,21 @@ def test_planted_items_are_found(spark, sf):
     assert {tuple(r) for r in exact} <= got and len(got) <= len(exact) + 2
 
 
+def test_a_search_takes_candidates_by_sums_not_word_by_word():
+    """All windows are candidates here; what they need doesn't grow with their words."""
+    rng = np.random.default_rng(4)
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 3000, 150)), None) for k in range(40)]
+    rates = np.full(decontaminate.TERMS, 1 / decontaminate.TERMS)
+    finder = decontaminate.Searcher(rates, np.ones((decontaminate.TERMS, decontaminate.RANK), dtype=np.float32), items)
+    text = next(decontaminate.Codes().batch(pa.array([" ".join(f"w{x}" for x in rng.integers(0, 3000, 30_000)) + " " + items[7][1]])))[0]
+    tracemalloc.start()
+    try:
+        assert {(item, share) for _, item, share, _ in finder.search([text])} == {(7, 1.0)}
+        assert tracemalloc.get_traced_memory()[1] < 16e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_word_codes():
     """Equal words have one code wherever they stand, case and outer punctuation apart; others differ."""
     rng = random.Random(4)
