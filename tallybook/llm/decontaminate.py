@@ -51,6 +51,7 @@ ORDER = 0.6
 ANSWER = 0.6
 BLOCK = 20_000
 CHUNK = 1 << 15  # words taken at once
+HASH_BYTES = 1 << 19  # of texts whose words are hashed at once
 STEP = 4  # windows start at multiples of so many words
 _TOGETHER = 256  # items looked at at once
 _FAN = 64
@@ -63,9 +64,9 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _U = np.uint64
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, up to ``n`` of them, modulo 2^64."""
+    """Powers of the base and of its inverse, up to ``n`` of them, modulo 2^64; a worker keeps one table, as all slices but those of long texts share it."""
     out = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         steps = np.full(n, base, dtype=_U)
@@ -85,7 +86,7 @@ def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     first = core[np.searchsorted(core, starts)]
     some = first < ends
     last = core[np.maximum(np.searchsorted(core, ends) - 1, 0)] + 1
-    power, inverse = _powers(1 << int(len(buf)).bit_length())
+    power, inverse = _powers(max(len(buf), HASH_BYTES))
     sums = np.concatenate([np.zeros(1, dtype=_U), np.cumsum((buf.astype(_U) + _U(1)) * power[: len(buf)], dtype=_U)])
     first, last = np.where(some, first, 0), np.where(some, last, 0)
     h = (sums[last] - sums[first]) * inverse[first]
@@ -99,7 +100,7 @@ class Codes:
 
     def batch(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(codes, where each text's begin) of the slices of a column."""
-        for _, buf, offs in slices(pc.utf8_lower(texts)):
+        for _, buf, offs in slices(pc.utf8_lower(texts), HASH_BYTES):
             yield word_hashes(buf, offs)
 
     def of(self, text: str | None) -> np.ndarray:

@@ -282,6 +282,18 @@ def test_a_search_takes_candidates_by_sums_not_word_by_word():
         tracemalloc.stop()
 
 
+def test_word_codes_leave_little_behind():
+    """A worker lives on after its task."""
+    tracemalloc.start()
+    try:
+        for size in (10, 1000, 60_000, 150_000, 500_000, 1000):
+            for _ in decontaminate.Codes().batch(pa.array(["some " * size])):
+                pass
+        assert tracemalloc.get_traced_memory()[0] < 16e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_word_codes():
     """Equal words have one code wherever they stand, case and outer punctuation apart; others differ."""
     rng = random.Random(4)
