@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import free, freeze, table
+from tallybook.llm.common import TEXT_CODEC, free, freeze, table
 from tallybook.llm.decontaminate import find_leaks
 from tallybook.llm.jaccard_join import similar_documents
 from tallybook.llm.line_dedup import dedup_lines
@@ -37,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` written with a key of each row."""
     key = free(docs, "_key")
-    return freeze(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+    return freeze(docs.withColumn(key, F.monotonically_increasing_id()), name, TEXT_CODEC), key
 
 
 def _without(docs: DataFrame, key: str, gone: DataFrame, columns: list[str], name: str) -> DataFrame:

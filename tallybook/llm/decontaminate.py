@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze
+from .common import freeze, remove
 from .vector import slices, word_bounds
 
 TERMS = 4096
@@ -164,6 +164,7 @@ def _gather(docs: DataFrame, work, width: int) -> np.ndarray:
     out = np.zeros((TERMS, width))
     for row in tree_sum(parts, max(2, n)).collect():  # TERMS x width numbers
         out[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = np.frombuffer(row["data"]).reshape(-1, width)
+    remove(parts)
     return out
 
 

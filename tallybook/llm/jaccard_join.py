@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import freeze
+from .common import freeze, remove
 from .vector import LOWER, Recent, slices, word_codes
 
 SHINGLE = 5
@@ -302,12 +302,14 @@ def links(sets: DataFrame) -> DataFrame:
     first = freeze(verified(led.select(F.col("top").alias("a"), F.col("sid").alias("b")).distinct(), sets), "jaccard-led")
     # buckets with two sets have no more pairs than the one that was checked
     marked = posts.where("size > 2").drop("top_n").join(components(first), "sid", "left")
-    marked = freeze(marked.withColumn("label", F.coalesce("label", "sid")), "jaccard-labelled")
-    heads = marked.where("sid = top").select("token", F.col("label").alias("top_label"))
-    marked = marked.join(heads, "token").withColumn("open", F.col("label") != F.col("top_label")).drop("top", "top_label")
-    marked = freeze(marked, "jaccard-open")
-    left = marked.groupBy("token").agg(F.sum(F.col("open").cast("int")).alias("open_size")).where("open_size > 0")
-    marked = marked.join(left, "token").join(_filters(sets), "sid")
+    labelled = freeze(marked.withColumn("label", F.coalesce("label", "sid")), "jaccard-labelled")
+    remove(posts)
+    heads = labelled.where("sid = top").select("token", F.col("label").alias("top_label"))
+    opened = labelled.join(heads, "token").withColumn("open", F.col("label") != F.col("top_label")).drop("top", "top_label")
+    opened = freeze(opened, "jaccard-open")
+    remove(labelled)
+    left = opened.groupBy("token").agg(F.sum(F.col("open").cast("int")).alias("open_size")).where("open_size > 0")
+    marked = opened.join(left, "token").join(_filters(sets), "sid")
     rows, cols = F.ceil(F.col("open_size") / SIDE).cast("int"), F.ceil(F.col("size") / SIDE).cast("int")
     spot = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "sid"), n).cast("int")
     keep = ["token", "sid", "n", "label", "bits", "others", "firsts"]
@@ -316,6 +318,7 @@ def links(sets: DataFrame) -> DataFrame:
     cells = a.select(*keep, "row", "col", F.lit(True).alias("ours")).unionAll(b.select(*keep, "row", "col", F.lit(False).alias("ours")))
     pairs = cells.groupBy("token", "row", "col").applyInPandas(_cell_pairs, "a long, b long").distinct()
     second = freeze(verified(pairs, sets), "jaccard-rest")
+    remove(opened)
     return first.unionAll(second)
 
 
@@ -430,15 +433,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     bits = min(30, max(0, int(np.ceil(np.log2(max(1, total / 6 / RANGE_TOKENS))))))
     ranges = packed_sets(texts, bits).groupBy("range").applyInPandas(_shared_in_range, _SHARED)
     ranges = freeze(ranges, "jaccard-ranges")
-    meta = ranges.where("tokens is null").select(F.when(F.col("has_id"), F.col("id")).alias("id"), "n", "s1", "s2")
-    sets = ranges.groupBy("block").applyInPandas(_gather_block, _SETS)
-    sets = freeze(sets, "jaccard-shared")
+    meta = freeze(ranges.where("tokens is null").select(F.when(F.col("has_id"), F.col("id")).alias("id"), "n", "s1", "s2"), "jaccard-documents")
+    shared = freeze(ranges.groupBy("block").applyInPandas(_gather_block, _SETS), "jaccard-shared")
+    remove(ranges)
     key = ["n", "s1", "s2"]
     classes = meta.where("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("sid"))
     ranked = F.row_number().over(Window.partitionBy(*key).orderBy("id"))  # one row per block at most
-    sets = sets.withColumn("_k", ranked).where("_k = 1").drop("_k", "id").join(classes, key)
+    sets = shared.withColumn("_k", ranked).where("_k = 1").drop("_k", "id").join(classes, key)
     sets = freeze(sets, "jaccard-classes")
+    remove(shared)
     label = components(links(sets))
+    remove(sets)
     named = classes.join(label, "sid", "left").select(*key, F.coalesce("label", "sid").alias("component_id"))
     out = meta.join(named, key, "left")
     return out.select(

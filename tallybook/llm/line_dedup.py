@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, free, freeze, others
+from .common import TEXT_CODEC, WORD, free, freeze, others
 
 LONG_WORDS = 50
 _ENDS = " \t\r"
@@ -82,7 +82,7 @@ def repeated_lines(windows: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, plus n_lines and n_removed (of lines in the old text)."""
     row, gone, lines = free(docs, "_row"), free(docs, "_gone"), free(docs, "_lines")
-    held = freeze(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows")
+    held = freeze(docs.withColumn(row, F.monotonically_increasing_id()), "line-rows", TEXT_CODEC)
     found = repeated_lines(line_windows(held, row, id_col, text_col, long_words)).toDF(row, gone)
     # the text travels as its lines: split once, below the join
     split = held.withColumn(lines, F.split(text_col, "\n", -1)).drop(text_col)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallybook.llm import decontaminate, neighbours, quality
-from tallybook.llm.common import table, words
+from tallybook.llm.common import shared_folder, table, words
 from tallybook.llm.queries import QUERIES
 from tests.llm.test_jaccard import brute
 from tests.llm.test_simple import dedup_by_hand
@@ -391,3 +392,24 @@ def test_pipeline_judges_rows_not_ids(spark, sf):
     assert kept(corpus_pipeline.near_duplicates(spark, docs, sf)) == Counter(want)
     assert kept(corpus_pipeline.decontaminate(spark, docs, sf)) == Counter(r for r in rows if r[1] != f"{clean[::-1]} {leak}")
     assert corpus_pipeline.near_duplicates(spark, docs.limit(0), sf).count() == 0
+
+
+def written(spark, names=()):
+    """Folders of written tables by name, without ``names``."""
+    own = Path(shared_folder(spark).removeprefix("file:"))
+    return {p.name: p for p in own.glob("llm-*") if p.name not in names}
+
+
+def test_stages_keep_few_tables(spark, sf):
+    """Tables that are used up go before the next step; copies of the texts are written small."""
+    docs, before = table(spark, sf, "documents"), written(spark)
+    rows = corpus_pipeline.near_duplicates(spark, corpus_pipeline.lines(spark, docs, sf), sf).count()
+    left = written(spark, before)
+    kinds = {n.removeprefix("llm-").rsplit("-", 1)[0] for n in left}
+    assert {k for k in kinds if k.startswith("jaccard-")} == {"jaccard-documents", "jaccard-led", "jaccard-rest"} and rows
+    for name, folder in left.items():
+        if name.startswith(("llm-line-rows", "llm-near-rows")):
+            assert list(folder.glob("*.zstd.parquet"))
+    before = written(spark)
+    assert corpus_pipeline.decontaminate(spark, docs, sf).count()
+    assert not [n for n in written(spark, before) if n.startswith("llm-term-parts")]
