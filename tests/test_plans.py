@@ -80,3 +80,10 @@ def test_hot_groups_are_spread_even_after_a_join_on_the_group(spark, wb):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in text
     assert re.search(r"Exchange hashpartitioning\(code#\d+, key_0#\d+, key_1#\d+, _band#\d+L", text)
+
+
+def test_money_of_order_lines_is_worked_out_once(wb):
+    """What reads order lines finds decimals and makes none of doubles."""
+    text = plan(wb.staged["order_items"].select("order_id", "price", "freight_value"))
+    schema = re.search(r"ReadSchema: (\S+)", text).group(1)
+    assert "line_price:decimal(12,2)" in schema and "double" not in schema
