@@ -181,3 +181,27 @@ def test_second_passes_start_from_what_was_written(spark, freeze):
     twice = child.union(child.where("_row_id <= 5").withColumn("_row_id", F.col("_row_id") + 1000))
     rows = duplicate_keys([UniqueKey(twice, "t", ("a",), "high")], lambda name, df: written.setdefault(name, freeze(f"second_{name}", df)), "keys")
     assert sorted(r.record_id for r in rows.collect()) == list(range(1001, 1006)) and written["keys"].count() == 10
+
+
+def test_a_key_with_many_copies_is_numbered_as_one_with_few(spark, freeze, monkeypatch):
+    """Few copies meet in one shuffle by their hash; only keys over the limit are numbered in stretches."""
+    monkeypatch.setattr(ordered, "IDS_PER_BAND", 50)
+    rows = spark.range(1, 601).select(
+        F.col("id").alias("_row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 150).cast("string")).alias("k")
+    )
+    got = {}
+    for limit in (20, 1000):
+        keep = lambda name, df, limit=limit: freeze(f"{name}_{limit}", df)
+        out = duplicate_keys([UniqueKey(rows, "t", ("k",), "high")], keep, "many", limit)
+        got[limit] = sorted((r.record_id, r.reason) for r in out.collect())
+        final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("Exchange hashpartitioning(hash") == 1
+    assert got[20] == got[1000] and len(got[20]) == 600 - 1 - 100
+    assert got[20][-1] == (600, "key (k) appears 200 times; this is copy 200")
+
+
+def test_hot_hashes_are_those_over_the_limit(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 300, -1).when(F.col("id") < 500, -2).otherwise(F.col("id")).alias("h"))
+    assert sorted(checks.hot_hashes(rows, F.col("h"), 250)) == [-1]
+    assert sorted(checks.hot_hashes(rows, F.col("h"), 199)) == [-2, -1]
+    assert checks.hot_hashes(rows, F.col("h"), 300) == [] and checks.hot_hashes(rows.limit(0), F.col("h"), 1) == []
