@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tallybook.contracts import count_checks, contracts_from, default_contracts
-from tallybook.functions.casts import to_contract_type
+from tallybook.functions.casts import DATE_PREFIX, to_contract_type
 from tallybook.functions.numeric import half_up, pct
 from tallybook.functions.text import record_key, sentence
 
@@ -87,3 +87,13 @@ def test_contract_from_document():
     assert spec.key_severity == "medium" and spec.severity["required_null"] == "low" and spec.severity["type_mismatch"] == "high"
     assert spec.columns["id"].required and not spec.columns["n"].required and spec.columns["n"].allowed == (1, 2)
     assert spec.foreign_keys[0].ref_table == "b" and spec.foreign_keys[0].severity == "medium"
+
+
+def test_timestamps_are_those_of_the_pattern(spark):
+    """The look at two hyphens only saves the pattern; it decides nothing else."""
+    texts = ["2017-01-02", "2017-1-2", " 2017-01-02", "\t2017-01-02 03:04", "2017-01-", "2017-01", "2017-01-0", "12017-01-02", "-2017-01-02", "2017-01-02T", "017--01-02",
+             "2017-01-02T03:04:05.123456", "    -  -", "abcd-ef-gh", "2017-13-02", "20170-1-02", "+2017-01-02", "2017-01-02 25:00:00", "", None, "03:04:05", "now"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.when(F.col("t").rlike(DATE_PREFIX), F.col("t").try_cast("timestamp_ntz"))
+    rows = df.select("t", to_contract_type(F.col("t"), "TIMESTAMP").alias("got"), plain.alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows] and sum(r.got is not None for r in rows) == 5

@@ -188,3 +188,33 @@ def test_dim_date_reaches_last_purchase(spark):
     b = bench(spark, t)
     assert str(b.dim_date.agg(F.max("date")).first()[0]) == "2019-06-01"
     assert kpis.monthly(b.fact_reconciliation, b.fact_orders, b.fact_exceptions, b.dim_date).where("month = '2019-06'").count() == 1
+
+
+def ledger(shop, **kw) -> list[tuple]:
+    rows = reconcile.judged_ledger(reconcile.order_ledger(shop.staged, shop.dq, **kw))
+    return sorted((tuple(r.asDict().items()) for r in rows.collect()), key=repr)
+
+
+def test_large_orders_are_reduced_apart_with_the_same_result(shop):
+    assert ledger(shop, hot_rows=3) == ledger(shop)
+
+
+def test_any_number_of_payment_types(shop, monkeypatch):
+    want = ledger(shop)
+    monkeypatch.setattr(reconcile, "TYPE_BITS", 1)  # more types than bits: sets of texts again
+    assert ledger(shop) == want
+
+
+def test_payment_types_of_an_order_in_the_order_of_their_bytes(spark):
+    kinds = ["voucher", "\u00e9clair", "Pix", "pix", "", "zz", "\U0001f4b3"]
+    t = clean()
+    t["orders"].append(order("kinds"))
+    t["order_payments"] += [payment("kinds", "1.00", k, str(n)) for n, k in enumerate([*kinds, None, "pix"], 1)]
+    row = bench(spark, t).judged.where("order_id = 'kinds'").first()
+    assert row.payment_types == "+".join(sorted(kinds, key=str.encode)) and row.main_payment_type == "voucher"
+
+
+def test_ledger_gathers_no_sets_and_sorts_rows_of_an_order_once(shop):
+    text = reconcile.order_ledger(shop.staged, shop.dq)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in text
+    assert text.index("partial_min_by") < text.index("Exchange hashpartitioning(order_id")  # the tree is printed from its root
